@@ -206,3 +206,52 @@ def with_views(sql: str, *names: str, extra: dict[str, str] | None = None) -> st
     ctes = [f"{n} AS ({SQL_VIEWS[n].strip()})" for n in names]
     ctes += [f"{n} AS ({body.strip()})" for n, body in (extra or {}).items()]
     return ("WITH " + ",\n".join(ctes) + "\n" + sql.strip()) if ctes else sql.strip()
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sync requests as the service would receive them, one per order:
+    key count, marketplace, mode, legacy flag, range and ISO date text
+    (every tenth start date is written without zero padding)."""
+    o = read_table(spark, sf_dir, "orders")
+    k, d = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    unpadded = F.concat_ws("-", F.year(d).cast("string"), F.month(d).cast("string"), F.dayofmonth(d).cast("string"))
+    pr = F.col("o_orderpriority")
+    return o.select(
+        k.alias("request_id"), (F.col("o_custkey") % 120).alias("n_keys"),
+        F.when(k % 13 == 0, F.lit("")).otherwise(F.lit("us")).alias("marketplace"),
+        F.when(pr == "1-URGENT", "fresh").when(pr == "2-HIGH", "resume").when(pr == "3-MEDIUM", "force")
+        .when(pr == "5-LOW", "fresh").alias("sync_mode"),
+        (k % 7 == 0).alias("force_resync"),
+        F.when(F.col("o_orderstatus") == "F", "1month").when(F.col("o_orderstatus") == "O", "1year")
+        .otherwise("6months").alias("date_range"),
+        F.when(k % 10 == 0, unpadded).otherwise(F.date_format(d, "yyyy-MM-dd")).alias("start_date"),
+        F.date_format(F.date_add(d, 30), "yyyy-MM-dd").alias("end_date"))
+
+
+def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested sales windows per product: first to last returned-item
+    ship day (spans of days to years, leap days included)."""
+    li = read_table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    return li.groupBy(asin_of(F.col("l_partkey")).alias("asin")).agg(
+        F.min("l_shipdate").cast("date").alias("start_date"), F.max("l_shipdate").cast("date").alias("end_date"))
+
+
+SQL_VIEWS["v_requests"] = """
+SELECT o_orderkey AS request_id, o_custkey % 120 AS n_keys,
+       CASE WHEN o_orderkey % 13 = 0 THEN '' ELSE 'us' END AS marketplace,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'fresh' WHEN '2-HIGH' THEN 'resume' WHEN '3-MEDIUM' THEN 'force'
+                            WHEN '5-LOW' THEN 'fresh' END AS sync_mode,
+       o_orderkey % 7 = 0 AS force_resync,
+       CASE o_orderstatus WHEN 'F' THEN '1month' WHEN 'O' THEN '1year' ELSE '6months' END AS date_range,
+       CASE WHEN o_orderkey % 10 = 0
+            THEN concat_ws('-', CAST(year(o_orderdate) AS VARCHAR), CAST(month(o_orderdate) AS VARCHAR), CAST(day(o_orderdate) AS VARCHAR))
+            ELSE strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') END AS start_date,
+       strftime(CAST(o_orderdate AS DATE) + 30, '%Y-%m-%d') AS end_date
+FROM orders"""
+
+SQL_VIEWS["v_spans"] = """
+SELECT concat('B', lpad(CAST(l_partkey AS VARCHAR), 9, '0')) AS asin,
+       CAST(min(l_shipdate) AS DATE) AS start_date, CAST(max(l_shipdate) AS DATE) AS end_date
+FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1"""
+
+VIEW_BUILDERS.update({"v_requests": requests, "v_spans": spans})

@@ -62,7 +62,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *,
            update_cols: Iterable[str] | None = None, keep_cols: Iterable[str] = (),
            touch_cols: Iterable[str] = (), insert_defaults: dict[str, Column] | None = None,
            as_of: dt.datetime | None = None, partition_by: list[str] | None = None,
-           seq: str | None = None, on_duplicate: str = "last") -> DataFrame:
+           seq: str | None = None, on_duplicate: str = "last", touched_only: bool = False) -> DataFrame:
     """Merge ``source`` into ``target`` on ``keys``.
 
     * ``update_cols``: taken from the source on conflict (default: every
@@ -72,6 +72,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *,
     * ``touch_cols``: set to ``as_of`` on conflict and on insert (stamps).
     Target columns in none of the lists keep their value (NULL on insert
     unless a default is given). Output columns: target's, then ``action``.
+    ``touched_only`` (with ``partition_by``) returns only the partitions the
+    source touches, ready for a partition-level publish.
     """
     insert_defaults = dict(insert_defaults or {})
     src = prepare_source(source, keys, seq, on_duplicate)
@@ -115,7 +117,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *,
         out.append(expr.cast(target.schema[c].dataType).alias(c))
     action = F.when(hit_t & hit_s, UPDATED).when(hit_s, INSERTED).otherwise(UNCHANGED)
     merged = j.select(*out, action.alias("action"))
-    if t_out is not None:
+    if t_out is not None and not touched_only:
         merged = merged.unionByName(t_out.withColumn("action", F.lit(UNCHANGED)))
     return merged
 

@@ -101,4 +101,4 @@ SALES_TABLE = _struct([
     ("rank", I), ("created_at", T.TimestampNTZType()), ("updated_at", T.TimestampNTZType())])
 
 # NOT NULL columns of the sales table (rows missing one are rejected, SNK-4).
-SALES_REQUIRED = ("asin", "marketplace", "date")
+SALES_REQUIRED = ("asin", "marketplace", "is_parent", "is_variant", "is_standalone", "date")

@@ -41,6 +41,7 @@ def build_session(master: str = "local[8]", app: str = "quayside",
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "8g")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in {**REQUIRED_CONF, **SCALE_CONF, **(extra or {})}.items():

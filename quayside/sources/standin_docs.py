@@ -116,8 +116,9 @@ def product_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, doc)``: one sales document per product with returned items:
-    monthly points; every 50th product's item has no points; every 10th
-    document carries a second item for a ``uk`` listing of the same product."""
+    monthly points; every 50th product's item has no points, every 23rd has
+    one extra point with a bad date and no numbers; every 10th document
+    carries a second item for a ``uk`` listing of the same product."""
     li = read_table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     month = F.date_trunc("month", F.col("l_shipdate")).cast("date")
@@ -129,7 +130,11 @@ def sales_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("pr").alias("last_known_price")))).alias("points"))
     k = F.col("k")
     a = asin_of(k)
-    points = F.when(k % 50 == 7, F.array().cast(per_key.schema["points"].dataType)).otherwise(F.col("points"))
+    ptype = per_key.schema["points"].dataType
+    bad = F.array(F.struct(F.lit("not-a-date").alias("date"), F.lit(None).cast("int").alias("estimated_units_sold"),
+                           F.lit(None).cast("decimal(10,2)").alias("last_known_price"))).cast(ptype)
+    points = (F.when(k % 50 == 7, F.array().cast(ptype))
+              .when(k % 23 == 0, F.concat(F.col("points"), bad)).otherwise(F.col("points")))
 
     def item(market: str, asin: Column) -> Column:
         attrs = F.struct(asin.alias("asin"), (k % 4 == 0).alias("is_parent"), (k % 4 == 1).alias("is_variant"),
@@ -296,7 +301,8 @@ def sales_rows_sql(first_item_only: bool) -> str:
     parent = f"CASE WHEN k % 4 = 1 THEN {_asin_sql('k + 1')} WHEN k % 4 = 2 THEN {'NULL' if first_item_only else chr(39) * 2} END"
     body = f"""SELECT {a} AS asin, '{{m}}' AS marketplace, k % 4 = 0 AS is_parent, k % 4 = 1 AS is_variant,
        k % 4 >= 2 AS is_standalone, {parent} AS parent_asin, date, estimated_units_sold, last_known_price
-FROM pts WHERE k % 50 <> 7"""
+FROM (SELECT * FROM pts UNION ALL SELECT DISTINCT k, NULL, NULL, NULL FROM pts WHERE k % 23 = 0) p
+WHERE k % 50 <> 7"""
     if first_item_only:
         return body.format(m="us")
     return body.format(m="us") + "\nUNION ALL\n" + body.format(m="uk") + " AND k % 10 = 0"

@@ -85,7 +85,11 @@ def sales_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
+    return calls_from_events(read_table(spark, sf_dir, "events"))
+
+
+def calls_from_events(e: DataFrame) -> DataFrame:
+    """The call log of an event table (batch or stream)."""
     et = F.col("event_type")
     return e.select(
         "event_id", "ts",

@@ -45,4 +45,4 @@ def load_all() -> None:
         importlib.import_module(f"quayside.plans.{m}")
 
 
-MODULES = ["q_select", "q_aggregate", "q_upsert", "q_flatten", "q_status", "q_report", "q_publish", "q_stream"]
+MODULES = ["q_select", "q_aggregate", "q_upsert", "q_flatten", "q_status", "q_report", "q_publish", "q_stream", "q_keys"]

@@ -16,15 +16,16 @@ from quayside.functions.dates import date_lit, lenient_date, lenient_timestamp,
 from quayside.functions.ids import asin_from_id, empty_to_null, id_asin, id_marketplace
 from quayside.schemas import KEYWORD_METRICS, NESTED_ATTRIBUTES, NULLABLE_INTS, PRODUCT_ATTRIBUTES
 
-_ZERO = {T.StringType: F.lit(""), T.BooleanType: F.lit(False), T.IntegerType: F.lit(0)}
+_ZERO = {T.StringType: "", T.BooleanType: False, T.IntegerType: 0}
 
 
 def _zero(dtype: T.DataType) -> Column | None:
+    """Zero value of a scalar type (FLT-4 code path)."""
     if isinstance(dtype, T.DecimalType):
         return F.lit(0).cast(dtype)
     for t, z in _ZERO.items():
         if isinstance(dtype, t):
-            return z
+            return F.lit(z)
     return None
 
 

@@ -83,13 +83,9 @@ def fold_status(status: DataFrame, events: DataFrame) -> DataFrame:
     unknown = set(EVENT_RULES)
     events = events.filter(F.col("kind").isin(*unknown))
 
-    # Pass 1: the last delete per key (partial aggregate).
-    last_del = events.groupBy("asin").agg(F.max(F.when(F.col("kind") == "key_removed", F.col("seq"))).alias("_del"))
-    ev = events.join(last_del, "asin").filter(F.col("_del").isNull() | (F.col("seq") > F.col("_del")))
-
-    # Pass 2: everything after it.
-    aggs = [F.first("_del", ignorenulls=True).alias("_del"),
-            F.min(F.when(F.col("kind").isin(*INSERT_KINDS), F.struct("seq", "at"))).alias("_ins")]
+    # One aggregation over all events: the last delete, and per column the
+    # last event that sets it (validity against deletes is decided below).
+    aggs = [F.max(F.when(F.col("kind") == "key_removed", F.col("seq"))).alias("_del")]
     for c in STATUS_COLS:
         kinds, value = _sets(c)
         sets = F.col("kind").isin(*kinds)
@@ -98,7 +94,15 @@ def fold_status(status: DataFrame, events: DataFrame) -> DataFrame:
     stamp = ~F.col("kind").isin(*NO_STAMP_KINDS)
     aggs.append(F.max_by(F.struct(F.col("seq").alias("seq"), F.col("at").alias("v")),
                          F.when(stamp, F.col("seq"))).alias("_updated_at"))
-    folded = ev.groupBy("asin").agg(*aggs)
+    main = events.groupBy("asin").agg(*aggs)
+
+    # The (re)creating insert: the first insert event after the last delete.
+    # Only insert events (rare: key additions, resets) meet the delete marker.
+    inserts = events.filter(F.col("kind").isin(*INSERT_KINDS)).select("asin", "seq", "at")
+    ins = (inserts.join(main.select("asin", "_del"), "asin")
+           .filter(F.col("_del").isNull() | (F.col("seq") > F.col("_del")))
+           .groupBy("asin").agg(F.min(F.struct("seq", "at")).alias("_ins")))
+    folded = main.join(ins, "asin", "left")
 
     s = status.withColumn("_present", F.lit(True))
     j = s.join(folded, "asin", "full_outer")

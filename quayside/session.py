@@ -59,9 +59,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset (local tests) a fresh scratch folder is taken.
     """
     sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    d = sc.getConf().get("spark.checkpoint.dir", None)
+    if not d:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="quayside-ckpt-", dir=os.environ.get("QUAYSIDE_SCRATCH", "/tmp"))
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    return d

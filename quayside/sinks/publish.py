@@ -84,7 +84,9 @@ def read_live(spark: SparkSession, target: Target, name: str, schema: T.StructTy
         df = spark.read.option("basePath", target.table(name)).parquet(*paths).drop("v")
     else:
         df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(*paths)
-    return df.select(*schema.fieldNames()) if schema is not None else df
+    if schema is None:
+        return df
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def _write_pointer(spark: SparkSession, target: Target, name: str, version: str,
@@ -121,8 +123,10 @@ def _pointer_rows(spark: SparkSession, target: Target, name: str, path: str,
         old = live_pointer(spark, target, name)
         if old is not None:
             for r in old.collect():
-                if r.part_value not in rows:
+                if r.part_value is not None and r.part_value not in rows:
                     rows[r.part_value] = r.table_name
+    if not rows:  # an empty table: the (empty) version folder itself
+        return [(path, None)]
     return [(p_, v) for v, p_ in sorted(rows.items())]
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from quayside.operators.flatten import flatten_sales
 from quayside.operators.upsert import upsert_sales
@@ -34,13 +35,14 @@ def landed_sales_stream(spark: SparkSession, landing_dir: str, max_files_per_tri
 
 def sync_landed_sales(spark: SparkSession, landing_dir: str, target: Target, name: str, checkpoint: str,
                       as_of: dt.datetime, marketplace: str = "us", max_files_per_trigger: int | None = None,
-                      partition_by: str = "date") -> None:
-    """Run every landed sales document into ``target``/``name`` and stop."""
-    base_cols = read_live(spark, target, name).columns
+                      partition_by: str = "date", schema: T.StructType | None = None) -> None:
+    """Run every landed sales document into ``target``/``name`` and stop.
+    ``schema`` is the table's schema (default: read from the live table)."""
+    schema = schema or read_live(spark, target, name).schema
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         rows = flatten_sales(good_documents(batch), marketplace=marketplace, first_item_only=True)
-        live = read_live(spark, target, name).select(*base_cols)
+        live = read_live(spark, target, name, schema)
         merged = upsert_sales(live, rows, as_of, partition_by=[partition_by], touched_only=True).drop("action")
         publish_one(merged, target, name, f"b{batch_id:012d}", partition_by=partition_by, merge_partitions=True)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.session import ensure_checkpoint_dir
+
 BATCH_SIZE = 100  # keys per product request, rows per bulk write (fixed value)
 
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: record number in the low 33 bits
@@ -24,12 +26,17 @@ def plan_batches(keys: DataFrame, key: str = "asin", batch_size: int = BATCH_SIZ
     ``batch_no``, ``batch_count`` = ceil(n / batch_size).
     """
     spark = keys.sparkSession
+    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Numbered once and checkpointed (reliable, in the shared checkpoint
+    # folder): both uses below read the same ids, and a lost executor does
+    # not recompute the numbering.
     ranged = (keys.select(key).repartitionByRange(n, F.col(key).asc_nulls_last())
               .sortWithinPartitions(F.col(key).asc_nulls_last())
               .withColumn("_mid", F.monotonically_increasing_id())
               .select(key, F.shiftright("_mid", 33).alias("_part"),
-                      F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)).alias("_local")))
+                      F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)).alias("_local"))
+              .checkpoint(eager=True))
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     whole = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -58,6 +58,40 @@ def _all(conds: list[Column]) -> Column:
     return out
 
 
+# A table has at most one partition value per day/month; above this many
+# touched values the split falls back to a (shuffled) semi/anti join.
+MAX_TOUCHED_PARTITIONS = 10_000
+
+
+def split_touched(target: DataFrame, source: DataFrame, partition_by: list[str]):
+    """Target rows in partitions the source touches, and all other rows.
+
+    The touched partition values are a bounded set (one per partition of the
+    table, checked against ``MAX_TOUCHED_PARTITIONS``), so they are read to
+    the driver and become a literal filter: the scan of a partitioned table
+    prunes to the touched folders, and the untouched rows pass through with
+    no shuffle at all. Above the bound the split is a semi/anti join.
+    """
+    touched = source.select(*partition_by).distinct()
+    vals = touched.limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+    if len(vals) > MAX_TOUCHED_PARTITIONS:
+        return (target.join(touched, partition_by, "left_semi"),
+                target.join(touched, partition_by, "left_anti"))
+    if len(partition_by) == 1:
+        c = partition_by[0]
+        present = [r[0] for r in vals if r[0] is not None]
+        hit = F.col(c).isin(present) if present else F.lit(False)
+        if len(present) < len(vals):  # a NULL partition value is touched too
+            hit = hit | F.col(c).isNull()
+    else:
+        hit = F.lit(False)
+        for r in vals:
+            cond = _all([F.col(c).eqNullSafe(F.lit(r[c])) for c in partition_by])
+            hit = hit | cond
+    hit = F.coalesce(hit, F.lit(False))
+    return target.filter(hit), target.filter(~hit)
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], *,
            update_cols: Iterable[str] | None = None, keep_cols: Iterable[str] = (),
            touch_cols: Iterable[str] = (), insert_defaults: dict[str, Column] | None = None,
@@ -85,9 +119,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], *,
         raise ValueError("touch_cols need as_of")
 
     if partition_by:
-        touched = src.select(*partition_by).distinct()
-        t_in = target.join(touched, partition_by, "left_semi")
-        t_out = target.join(touched, partition_by, "left_anti")
+        t_in, t_out = split_touched(target, src, partition_by)
     else:
         t_in, t_out = target, None
 

@@ -97,8 +97,14 @@ def _write_pointer(spark: SparkSession, target: Target, name: str, version: str,
 
 def write_version(df: DataFrame, target: Target, name: str, version: str,
                   partition_by: str | None = None) -> str:
-    """Write one immutable version folder (idempotent for a retry)."""
+    """Write one immutable version folder (idempotent for a retry).
+
+    A partitioned write is first rebalanced on the partition column, so each
+    partition value is written by few tasks (few, large files); AQE splits a
+    hot partition value over several tasks instead of one."""
     path = f"{target.table(name)}/v={version}"
+    if partition_by:
+        df = df.hint("rebalance", partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)

@@ -16,4 +16,4 @@ def sales_summary(sales: DataFrame, asin: str | None = None) -> DataFrame:
     return sales.groupBy("asin").agg(
         F.count(F.lit(1)).alias("days_count"), F.min("date").alias("start_date"),
         F.max("date").alias("end_date"), F.sum(units).alias("total_units"),
-        F.round(F.sum(units * F.col("last_known_price")), 2).alias("total_revenue"))
+        F.round(F.sum(units * F.col("last_known_price")), 2).cast("decimal(38,2)").alias("total_revenue"))

@@ -77,7 +77,7 @@ def q_usage_7d(spark, sf):
 
 
 @query("usage_30d_total", with_views(f"""
-SELECT usage_date, sum(call_count) AS total_calls FROM usage WHERE usage_date >= {U_DAY} - 30 GROUP BY usage_date""",
+SELECT usage_date, CAST(sum(call_count) AS BIGINT) AS total_calls FROM usage WHERE usage_date >= {U_DAY} - 30 GROUP BY usage_date""",
                                      "v_calls", extra=_usage_view()))
 def q_usage_30d_total(spark, sf):
     return usage.usage_daily_total(_usage(spark, sf), USAGE_DAY, 30)

@@ -89,8 +89,8 @@ def q_drift_rows(spark, sf):
 
 
 @query("drift_summary", with_views("""
-SELECT count_if(drift = 'only_staging') AS only_staging, count_if(drift = 'only_production') AS only_production,
-       count_if(drift = 'differs') AS differs, count_if(drift = 'same') AS same FROM d""",
+SELECT CAST(count_if(drift = 'only_staging') AS BIGINT) AS only_staging, CAST(count_if(drift = 'only_production') AS BIGINT) AS only_production,
+       CAST(count_if(drift = 'differs') AS BIGINT) AS differs, CAST(count_if(drift = 'same') AS BIGINT) AS same FROM d""",
                                    "v_status", "v_events", extra=DRIFT_BASE))
 def q_drift_summary(spark, sf):
     s, p = _status_pair(spark, sf)

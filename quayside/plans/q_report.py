@@ -16,15 +16,15 @@ from quayside.sources.tables import read_table
 
 
 @query("selection_counts", _prio_sql("""
-SELECT count_if(is_new) AS new_asins, count_if(NOT is_new) AS stale_asins, count(*) AS total_asins FROM selection"""))
+SELECT CAST(count_if(is_new) AS BIGINT) AS new_asins, CAST(count_if(NOT is_new) AS BIGINT) AS stale_asins, count(*) AS total_asins FROM selection"""))
 def q_selection_counts(spark, sf):
     return report.selection_counts(sel.select_priority(S.status(spark, sf), AS_OF, PRIORITY_LIMIT))
 
 
 ERR_SQL = """
-SELECT run_id, count_if(error_kind = 'db') AS db_errors, count_if(error_kind = 'api') AS api_errors,
-       count_if(error_kind = 'parse') AS parse_errors,
-       count_if(error_kind IS NOT NULL AND error_kind NOT IN ('db', 'api', 'parse')) AS other_errors,
+SELECT run_id, CAST(count_if(error_kind = 'db') AS BIGINT) AS db_errors, CAST(count_if(error_kind = 'api') AS BIGINT) AS api_errors,
+       CAST(count_if(error_kind = 'parse') AS BIGINT) AS parse_errors,
+       CAST(count_if(error_kind IS NOT NULL AND error_kind NOT IN ('db', 'api', 'parse')) AS BIGINT) AS other_errors,
        coalesce(list(message ORDER BY seq) FILTER (WHERE message IS NOT NULL), [])[1:3] AS samples
 FROM v_outcomes GROUP BY run_id"""
 
@@ -34,17 +34,17 @@ def _errors(spark, sf):
 
 
 @query("error_summary", with_views(
-    "SELECT * EXCLUDE (samples), to_json(samples) AS sample_errors FROM err", "v_outcomes", extra={"err": ERR_SQL}))
+    "SELECT * EXCLUDE (samples), CAST(to_json(samples) AS VARCHAR) AS sample_errors FROM err", "v_outcomes", extra={"err": ERR_SQL}))
 def q_error_summary(spark, sf):
     return _errors(spark, sf).withColumn("sample_errors", F.to_json("sample_errors"))
 
 
 TOTALS_SQL = """
-SELECT run_id, count(*) AS processed, count_if(stored) AS product_ok, count_if(stored AND sales_ok) AS sales_ok,
-       count(*) - count_if(stored) {extra} AS failed, CAST(ceil(count(*) / 100) + count_if(stored) AS BIGINT) AS calls
+SELECT run_id, count(*) AS processed, CAST(count_if(stored) AS BIGINT) AS product_ok, CAST(count_if(stored AND sales_ok) AS BIGINT) AS sales_ok,
+       count(*) - CAST(count_if(stored) AS BIGINT) {extra} AS failed, CAST(ceil(count(*) / 100) + CAST(count_if(stored) AS BIGINT) AS BIGINT) AS calls
 FROM v_outcomes GROUP BY run_id"""
 HOURLY_SQL = TOTALS_SQL.format(extra="")
-FULL_SQL = TOTALS_SQL.format(extra="+ count_if(stored AND NOT sales_ok)")
+FULL_SQL = TOTALS_SQL.format(extra="+ CAST(count_if(stored AND NOT sales_ok) AS BIGINT)")
 
 
 @query("run_totals_hourly", with_views(HOURLY_SQL, "v_outcomes"))

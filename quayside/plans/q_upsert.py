@@ -48,7 +48,7 @@ def q_upsert_sales(spark, sf):
 
 
 @query("upsert_counts", with_views(
-    "SELECT count_if(action = 'inserted') AS inserted, count_if(action = 'updated') AS updated FROM m",
+    "SELECT CAST(count_if(action = 'inserted') AS BIGINT) AS inserted, CAST(count_if(action = 'updated') AS BIGINT) AS updated FROM m",
     "v_sales", "v_sales_new", extra={"tgt": SALES_TARGET_SQL, "m": UPSERT_SALES_SQL}))
 def q_upsert_counts(spark, sf):
     return ups.upsert_counts(merged_sales(spark, sf))

@@ -114,7 +114,7 @@ def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
     return o.select(
-        F.col("o_custkey").alias("run_id"), F.row_number().over(w).alias("batch_no"),
+        F.col("o_custkey").alias("run_id"), F.row_number().over(w).cast("bigint").alias("batch_no"),
         (F.col("o_orderpriority") == "5-LOW").alias("fetch_failed"),
         F.lit(100).alias("returned"),
         F.when(F.col("o_orderstatus") == "F", 0).otherwise(90).alias("stored"))

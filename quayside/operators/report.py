@@ -17,6 +17,9 @@ SAMPLE_ERRORS = 3      # samples kept in the incremental run's summary
 DIGEST_ERRORS = 5      # errors listed in the full run's digest
 DIGEST_BYTES = 500     # incremental digest cut (characters here; see README)
 RUN_KEYS_PER_CALL = 100
+# Stop reasons of the reference's runs.
+DEFAULT_STOP_REASON = "Critical errors encountered"     # full run, stopped with no reason given
+SELECTION_FAILED_REASON = "Failed to select ASINs"      # incremental run, selection query failed
 
 
 def selection_counts(selection: DataFrame) -> DataFrame:
@@ -55,11 +58,13 @@ def _calls(processed: Column, product_ok: Column) -> Column:
 def run_totals_hourly(outcomes: DataFrame, run: str = "run_id") -> DataFrame:
     """AGG-13 (incremental run): failed = selected - stored products; sales
     failures are not counted as failed keys. Calls: one product call per
-    100 keys plus one sales call per stored product."""
+    100 keys plus one sales call per stored product. RPT-8: the product
+    ok / not-ok pair, not-ok = processed - ok."""
     t = outcomes.groupBy(run).agg(F.count(F.lit(1)).alias("processed"),
                                   F.count_if("stored").alias("product_ok"),
                                   F.count_if(F.col("stored") & F.col("sales_ok")).alias("sales_ok"))
-    return t.select(run, "processed", "product_ok", "sales_ok",
+    return t.select(run, "processed", "product_ok",
+                    (F.col("processed") - F.col("product_ok")).alias("product_not_ok"), "sales_ok",
                     (F.col("processed") - F.col("product_ok")).alias("failed"),
                     _calls(F.col("processed"), F.col("product_ok")).cast("bigint").alias("calls"))
 
@@ -87,6 +92,27 @@ def run_class_full(stopped: Column, failed: Column) -> Column:
     return F.when(stopped, "red").when(failed > 0, "yellow").otherwise("green")
 
 
+def stop_reason(mode: str, stopped: Column, reason: Column | None = None) -> Column:
+    """RPT-6: the full run names a default reason when it stopped without
+    one; the incremental run reports only the reason it was given (set only
+    when selection fails), else blank."""
+    given = F.coalesce(reason, F.lit("")) if reason is not None else F.lit("")
+    if mode == "full":
+        return F.when(stopped & (given == ""), F.lit(DEFAULT_STOP_REASON)).otherwise(given)
+    return given
+
+
+def run_progress(batch_log: DataFrame, stops: DataFrame, run: str = "run_id") -> DataFrame:
+    """RPT-10: current batch / total batches of each run. A run that stops
+    after batch b has already announced batch b + 1 (the stop is checked at
+    the start of the next batch), capped at the total."""
+    totals = batch_log.groupBy(run).agg(F.count(F.lit(1)).alias("total_batches"))
+    current = F.when(F.col("stop_batch").isNull(), F.col("total_batches")).otherwise(
+        F.least(F.col("stop_batch") + 1, F.col("total_batches")))
+    return totals.join(stops, run, "left").select(run, current.cast("bigint").alias("current_batch"),
+                                                  "total_batches")
+
+
 def run_verdict(stopped: Column, failed: Column, product_ok: Column) -> Column:
     """RPT-5: exit verdict of the job."""
     return F.when(stopped | ((failed > 0) & (product_ok == 0)), "fail").otherwise("ok")

@@ -40,11 +40,12 @@ def q_error_summary(spark, sf):
 
 
 TOTALS_SQL = """
-SELECT run_id, count(*) AS processed, CAST(count_if(stored) AS BIGINT) AS product_ok, CAST(count_if(stored AND sales_ok) AS BIGINT) AS sales_ok,
+SELECT run_id, count(*) AS processed, CAST(count_if(stored) AS BIGINT) AS product_ok, {not_ok}
+       CAST(count_if(stored AND sales_ok) AS BIGINT) AS sales_ok,
        count(*) - CAST(count_if(stored) AS BIGINT) {extra} AS failed, CAST(ceil(count(*) / 100) + CAST(count_if(stored) AS BIGINT) AS BIGINT) AS calls
 FROM v_outcomes GROUP BY run_id"""
-HOURLY_SQL = TOTALS_SQL.format(extra="")
-FULL_SQL = TOTALS_SQL.format(extra="+ CAST(count_if(stored AND NOT sales_ok) AS BIGINT)")
+HOURLY_SQL = TOTALS_SQL.format(extra="", not_ok="count(*) - CAST(count_if(stored) AS BIGINT) AS product_not_ok,")
+FULL_SQL = TOTALS_SQL.format(extra="+ CAST(count_if(stored AND NOT sales_ok) AS BIGINT)", not_ok="")
 
 
 @query("run_totals_hourly", with_views(HOURLY_SQL, "v_outcomes"))
@@ -87,19 +88,33 @@ def _runs_sql(full: bool, select: str) -> str:
 
 
 @query("run_class_hourly", _runs_sql(False, """
-SELECT run_id, CASE WHEN stopped THEN 'red' WHEN failed > 0 OR errors > 0 THEN 'yellow' ELSE 'green' END AS run_class
+SELECT run_id, CASE WHEN stopped THEN 'red' WHEN failed > 0 OR errors > 0 THEN 'yellow' ELSE 'green' END AS run_class,
+       '' AS stop_reason
 FROM runs"""))
 def q_run_class_hourly(spark, sf):
     r = _runs(spark, sf, full=False)
     return r.select("run_id", report.run_class_hourly(F.col("stopped"), F.col("failed"), F.col("errors"))
-                    .alias("run_class"))
+                    .alias("run_class"), report.stop_reason("hourly", F.col("stopped")).alias("stop_reason"))
 
 
 @query("run_class_full", _runs_sql(True, """
-SELECT run_id, CASE WHEN stopped THEN 'red' WHEN failed > 0 THEN 'yellow' ELSE 'green' END AS run_class FROM runs"""))
+SELECT run_id, CASE WHEN stopped THEN 'red' WHEN failed > 0 THEN 'yellow' ELSE 'green' END AS run_class,
+       CASE WHEN stopped THEN 'Critical errors encountered' ELSE '' END AS stop_reason FROM runs"""))
 def q_run_class_full(spark, sf):
     r = _runs(spark, sf, full=True)
-    return r.select("run_id", report.run_class_full(F.col("stopped"), F.col("failed")).alias("run_class"))
+    return r.select("run_id", report.run_class_full(F.col("stopped"), F.col("failed")).alias("run_class"),
+                    report.stop_reason("full", F.col("stopped")).alias("stop_reason"))
+
+
+@query("run_progress", with_views("""
+SELECT t.run_id, CAST(CASE WHEN s.stop_batch IS NULL THEN t.total_batches
+                           ELSE least(s.stop_batch + 1, t.total_batches) END AS BIGINT) AS current_batch,
+       t.total_batches
+FROM (SELECT run_id, count(*) AS total_batches FROM v_batches GROUP BY run_id) t
+LEFT JOIN stops s ON t.run_id = s.run_id""", "v_batches", extra=STOP_CTES))
+def q_run_progress(spark, sf):
+    log = S.batches(spark, sf)
+    return report.run_progress(log, batches.stop_point(log).filter(F.col("stop_batch").isNotNull()))
 
 
 @query("run_verdict", _runs_sql(False, """
@@ -141,24 +156,28 @@ def q_run_duration(spark, sf):
 def sync_response(spark, sf):
     """RPT-9: the ad-hoc sales sync summary: keys requested and found,
     inserted/updated per target, the (clamped) window and its warning. The
-    production copy lags: it holds the stored months before 1998 only."""
+    production copy lags: it holds the stored months before 1998 only.
+
+    One global aggregation over a tagged union of the request rows and both
+    merge results (no joins between the one-row parts)."""
     source = S.sales_new(spark, sf)
     staging = ups.upsert_sales(S.sales(spark, sf), source, AS_OF, partition_by=["date"])
     production = ups.upsert_sales(S.sales(spark, sf).filter("date < DATE'1998-01-01'"), source, AS_OF,
                                   partition_by=["date"])
-    st = ups.upsert_counts(staging).select(F.col("inserted").alias("staging_inserted"),
-                                           F.col("updated").alias("staging_updated"))
-    pr = ups.upsert_counts(production).select(F.col("inserted").alias("production_inserted"),
-                                              F.col("updated").alias("production_updated"))
-    req = source.agg(F.count_distinct("asin").alias("requested"),
-                     F.count_distinct(F.when(F.col("estimated_units_sold") > 0, F.col("asin"))).alias("found"),
-                     F.min("date").alias("start_date"), F.max("date").alias("end_date"))
-    win = windows.clamp_window(req).withColumn(
+    tagged = (source.select(F.lit("request").alias("_part"), "asin", "date", "estimated_units_sold")
+              .unionByName(staging.select(F.lit("staging").alias("_part"), "action"), allowMissingColumns=True)
+              .unionByName(production.select(F.lit("production").alias("_part"), "action"),
+                           allowMissingColumns=True))
+    part, act = F.col("_part"), F.col("action")
+    req = part == "request"
+    summary = tagged.agg(
+        F.count_distinct(F.when(req, F.col("asin"))).alias("requested"),
+        F.count_distinct(F.when(req & (F.col("estimated_units_sold") > 0), F.col("asin"))).alias("found"),
+        F.min(F.when(req, F.col("date"))).alias("start_date"), F.max(F.when(req, F.col("date"))).alias("end_date"),
+        *[F.count_if((part == t) & (act == a)).alias(f"{t}_{a}")
+          for t in ("staging", "production") for a in (ups.INSERTED, ups.UPDATED)])
+    return windows.clamp_window(summary).withColumn(
         "warning", F.when(F.col("date_range_adjusted"), F.lit("date range longer than one year; start moved")))
-    # Three one-row frames side by side: joined on a constant key.
-    one = F.lit(1).alias("_one")
-    out = (win.select("*", one).join(st.select("*", one), "_one").join(pr.select("*", one), "_one").drop("_one"))
-    return out
 
 
 @query("sync_response", with_views(f"""

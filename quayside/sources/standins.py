@@ -259,3 +259,32 @@ SELECT concat('B', lpad(CAST(l_partkey AS VARCHAR), 9, '0')) AS asin,
 FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1"""
 
 VIEW_BUILDERS.update({"v_requests": requests, "v_spans": spans})
+
+
+# Every status event kind, in the order the all-kinds stand-in assigns them
+# (event_id modulo 12).
+ALL_EVENT_KINDS = ("fresh_reset", "resume", "key_added", "product_stored", "product_store_failed",
+                   "product_not_found", "batch_fetch_failed", "sales_stored", "sales_fetch_failed",
+                   "sales_all_failed", "status_set_clear", "key_removed")
+
+
+def status_events_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status events of every kind (deletes, inserts and resets included),
+    with the two flags ``status_set_clear`` carries."""
+    e = read_table(spark, sf_dir, "events")
+    kind = None
+    for i, k in enumerate(ALL_EVENT_KINDS):
+        cond = F.col("event_id") % len(ALL_EVENT_KINDS) == i
+        kind = F.when(cond, k) if kind is None else kind.when(cond, k)
+    return e.select(asin_of(F.col("user_id")).alias("asin"), F.col("event_id").alias("seq"),
+                    kind.alias("kind"), F.col("ts").alias("at"),
+                    F.concat(F.lit("failure "), F.col("event_id").cast("string")).alias("error_text"),
+                    (F.col("value") > 10).alias("product_flag"), (F.col("value") > 25).alias("sales_flag"))
+
+
+SQL_VIEWS["v_events_all"] = (
+    "SELECT concat('B', lpad(CAST(user_id AS VARCHAR), 9, '0')) AS asin, event_id AS seq, CASE event_id % 12 "
+    + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(ALL_EVENT_KINDS))
+    + " END AS kind, ts AS \"at\", concat('failure ', CAST(event_id AS VARCHAR)) AS error_text,"
+    " value > 10 AS product_flag, value > 25 AS sales_flag FROM events")
+VIEW_BUILDERS["v_events_all"] = status_events_all

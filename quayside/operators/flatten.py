@@ -128,18 +128,19 @@ def fees_wide(products: DataFrame) -> DataFrame:
     return products.select("asin", "report_date", "fee_breakdown.*")
 
 
+IDENTIFIER_KINDS = ("ean", "isbn", "upc", "gtin")
+
+
 def identifiers_long(products: DataFrame) -> DataFrame:
     """FLT-16 long form: (asin, report_date, kind, value) for every
     identifier in the four lists; keys with an empty or missing list keep
-    one row with NULL value (``explode_outer``)."""
-    parts = []
-    for kind in ("ean", "isbn", "upc", "gtin"):
-        parts.append(products.select("asin", "report_date", F.lit(kind).alias("kind"),
-                                     F.explode_outer(f"{kind}_list").alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    one row with NULL value (``explode_outer``). One pass over the input:
+    the four lists become an array of (kind, list) pairs, inlined, then
+    exploded."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"{k}_list").alias("vals"))
+                      for k in IDENTIFIER_KINDS])
+    return (products.select("asin", "report_date", F.inline(pairs))
+            .select("asin", "report_date", "kind", F.explode_outer("vals").alias("value")))
 
 
 def json_extract_cast(docs: DataFrame, text_col: str = "doc") -> DataFrame:

@@ -55,30 +55,37 @@ def _calls(processed: Column, product_ok: Column) -> Column:
     return F.ceil(processed / RUN_KEYS_PER_CALL) + product_ok
 
 
-def run_totals_hourly(outcomes: DataFrame, run: str = "run_id") -> DataFrame:
+def _outcome_counts(outcomes: DataFrame, run: str) -> DataFrame:
+    """One aggregation per run feeding every total (and the error count the
+    run class needs), so the outcome table is scanned and shuffled once."""
+    return outcomes.groupBy(run).agg(
+        F.count(F.lit(1)).alias("processed"), F.count_if("stored").alias("product_ok"),
+        F.count_if(F.col("stored") & F.col("sales_ok")).alias("sales_ok"),
+        F.count_if(F.col("stored") & ~F.col("sales_ok")).alias("_sales_failed"),
+        F.count_if(F.col("error_kind").isNotNull()).alias("errors"))
+
+
+def run_totals_hourly(outcomes: DataFrame, run: str = "run_id", with_errors: bool = False) -> DataFrame:
     """AGG-13 (incremental run): failed = selected - stored products; sales
     failures are not counted as failed keys. Calls: one product call per
     100 keys plus one sales call per stored product. RPT-8: the product
     ok / not-ok pair, not-ok = processed - ok."""
-    t = outcomes.groupBy(run).agg(F.count(F.lit(1)).alias("processed"),
-                                  F.count_if("stored").alias("product_ok"),
-                                  F.count_if(F.col("stored") & F.col("sales_ok")).alias("sales_ok"))
+    t = _outcome_counts(outcomes, run)
     return t.select(run, "processed", "product_ok",
                     (F.col("processed") - F.col("product_ok")).alias("product_not_ok"), "sales_ok",
                     (F.col("processed") - F.col("product_ok")).alias("failed"),
-                    _calls(F.col("processed"), F.col("product_ok")).cast("bigint").alias("calls"))
+                    _calls(F.col("processed"), F.col("product_ok")).cast("bigint").alias("calls"),
+                    *(["errors"] if with_errors else []))
 
 
-def run_totals_full(outcomes: DataFrame, run: str = "run_id") -> DataFrame:
+def run_totals_full(outcomes: DataFrame, run: str = "run_id", with_errors: bool = False) -> DataFrame:
     """AGG-13 (full run): failed = (batch - stored) plus sales failures of
     stored keys."""
-    t = outcomes.groupBy(run).agg(F.count(F.lit(1)).alias("processed"),
-                                  F.count_if("stored").alias("product_ok"),
-                                  F.count_if(F.col("stored") & F.col("sales_ok")).alias("sales_ok"),
-                                  F.count_if(F.col("stored") & ~F.col("sales_ok")).alias("_sales_failed"))
+    t = _outcome_counts(outcomes, run)
     return t.select(run, "processed", "product_ok", "sales_ok",
                     (F.col("processed") - F.col("product_ok") + F.col("_sales_failed")).alias("failed"),
-                    _calls(F.col("processed"), F.col("product_ok")).cast("bigint").alias("calls"))
+                    _calls(F.col("processed"), F.col("product_ok")).cast("bigint").alias("calls"),
+                    *(["errors"] if with_errors else []))
 
 
 def run_class_hourly(stopped: Column, failed: Column, errors: Column) -> Column:

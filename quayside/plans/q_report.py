@@ -68,13 +68,9 @@ STOP_CTES = {
 
 def _runs(spark, sf, full: bool):
     """Per run: totals, error total, stopped flag (from the run's batch log)."""
-    totals = (report.run_totals_full if full else report.run_totals_hourly)(S.outcomes(spark, sf))
-    errs = _errors(spark, sf).select(
-        "run_id", (F.col("db_errors") + F.col("api_errors") + F.col("parse_errors") + F.col("other_errors"))
-        .alias("errors"))
+    totals = (report.run_totals_full if full else report.run_totals_hourly)(S.outcomes(spark, sf), with_errors=True)
     stops = batches.stop_point(S.batches(spark, sf))
-    return (totals.join(errs, "run_id").join(stops, "run_id", "left")
-            .withColumn("stopped", F.col("stop_batch").isNotNull()))
+    return totals.join(stops, "run_id", "left").withColumn("stopped", F.col("stop_batch").isNotNull())
 
 
 def _runs_sql(full: bool, select: str) -> str:

@@ -45,20 +45,30 @@ class Target:
         return f"{self.root.rstrip('/')}/{self.prefix}{name}"
 
 
-def _fs_exists(spark: SparkSession, path: str) -> bool:
+def _newest_pointer_folder(spark: SparkSession, ptr: str) -> str | None:
+    """Name of the newest committed pointer version (versions sort as text;
+    callers use sortable version ids). Only folder names are listed; a
+    folder without ``_SUCCESS`` is an unfinished write and is skipped."""
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    p = jvm.org.apache.hadoop.fs.Path(ptr)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    names = sorted((st.getPath().getName() for st in fs.listStatus(p)
+                    if st.isDirectory() and st.getPath().getName().startswith("v=")
+                    and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))),
+                   key=lambda n: n[2:])
+    return names[-1] if names else None
 
 
 def live_pointer(spark: SparkSession, target: Target, name: str) -> DataFrame | None:
-    """Rows of the newest pointer version (None if the table does not exist)."""
+    """Rows of the newest pointer version (None if the table does not exist).
+    Reads one small folder, however many versions were published."""
     ptr = f"{target.table(name)}/{POINTER}"
-    if not _fs_exists(spark, ptr):
+    newest = _newest_pointer_folder(spark, ptr)
+    if newest is None:
         return None
-    p = spark.read.schema(POINTER_SCHEMA).parquet(ptr)
-    newest = p.agg(F.max("version").alias("version"))
-    return p.join(newest, "version")
+    return spark.read.schema(POINTER_SCHEMA).parquet(f"{ptr}/{newest}")
 
 
 def live_paths(spark: SparkSession, target: Target, name: str) -> list[str]:

@@ -174,7 +174,9 @@ def publish(df: DataFrame, name: str, version: str, staging: Target, production:
         report.append((name, staging.prefix, version, "failed", 1, str(e)[:500]))
         return _report(spark, report)
     if production is not None:
-        copy = spark.read.parquet(spath)
+        # Copy of the staging files (with the plan's schema, so an empty
+        # version needs no inference); partition columns go back in place.
+        copy = spark.read.schema(df.schema).parquet(spath).select(*df.columns)
         last = None
         for attempt in range(1, attempts + 1):
             try:

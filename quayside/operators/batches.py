@@ -67,24 +67,55 @@ def duplicate_key_count(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
-def stop_point(batch_log: DataFrame, run: str = "run_id", limit: int = 3) -> DataFrame:
+STOP_BLOCK = 100_000  # batch numbers per block of the stop-rule scan
+
+
+def stop_point(batch_log: DataFrame, run: str = "run_id", limit: int = 3, block_size: int = STOP_BLOCK) -> DataFrame:
     """WIN-3: the batch at which a run stops: ``limit`` consecutive
     processed batches that returned rows but stored none. Any other
     processed batch resets the streak; batches whose fetch failed neither
     count nor reset. Runs that never stop get ``stop_batch`` NULL.
 
-    Gaps and islands: a running count of resets numbers the islands; the
-    running count of failures inside an island is the streak. The window is
-    per run, and a run's batch log holds one row per 100 keys, so even the
-    largest run is a small partition.
+    A two-level scan, so no run is ever one window partition:
+    1. Batch numbers are cut into blocks of ``block_size``. Inside a block
+       (a window of at most ``block_size`` rows) islands between resets give
+       each row its streak; a block is summarised by its row count, whether it
+       has a reset, the positions of its first ``limit`` leading failures, the
+       first in-block stop after a reset, and its trailing streak.
+    2. Per run, over the block summaries (one row per block), the streak
+       carried into each block is the sum over its segment (the last block
+       with a reset contributes its trailing streak, later all-failure blocks
+       their row counts). A block stops the run at its (limit - carry)-th
+       leading failure, or at its own in-block stop; the earliest wins.
     """
-    processed = batch_log.filter(~F.col("fetch_failed"))
     fail = (F.col("returned") > 0) & (F.col("stored") == 0)
-    w = Window.partitionBy(run).orderBy("batch_no").rowsBetween(Window.unboundedPreceding, 0)
-    marked = processed.select(run, "batch_no", fail.alias("_fail"))
-    islands = marked.withColumn("_island", F.sum((~F.col("_fail")).cast("int")).over(w))
-    w2 = Window.partitionBy(run, "_island").orderBy("batch_no").rowsBetween(Window.unboundedPreceding, 0)
-    streak = islands.withColumn("_streak", F.sum(F.col("_fail").cast("int")).over(w2))
+    x = (batch_log.filter(~F.col("fetch_failed"))
+         .select(run, "batch_no", fail.alias("_f"), F.floor(F.col("batch_no") / block_size).alias("_blk")))
+    upto = Window.unboundedPreceding
+    wb = Window.partitionBy(run, "_blk").orderBy("batch_no").rowsBetween(upto, 0)
+    x = x.withColumn("_island", F.sum((~F.col("_f")).cast("int")).over(wb))
+    wi = Window.partitionBy(run, "_blk", "_island").orderBy("batch_no").rowsBetween(upto, 0)
+    x = x.withColumn("_streak", F.sum(F.col("_f").cast("int")).over(wi))
+
+    lead = [F.min(F.when((F.col("_island") == 0) & (F.col("_streak") == k), F.col("batch_no"))).alias(f"_lead{k}")
+            for k in range(1, limit + 1)]
+    blocks = x.groupBy(run, "_blk").agg(
+        F.count(F.lit(1)).alias("_n"), (F.max("_island") == 0).alias("_all_fail"), *lead,
+        F.min(F.when((F.col("_island") > 0) & (F.col("_streak") >= limit), F.col("batch_no"))).alias("_local"),
+        F.max_by("_streak", "batch_no").alias("_trail"))
+
+    wr = Window.partitionBy(run).orderBy("_blk")
+    blocks = blocks.withColumn("_seg", F.sum((~F.col("_all_fail")).cast("int")).over(wr.rowsBetween(upto, 0)))
+    ws = Window.partitionBy(run, "_seg").orderBy("_blk").rowsBetween(upto, 0)
+    blocks = blocks.withColumn("_end", F.sum(F.when(F.col("_all_fail"), F.col("_n")).otherwise(F.col("_trail"))).over(ws))
+    blocks = blocks.withColumn("_carry", F.coalesce(F.lag("_end", 1).over(wr), F.lit(0)))
+
+    need = F.lit(limit) - F.col("_carry")
+    carried = None
+    for k in range(1, limit + 1):
+        carried = (F.when(need == k, F.col(f"_lead{k}")) if carried is None
+                   else carried.when(need == k, F.col(f"_lead{k}")))
+    candidate = F.when(F.col("_carry") < limit, F.least(carried, F.col("_local")))
+    stops = blocks.groupBy(run).agg(F.min(candidate).alias("stop_batch"))
     runs = batch_log.select(run).distinct()
-    stops = streak.filter(F.col("_streak") >= limit).groupBy(run).agg(F.min("batch_no").alias("stop_batch"))
     return runs.join(stops, run, "left")

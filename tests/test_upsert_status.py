@@ -132,3 +132,31 @@ def test_stop_point_rules(spark):
         "run_id int, batch_no int, fetch_failed boolean, returned int, stored int")
     got = {r.run_id: r.stop_batch for r in batches.stop_point(log).collect()}
     assert got == {1: 4, 2: None, 3: None}
+
+
+def _expected_stops(rows, limit=3):
+    out = {}
+    for run in sorted({r[0] for r in rows}):
+        streak, stop = 0, None
+        for _, b, ff, ret, sto in sorted(r for r in rows if r[0] == run):
+            if ff:
+                continue
+            streak = streak + 1 if (ret > 0 and sto == 0) else 0
+            if streak >= limit and stop is None:
+                stop = b
+        out[run] = stop
+    return out
+
+
+def test_stop_point_blocks_match_a_sequential_scan(spark):
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for run in range(12):
+        for b in range(1, rnd.randint(1, 60)):
+            rows.append((run, b, rnd.random() < 0.2, rnd.choice([0, 100, 100]), rnd.choice([0, 0, 0, 50])))
+    df = spark.createDataFrame(rows, "run_id int, batch_no int, fetch_failed boolean, returned int, stored int")
+    want = _expected_stops(rows)
+    for bs in (1, 2, 3, 7, 1000):
+        got = {r.run_id: r.stop_batch for r in batches.stop_point(df, block_size=bs).collect()}
+        assert got == want, bs

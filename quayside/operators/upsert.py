@@ -36,8 +36,9 @@ def prepare_source(source: DataFrame, keys: list[str], seq: str | None = None,
     """UPS-6: drop rows with a NULL key part; resolve duplicate keys.
 
     ``last`` keeps the row with the highest ``seq`` (the row-by-row path of
-    the reference); ``error`` raises like one bulk statement touching a row
-    twice (this runs one aggregation over the source)."""
+    the reference; without ``seq``, the greatest row); ``error`` raises like
+    one bulk statement touching a row twice (this runs one aggregation over
+    the source)."""
     src = source.filter(_all([F.col(k).isNotNull() for k in keys]))
     if on_duplicate == "error":
         dup = duplicate_key_count(src, keys).limit(1).collect()
@@ -47,7 +48,14 @@ def prepare_source(source: DataFrame, keys: list[str], seq: str | None = None,
     if on_duplicate != "last":
         raise ValueError("on_duplicate must be 'last' or 'error'")
     if seq is None:
-        return src
+        # No order given: keep one row per key deterministically (the
+        # greatest row), so a retry picks the same one. The aggregation is on
+        # the merge keys, so the join reuses its partitioning.
+        others = [c for c in src.columns if c not in keys]
+        if not others:
+            return src.distinct()
+        return (src.groupBy(*keys).agg(F.max(F.struct(*others)).alias("_row"))
+                .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]))
     return dedupe_last(src, keys, seq).drop(seq)
 
 

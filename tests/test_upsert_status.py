@@ -160,3 +160,11 @@ def test_stop_point_blocks_match_a_sequential_scan(spark):
     for bs in (1, 2, 3, 7, 1000):
         got = {r.run_id: r.stop_batch for r in batches.stop_point(df, block_size=bs).collect()}
         assert got == want, bs
+
+
+def test_upsert_without_seq_keeps_one_row_per_key(spark):
+    target = _t(spark, [("a", 1, None, None)])
+    src = spark.createDataFrame([("a", 5), ("a", 7), ("b", 1), ("b", 1)], "k string, v int")
+    out = ups.upsert(target, src, ["k"], update_cols=["v"]).drop("action")
+    assert_unique(out, ["k"])
+    assert {r.k: r.v for r in out.collect()} == {"a": 7, "b": 1}

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from quayside.functions.dates import date_lit, lenient_date, lenient_timestamp, ts_lit
 from quayside.functions.ids import asin_from_id, empty_to_null, id_asin, id_marketplace
-from quayside.schemas import KEYWORD_METRICS, NESTED_ATTRIBUTES, NULLABLE_INTS, PRODUCT_ATTRIBUTES
+from quayside.schemas import KEYWORD_METRICS, NESTED_ATTRIBUTES, NULLABLE_INTS
 
 _ZERO = {T.StringType: "", T.BooleanType: False, T.IntegerType: 0}
 
@@ -49,7 +49,8 @@ def flatten_products(docs: DataFrame, report_date: dt.date, created_at: dt.datet
     idc = F.col("item.id")
     asin = asin_from_id(idc) if asin_rule == "code" else id_asin(idc)
     cols = [asin.alias("asin"), date_lit(report_date).alias("report_date"), idc.alias("id")]
-    for f in PRODUCT_ATTRIBUTES.fields:
+    attrs = docs.schema["data"].dataType.elementType["attributes"].dataType  # declared or variant form
+    for f in attrs.fields:
         c = F.col(f"item.attributes.{f.name}")
         if f.name == "date_first_available":
             c = lenient_date(c)
@@ -123,8 +124,15 @@ def subcategory_ranks_long(products: DataFrame) -> DataFrame:
     return products.select("asin", "report_date", F.inline("subcategory_ranks"))
 
 
+FEE_FIELDS = ("fba_fee", "referral_fee", "variable_closing_fee", "total_fees")
+
+
 def fees_wide(products: DataFrame) -> DataFrame:
-    """FLT-15 wide form: the fee object as columns."""
+    """FLT-15 wide form: the fee object as columns (declared struct, or
+    ``variant_get`` with a decimal cast when it was read as a variant)."""
+    if isinstance(products.schema["fee_breakdown"].dataType, T.VariantType):
+        return products.select("asin", "report_date", *[
+            F.variant_get("fee_breakdown", f"$.{n}", "decimal(10,2)").alias(n) for n in FEE_FIELDS])
     return products.select("asin", "report_date", "fee_breakdown.*")
 
 

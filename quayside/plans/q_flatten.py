@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from quayside.functions.dates import lenient_date, lenient_timestamp, ts_lit
+from quayside.functions.dates import lenient_date, lenient_timestamp
 from quayside.functions.ids import asin_from_id, empty_to_null, id_asin, id_marketplace
 from quayside.operators import flatten as flt
 from quayside.operators import upsert as ups
@@ -212,17 +212,27 @@ def q_subcategory_ranks_long(spark, sf):
 FBA, REF = f"CAST({K} % 900 AS DECIMAL(10,2)) / 100", f"CAST({K} % 300 AS DECIMAL(10,2)) / 100"
 
 
-@query("fees_wide", f"""
+FEES_SQL = f"""
 SELECT {D.code_asin_sql(K)} AS asin, DATE '2024-02-01' AS report_date,
        CASE WHEN {K} % 10 <> 7 THEN CAST({FBA} AS DECIMAL(10,2)) END AS fba_fee,
        CASE WHEN {K} % 10 <> 7 THEN CAST({REF} AS DECIMAL(10,2)) END AS referral_fee,
        CASE WHEN {K} % 10 <> 7 THEN CAST(0 AS DECIMAL(10,2)) END AS variable_closing_fee,
        CASE WHEN {K} % 10 <> 7 THEN CAST({FBA} + {REF} AS DECIMAL(10,2)) END AS total_fees
-FROM part WHERE NOT {D.BROKEN_SQL}""")
+FROM part WHERE NOT {D.BROKEN_SQL}"""
+
+
+@query("fees_wide", FEES_SQL)
 def q_fees_wide(spark, sf):
     return flt.fees_wide(_flat(spark, sf))
 
 
+@query("fees_variant", FEES_SQL)
+def q_fees_variant(spark, sf):
+    """The fee object read as a variant (free map), fields cast on read."""
+    docs = P.good_documents(P.read_product_payloads(D.product_documents(spark, sf), free_form="variant"))
+    return flt.fees_wide(flt.flatten_products(docs, REPORT_DATE, AS_OF))
+
+
 @query("identifiers_long", f"""
 WITH p AS (SELECT * FROM part WHERE NOT {D.BROKEN_SQL})
 SELECT {D.code_asin_sql(K)} AS asin, DATE '2024-02-01' AS report_date, 'ean' AS kind,

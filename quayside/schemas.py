@@ -55,6 +55,14 @@ def _doc(attributes: T.StructType) -> T.StructType:
 
 PRODUCT_DOC = _doc(PRODUCT_ATTRIBUTES)
 
+# Variant form of the two free maps (the reference keeps them as free JSON):
+# unknown keys survive; fields are read with variant_get at use.
+FREE_FORM = ("subcategory_ranks", "fee_breakdown")
+PRODUCT_ATTRIBUTES_VARIANT = T.StructType([
+    T.StructField(f.name, T.VariantType() if f.name in FREE_FORM else f.dataType, True)
+    for f in PRODUCT_ATTRIBUTES.fields])
+PRODUCT_DOC_VARIANT = _doc(PRODUCT_ATTRIBUTES_VARIANT)
+
 SALES_POINT = _struct([("date", S), ("estimated_units_sold", I), ("last_known_price", dec(10, 2))])
 SALES_ATTRIBUTES = _struct([("asin", S), ("is_parent", B), ("is_variant", B), ("is_standalone", B),
                             ("parent_asin", S), ("variants", STRINGS), ("data", T.ArrayType(SALES_POINT))])

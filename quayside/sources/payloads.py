@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.schemas import CORRUPT, KEYWORD_DOC, PRODUCT_DOC, SALES_DOC
+from quayside.schemas import CORRUPT, KEYWORD_DOC, PRODUCT_DOC, PRODUCT_DOC_VARIANT, SALES_DOC
 
-DOC_SCHEMAS = {"product": PRODUCT_DOC, "sales": SALES_DOC, "keyword": KEYWORD_DOC}
+DOC_SCHEMAS = {"product": PRODUCT_DOC, "product_variant": PRODUCT_DOC_VARIANT, "sales": SALES_DOC,
+               "keyword": KEYWORD_DOC}
 
 
 def read_payload_files(spark: SparkSession, path: str, kind: str, multi_line: bool = False,
@@ -38,9 +39,11 @@ def parse_payloads(docs: DataFrame, kind: str, text_col: str = "doc") -> DataFra
     return docs.select(*keep, parsed.alias("_p")).select(*keep, "_p.data", F.col(f"_p.{CORRUPT}").alias(CORRUPT))
 
 
-def read_product_payloads(docs: DataFrame, text_col: str = "doc") -> DataFrame:
-    """SRC-1."""
-    return parse_payloads(docs, "product", text_col)
+def read_product_payloads(docs: DataFrame, text_col: str = "doc", free_form: str = "struct") -> DataFrame:
+    """SRC-1. ``free_form='variant'`` reads the two free maps
+    (subcategory ranks, fee breakdown) as ``VariantType`` instead of the
+    declared structs, keeping keys the schema does not know."""
+    return parse_payloads(docs, "product_variant" if free_form == "variant" else "product", text_col)
 
 
 def read_sales_payloads(docs: DataFrame, text_col: str = "doc") -> DataFrame:

@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from quayside.operators import select as sel
 from quayside.schemas import STATUS_TABLE

@@ -34,16 +34,38 @@ def _flat(spark, sf, defaults="zero", asin_rule="code", created=AS_OF):
 
 # --- sources ---------------------------------------------------------------
 
-@query("src_product_payload", f"""
+SRC_PRODUCT_SQL_DOCS = f"""
 SELECT {DOC} AS doc_id, CASE WHEN {D.BROKEN_SQL} THEN NULL ELSE CAST(count(*) AS INT) END AS n_items,
        CASE WHEN {D.BROKEN_SQL} THEN 'parse_error' ELSE 'ok' END AS outcome
 FROM part GROUP BY 1, {D.BROKEN_SQL}
 UNION ALL
-SELECT -{K} - 1 AS doc_id, 0 AS n_items, 'empty_response' AS outcome FROM part WHERE {K} % {D.EMPTY_EVERY} = 0""")
+SELECT -{K} - 1 AS doc_id, 0 AS n_items, 'empty_response' AS outcome FROM part WHERE {K} % {D.EMPTY_EVERY} = 0"""
+SRC_PRODUCT_SQL = f"""
+SELECT outcome, count(*) AS documents, CAST(sum(n_items) AS BIGINT) AS items FROM ({SRC_PRODUCT_SQL_DOCS}) d
+GROUP BY outcome"""
+
+
+@query("src_product_payload", SRC_PRODUCT_SQL_DOCS)
 def q_src_product_payload(spark, sf):
     return P.document_summary(_products(spark, sf))
 
 
+@query("src_product_files", SRC_PRODUCT_SQL)
+def q_src_product_files(spark, sf):
+    """The same documents landed as files (one per line) and read with
+    ``spark.read.json`` and the declared schema, as a landing folder is."""
+    import uuid
+    from quayside.session import ensure_checkpoint_dir
+    landing = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landed-products-{uuid.uuid4().hex[:12]}"
+    docs = D.product_documents(spark, sf)
+    docs.select("doc").write.text(landing)
+    parsed = P.read_payload_files(spark, landing, "product")
+    # Files carry no document id, so the result is per outcome: documents
+    # and items.
+    return P.document_summary(parsed.drop("source_file")).groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum("n_items").alias("items"))
+
+
 @query("src_sales_payload", """
 SELECT DISTINCT l_partkey AS doc_id, CASE WHEN l_partkey % 10 = 0 THEN 2 ELSE 1 END AS n_items, 'ok' AS outcome
 FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R'""")

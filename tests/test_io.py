@@ -122,3 +122,15 @@ def test_validation_and_drift(spark):
     p = spark.createDataFrame([("a", 1), ("b", 3), ("d", 4), ("c", None)], "k string, v int")
     summ = drift.drift_summary(s, p, ["k"]).first()
     assert (summ.only_staging, summ.only_production, summ.differs, summ.same) == (0, 1, 1, 2)
+
+
+def test_multi_line_documents(spark):
+    d = scratch(spark)
+    doc = json.dumps(json.loads(sales_doc("B9", [("2024-01-03", 1, 2.25)])), indent=2)
+    for i in range(2):
+        with open(os.path.join(d, f"{i}.json"), "w") as f:
+            f.write(doc)
+    parsed = payloads.read_payload_files(spark, d, "sales", multi_line=True)
+    summary = payloads.document_summary(parsed).collect()
+    assert [r.outcome for r in summary] == ["ok", "ok"]
+    assert all(r.source_file.endswith(".json") for r in summary)

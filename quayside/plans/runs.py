@@ -83,7 +83,9 @@ def incremental_run(spark: SparkSession, catalog: DataFrame, product_docs: DataF
     # The selection (at most ``limit`` rows) is used four times; it is
     # checkpointed to the shared folder so every use sees the same keys.
     selection = sel.select_priority(status1, as_of, limit).checkpoint(eager=True)
-    products = _stored_products(product_docs, selection, as_of)
+    # Rows of the run's keys only (bounded by the run size): parsed once,
+    # checkpointed, then used by the upsert, the status events and the summary.
+    products = _stored_products(product_docs, selection, as_of).checkpoint(eager=True)
     missing = sel.not_found(selection, products)
 
     # Products: staging then production; the snapshot table is partitioned
@@ -100,7 +102,8 @@ def incremental_run(spark: SparkSession, catalog: DataFrame, product_docs: DataF
     win = windows.plan_sales_windows(sel.attach_sync_info(selection, stored), as_of)
     points = (_sales_rows(sales_docs, stored, marketplace).join(F.broadcast(win), "asin")
               .filter(F.col("date").between(F.col("start_date"), F.col("end_date")))
-              .drop("start_date", "end_date", "is_empty_window"))
+              .drop("start_date", "end_date", "is_empty_window")
+              .checkpoint(eager=True))  # the run's keys only; reused three times
     sales_live = read_live(spark, targets.staging, SALES, SALES_TABLE)
     sales_merged = ups.upsert_sales(sales_live, points, as_of, partition_by=["date"], touched_only=True)
     _publish_table(sales_merged.drop("action"), SALES, version, targets, "incremental", partition_by="date",

@@ -99,13 +99,16 @@ def run_class_full(stopped: Column, failed: Column) -> Column:
     return F.when(stopped, "red").when(failed > 0, "yellow").otherwise("green")
 
 
-def stop_reason(mode: str, stopped: Column, reason: Column | None = None) -> Column:
+def stop_reason(mode: str, stopped: Column, reason: Column | None = None,
+                selection_failed: Column | None = None) -> Column:
     """RPT-6: the full run names a default reason when it stopped without
-    one; the incremental run reports only the reason it was given (set only
-    when selection fails), else blank."""
+    one; the incremental run sets a reason only when its selection failed,
+    else reports what it was given (blank by default)."""
     given = F.coalesce(reason, F.lit("")) if reason is not None else F.lit("")
     if mode == "full":
         return F.when(stopped & (given == ""), F.lit(DEFAULT_STOP_REASON)).otherwise(given)
+    if selection_failed is not None:
+        return F.when(selection_failed, F.lit(SELECTION_FAILED_REASON)).otherwise(given)
     return given
 
 

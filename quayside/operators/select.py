@@ -21,9 +21,6 @@ RUN_KEY_LIMIT = 100          # keys per incremental run
 NOT_FOUND_RETRY_DAYS = 15    # a not-found key is retried after this many days
 STALE_AFTER_DAYS = 30        # product data older than this is refreshed
 
-SELECTION_COLUMNS = ["asin", "is_new", "sales_estimate_data_synced_at"]
-
-
 def _before(as_of: dt.datetime, days: int):
     return ts_lit(as_of - dt.timedelta(days=days))
 

@@ -76,3 +76,15 @@ def test_visible_and_cleanup(spark):
     assert kept == {"A"} and deleted == {"B"}
     added = sel.add_new_keys(vis, st, AS_OF).collect()
     assert [(r.asin, r.has_product_data, r.has_sales_data) for r in added] == [("C", False, False)]
+
+
+def test_stop_reasons(spark):
+    from pyspark.sql import functions as F
+
+    from quayside.operators import report
+    df = spark.createDataFrame([(True, False), (False, False), (True, True)], "stopped boolean, sel_failed boolean")
+    got = df.select(report.stop_reason("full", F.col("stopped")).alias("f"),
+                    report.stop_reason("hourly", F.col("stopped"), selection_failed=F.col("sel_failed")).alias("h")
+                    ).collect()
+    assert [r.f for r in got] == [report.DEFAULT_STOP_REASON, "", report.DEFAULT_STOP_REASON]
+    assert [r.h for r in got] == ["", "", report.SELECTION_FAILED_REASON]

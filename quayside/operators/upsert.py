@@ -8,9 +8,10 @@ returns.
 
 Scale: with ``partition_by`` only target partitions the source touches go
 through the join; the rest passes through untouched. The touched partition
-values are a small distinct set; the semi/anti joins on them are planned by
-Spark (dynamic partition pruning on a partitioned scan, and AQE turns the join
-into a broadcast only when its runtime size is under the threshold).
+values (a bounded set, see :func:`split_touched`) become a literal filter,
+so a partitioned target's scan is pruned to those folders and the untouched
+rows are never shuffled. The merge join is on the full natural key, which is
+unique on both sides after :func:`prepare_source`, so it has no hot key.
 """
 
 from __future__ import annotations

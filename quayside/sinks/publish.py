@@ -14,6 +14,11 @@ computed twice). Production gets up to three attempts, pausing 1 s, then 2 s.
 Partitioned tables can publish only the partitions a change touched: the
 pointer then lists one folder per partition value, and the new pointer
 keeps the old folders of untouched partitions.
+
+One writer per table at a time (the reference serialises its runs with a
+process-wide lock; a scheduler does the same here). Version ids must sort
+as text in publish order, e.g. a zero-padded run number or a UTC stamp
+``YYYYMMDDTHHMMSS``; readers always take the newest committed pointer.
 """
 
 from __future__ import annotations

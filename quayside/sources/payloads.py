@@ -30,11 +30,12 @@ def read_payload_files(spark: SparkSession, path: str, kind: str, multi_line: bo
     return reader.json(path).withColumn("source_file", F.col("_metadata.file_path"))
 
 
-def parse_payloads(docs: DataFrame, kind: str, text_col: str = "doc") -> DataFrame:
+def parse_payloads(docs: DataFrame, kind: str, text_col: str = "doc", mode: str = "PERMISSIVE") -> DataFrame:
     """Parse a column of JSON text into ``data`` (+ ``_corrupt_record``);
-    the other input columns are carried along."""
+    the other input columns are carried along. ``mode='FAILFAST'`` makes
+    the first bad document fail the job instead of being quarantined."""
     parsed = F.from_json(F.col(text_col), DOC_SCHEMAS[kind],
-                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+                         {"mode": mode, "columnNameOfCorruptRecord": CORRUPT})
     keep = [c for c in docs.columns if c != text_col]
     return docs.select(*keep, parsed.alias("_p")).select(*keep, "_p.data", F.col(f"_p.{CORRUPT}").alias(CORRUPT))
 

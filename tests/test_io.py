@@ -134,3 +134,12 @@ def test_multi_line_documents(spark):
     summary = payloads.document_summary(parsed).collect()
     assert [r.outcome for r in summary] == ["ok", "ok"]
     assert all(r.source_file.endswith(".json") for r in summary)
+
+
+def test_text_documents_failfast(spark):
+    docs = spark.createDataFrame([(1, sales_doc("B1", [("2024-01-01", 1, 1.0)])), (2, '{"data": [,]}')],
+                                 "doc_id int, doc string")
+    ok = payloads.parse_payloads(docs, "sales")
+    assert payloads.quarantine(ok).count() == 1
+    with pytest.raises(Exception):
+        payloads.parse_payloads(docs, "sales", mode="FAILFAST").collect()

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from quayside.operators.flatten import flatten_sales
 from quayside.operators.upsert import upsert_sales
-from quayside.schemas import SALES_DOC, CORRUPT
+from quayside.schemas import CORRUPT, SALES_DOC, SALES_TABLE
 from quayside.sinks.publish import Target, publish_one, read_live
 from quayside.sources.payloads import good_documents
 
@@ -37,8 +37,13 @@ def sync_landed_sales(spark: SparkSession, landing_dir: str, target: Target, nam
                       as_of: dt.datetime, marketplace: str = "us", max_files_per_trigger: int | None = None,
                       partition_by: str = "date", schema: T.StructType | None = None) -> None:
     """Run every landed sales document into ``target``/``name`` and stop.
-    ``schema`` is the table's schema (default: read from the live table)."""
-    schema = schema or read_live(spark, target, name).schema
+    ``schema`` is the table's schema (default: the live table's, or the
+    sales table's when the live table is empty and has no files to read)."""
+    if schema is None:
+        try:
+            schema = read_live(spark, target, name).schema
+        except Exception:  # no live version, or an empty one with no schema to infer
+            schema = SALES_TABLE
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         rows = flatten_sales(good_documents(batch), marketplace=marketplace, first_item_only=True)

@@ -109,3 +109,44 @@ def test_fold_matches_sequential_model(spark, present, evs):
                                        "product_flag boolean, sales_flag boolean")
     got = {r.asin: {c: r[c] for c in STATUS_TABLE.fieldNames()[1:]} for r in st.fold_status(status, ev).collect()}
     assert got == model(initial, events)
+
+
+# --- calendar shift against field-wise addition with forward overflow ------
+
+def field_add(d: dt.date, years: int, months: int, days: int) -> dt.date:
+    """Add to the fields, then let day overflow roll forward (a model of the
+    reference's date arithmetic)."""
+    total = d.year * 12 + (d.month - 1) + 12 * years + months
+    y, m = divmod(total, 12)
+    return dt.date(y, m + 1, 1) + dt.timedelta(days=d.day - 1 + days)
+
+
+@SETTINGS
+@given(days=st_.lists(st_.dates(min_value=dt.date(1990, 1, 1), max_value=dt.date(2030, 12, 31)), min_size=1,
+                      max_size=20),
+       years=st_.integers(-2, 2), months=st_.integers(-13, 13), extra=st_.integers(-40, 40))
+def test_shift_date_matches_field_addition(spark, days, years, months, extra):
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from quayside.functions.dates import shift_date, shift_date_sql
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    got = [r.s for r in df.select(shift_date(F.col("d"), years, months, extra).alias("s")).collect()]
+    want = [field_add(d, years, months, extra) for d in days]
+    assert got == want
+    duck = [duckdb.sql(f"SELECT {shift_date_sql(f'DATE {chr(39)}{d}{chr(39)}', years, months, extra)}").fetchall()[0][0]
+            for d in days[:3]]
+    assert duck == want[:3]
+
+
+@SETTINGS
+@given(keys=st_.sets(st_.text(alphabet="abcdefXYZ0123", min_size=1, max_size=6), min_size=1, max_size=300),
+       parts=st_.integers(1, 6), size=st_.integers(1, 50))
+def test_plan_batches_matches_enumeration(spark, keys, parts, size):
+    from quayside.operators import batches
+    df = spark.createDataFrame([(k,) for k in keys], "asin string")
+    got = {r.asin: (r.position, r.batch_no, r.batch_count)
+           for r in batches.plan_batches(df, batch_size=size, num_partitions=parts).collect()}
+    n = len(keys)
+    want = {k: (i + 1, i // size + 1, -(-n // size)) for i, k in enumerate(sorted(keys))}
+    assert got == want

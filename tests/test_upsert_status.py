@@ -168,3 +168,12 @@ def test_upsert_without_seq_keeps_one_row_per_key(spark):
     out = ups.upsert(target, src, ["k"], update_cols=["v"]).drop("action")
     assert_unique(out, ["k"])
     assert {r.k: r.v for r in out.collect()} == {"a": 7, "b": 1}
+
+
+def test_touched_split_join_fallback_matches(spark, monkeypatch):
+    target = spark.createDataFrame([(f"k{i}", f"m{i % 5}", i) for i in range(50)], "k string, m string, v int")
+    src = spark.createDataFrame([("k1", "m1", 100), ("k2", "m2", 200), ("new", "m9", 1)], "k string, m string, v int")
+    fast = sorted(ups.upsert(target, src, ["k", "m"], update_cols=["v"], partition_by=["m"]).collect())
+    monkeypatch.setattr(ups, "MAX_TOUCHED_PARTITIONS", 1)
+    slow = sorted(ups.upsert(target, src, ["k", "m"], update_cols=["v"], partition_by=["m"]).collect())
+    assert fast == slow and len(fast) == 51

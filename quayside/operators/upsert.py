@@ -170,6 +170,18 @@ def upsert_counts(merged: DataFrame, by: list[str] | None = None) -> DataFrame:
     return merged.groupBy(*(by or [])).agg(*aggs)
 
 
+def key_hits(target: DataFrame, source: DataFrame, keys: list[str], partition_by: list[str] | None = None,
+             seq: str | None = None) -> DataFrame:
+    """One row per distinct source key with ``hit`` = the key is already in
+    the target: what an upsert would count as updated (hit) or inserted (no
+    hit), without computing the merged table. Only key columns are read, and
+    only the touched partitions of the target."""
+    src = prepare_source(source.select(*keys, *([seq] if seq else [])), keys, seq)
+    t = split_touched(target, src, partition_by)[0] if partition_by else target
+    return src.join(t.select(*keys).distinct().withColumn("hit", F.lit(True)), keys, "left") \
+        .select(*keys, F.coalesce(F.col("hit"), F.lit(False)).alias("hit"))
+
+
 def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str], seq: str | None = None) -> DataFrame:
     """UPS-4: insert source rows whose key is absent; existing keys win.
     Within the source the first row per key wins (``seq`` ascending), as

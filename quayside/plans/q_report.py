@@ -154,23 +154,25 @@ def sync_response(spark, sf):
     inserted/updated per target, the (clamped) window and its warning. The
     production copy lags: it holds the stored months before 1998 only.
 
-    One global aggregation over a tagged union of the request rows and both
-    merge results (no joins between the one-row parts)."""
+    Inserted/updated come from the source keys' hits in each target
+    (``key_hits``: key columns of the touched partitions only), not from two
+    full merges. One global aggregation over a tagged union of the request
+    rows and both hit lists (no joins between the one-row parts)."""
     source = S.sales_new(spark, sf)
-    staging = ups.upsert_sales(S.sales(spark, sf), source, AS_OF, partition_by=["date"])
-    production = ups.upsert_sales(S.sales(spark, sf).filter("date < DATE'1998-01-01'"), source, AS_OF,
-                                  partition_by=["date"])
+    keys = ups.SALES_KEYS
+    staging = ups.key_hits(S.sales(spark, sf), source, keys, partition_by=["date"])
+    production = ups.key_hits(S.sales(spark, sf).filter("date < DATE'1998-01-01'"), source, keys,
+                              partition_by=["date"])
     tagged = (source.select(F.lit("request").alias("_part"), "asin", "date", "estimated_units_sold")
-              .unionByName(staging.select(F.lit("staging").alias("_part"), "action"), allowMissingColumns=True)
-              .unionByName(production.select(F.lit("production").alias("_part"), "action"),
-                           allowMissingColumns=True))
-    part, act = F.col("_part"), F.col("action")
+              .unionByName(staging.select(F.lit("staging").alias("_part"), "hit"), allowMissingColumns=True)
+              .unionByName(production.select(F.lit("production").alias("_part"), "hit"), allowMissingColumns=True))
+    part, hit = F.col("_part"), F.col("hit")
     req = part == "request"
     summary = tagged.agg(
         F.count_distinct(F.when(req, F.col("asin"))).alias("requested"),
         F.count_distinct(F.when(req & (F.col("estimated_units_sold") > 0), F.col("asin"))).alias("found"),
         F.min(F.when(req, F.col("date"))).alias("start_date"), F.max(F.when(req, F.col("date"))).alias("end_date"),
-        *[F.count_if((part == t) & (act == a)).alias(f"{t}_{a}")
+        *[F.count_if((part == t) & (hit if a == ups.UPDATED else ~hit)).alias(f"{t}_{a}")
           for t in ("staging", "production") for a in (ups.INSERTED, ups.UPDATED)])
     return windows.clamp_window(summary).withColumn(
         "warning", F.when(F.col("date_range_adjusted"), F.lit("date range longer than one year; start moved")))

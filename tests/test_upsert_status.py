@@ -177,3 +177,12 @@ def test_touched_split_join_fallback_matches(spark, monkeypatch):
     monkeypatch.setattr(ups, "MAX_TOUCHED_PARTITIONS", 1)
     slow = sorted(ups.upsert(target, src, ["k", "m"], update_cols=["v"], partition_by=["m"]).collect())
     assert fast == slow and len(fast) == 51
+
+
+def test_key_hits_agree_with_merge_counts(spark):
+    target = spark.createDataFrame([(f"k{i}", f"m{i % 3}", i) for i in range(30)], "k string, m string, v int")
+    src = spark.createDataFrame([("k1", "m1", 0), ("k1", "m1", 5), ("k2", "m0", 1), ("z", "m2", 2), ("y", "m7", 3)],
+                                "k string, m string, v int")
+    hits = ups.key_hits(target, src, ["k", "m"], partition_by=["m"]).collect()
+    c = ups.upsert_counts(ups.upsert(target, src, ["k", "m"], update_cols=["v"], partition_by=["m"])).first()
+    assert (sum(not r.hit for r in hits), sum(r.hit for r in hits)) == (c.inserted, c.updated) == (2, 1)

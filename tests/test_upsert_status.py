@@ -185,4 +185,4 @@ def test_key_hits_agree_with_merge_counts(spark):
                                 "k string, m string, v int")
     hits = ups.key_hits(target, src, ["k", "m"], partition_by=["m"]).collect()
     c = ups.upsert_counts(ups.upsert(target, src, ["k", "m"], update_cols=["v"], partition_by=["m"])).first()
-    assert (sum(not r.hit for r in hits), sum(r.hit for r in hits)) == (c.inserted, c.updated) == (2, 1)
+    assert (sum(not r.hit for r in hits), sum(r.hit for r in hits)) == (c.inserted, c.updated) == (3, 1)

@@ -1,0 +1 @@
+"""Column expressions: calendar arithmetic, lenient parsing, ids, keys, text."""

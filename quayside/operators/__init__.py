@@ -1,0 +1 @@
+"""Table operators: select, flatten, upsert, status fold, usage, batches, reports."""

@@ -1,0 +1 @@
+"""Outputs: staged publishing through pointer tables, drift checks, JDBC writes."""

@@ -1,0 +1 @@
+"""Readers: driver tables, stand-in domain tables and documents, JSON payloads."""

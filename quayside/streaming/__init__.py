@@ -1,0 +1 @@
+"""Structured Streaming runs: landed documents and the usage counter."""

@@ -158,9 +158,12 @@ def full_run(spark: SparkSession, catalog: DataFrame, product_docs: DataFrame, s
                else status0)
 
     todo = sel.needs_product(status1)
+    # Parsed once and checkpointed: the upsert, the status events and the
+    # counts all read it (the size of what is published anyway).
     products = (flt.flatten_products(payloads.good_documents(payloads.read_product_payloads(product_docs)),
                                      as_of.date(), as_of, defaults="zero", asin_rule="code")
-                .join(todo, "asin", "left_semi"))
+                .join(todo, "asin", "left_semi")
+                .checkpoint(eager=True))
     prod_live = read_live(spark, targets.staging, PRODUCT_TABLE, products.schema)
     merged = ups.upsert_products(prod_live, products, as_of, partition_by=["report_date"], touched_only=True)
     _publish_table(merged.drop("action"), PRODUCT_TABLE, version, targets, "full", partition_by="report_date",
@@ -173,7 +176,8 @@ def full_run(spark: SparkSession, catalog: DataFrame, product_docs: DataFrame, s
               .filter(F.col("date").isNotNull())
               .join(window, "asin")
               .filter(F.col("date").between(F.col("start_date"), F.col("end_date")))
-              .drop("start_date", "end_date", "date_range"))
+              .drop("start_date", "end_date", "date_range")
+              .checkpoint(eager=True))
     sales_live = read_live(spark, targets.staging, SALES, SALES_TABLE)
     sales_merged = ups.upsert_sales(sales_live, points, as_of, partition_by=["date"], touched_only=True)
     _publish_table(sales_merged.drop("action"), SALES, version, targets, "full", partition_by="date",

@@ -149,6 +149,6 @@ def error_digest_hourly(summary: DataFrame, run: str = "run_id") -> DataFrame:
 
 def run_duration(started: Column, finished: Column) -> Column:
     """RPT-7: elapsed time rounded to whole seconds (half away from zero)."""
-    us = F.unix_micros(finished.cast("timestamp")) - F.unix_micros(started.cast("timestamp"))
+    us = F.timestamp_diff("MICROSECOND", started, finished)  # no time zone involved
     return F.when(us >= 0, F.floor((us + 500000) / 1000000)).otherwise(-F.floor((-us + 500000) / 1000000)) \
         .cast("bigint")

@@ -28,7 +28,8 @@ from quayside.functions.dates import ts_lit
 from quayside.operators import flatten as flt
 from quayside.operators import report, select as sel, status as st, upsert as ups, usage
 from quayside.plans import windows
-from quayside.schemas import SALES_TABLE, STATUS_TABLE, USAGE_TABLE
+from quayside.operators.validate import split_valid_rows
+from quayside.schemas import SALES_REQUIRED, SALES_TABLE, STATUS_TABLE, USAGE_TABLE
 from quayside.session import ensure_checkpoint_dir
 from quayside.sinks.publish import RUN_TARGETS, Target, publish, read_live
 from quayside.sources import payloads
@@ -59,10 +60,15 @@ def _stored_products(product_docs: DataFrame, keys: DataFrame, as_of: dt.datetim
     return rows.join(F.broadcast(keys.select("asin")), "asin", "left_semi")
 
 
-def _sales_rows(sales_docs: DataFrame, keys: DataFrame, marketplace: str) -> DataFrame:
+SALES_NOT_NULL = list(SALES_REQUIRED) + ["estimated_units_sold", "last_known_price"]
+
+
+def _sales_rows(sales_docs: DataFrame, keys: DataFrame, marketplace: str) -> tuple[DataFrame, DataFrame]:
+    """Flat sales rows of ``keys``, split into writable rows and rows a NOT
+    NULL column rejects (SNK-4: recorded, the run goes on)."""
     rows = flt.flatten_sales(payloads.good_documents(payloads.read_sales_payloads(sales_docs)),
                              marketplace=marketplace, first_item_only=True)
-    return rows.filter(F.col("date").isNotNull()).join(F.broadcast(keys.select("asin")), "asin", "left_semi")
+    return split_valid_rows(rows.join(F.broadcast(keys.select("asin")), "asin", "left_semi"), SALES_NOT_NULL)
 
 
 def _events(keys: DataFrame, kind: str, as_of: dt.datetime, seq: int, text: str | None = None) -> DataFrame:
@@ -102,7 +108,8 @@ def incremental_run(spark: SparkSession, catalog: DataFrame, product_docs: DataF
     # last sync, or one year for never-synced keys).
     stored = products.select("asin").distinct()
     win = windows.plan_sales_windows(sel.attach_sync_info(selection, stored), as_of)
-    points = (_sales_rows(sales_docs, stored, marketplace).join(F.broadcast(win), "asin")
+    good_points, rejected_points = _sales_rows(sales_docs, stored, marketplace)
+    points = (good_points.join(F.broadcast(win), "asin")
               .filter(F.col("date").between(F.col("start_date"), F.col("end_date")))
               .drop("start_date", "end_date", "is_empty_window")
               .checkpoint(eager=True))  # the run's keys only; reused three times
@@ -132,16 +139,19 @@ def incremental_run(spark: SparkSession, catalog: DataFrame, product_docs: DataF
     n_calls = calls.agg(F.count(F.lit(1)).alias("calls"))
     n_clean = removed.agg(F.count(F.lit(1)).alias("cleaned_up"))
     n_added = added.agg(F.count(F.lit(1)).alias("added"))
-    parts = [sel_counts, n_stored, n_sales, n_calls, n_clean, n_added]
+    n_rejected = rejected_points.agg(F.count(F.lit(1)).alias("rejected_points"))
+    parts = [sel_counts, n_stored, n_sales, n_calls, n_clean, n_added, n_rejected]
     row = {}
     for p in parts:
         row.update(p.first().asDict())  # each part is one aggregated row
     processed = row["total_asins"]
     failed = processed - row["product_ok"]
     out = spark.createDataFrame([(version, processed, row["new_asins"], row["stale_asins"], row["product_ok"],
-                                  failed, row["sales_ok"], row["calls"], row["cleaned_up"], row["added"])],
+                                  failed, row["sales_ok"], row["calls"], row["cleaned_up"], row["added"],
+                                  row["rejected_points"])],
                                 "version string, processed long, new_asins long, stale_asins long, product_ok long, "
-                                "failed long, sales_ok long, calls long, cleaned_up long, added long")
+                                "failed long, sales_ok long, calls long, cleaned_up long, added long, "
+                                "rejected_points long")
     return out.select("*", report.run_class_hourly(F.lit(False), F.col("failed"), F.lit(0)).alias("run_class"),
                       report.run_verdict(F.lit(False), F.col("failed"), F.col("product_ok")).alias("verdict"))
 

@@ -79,6 +79,8 @@ def test_incremental_run_moves_sales(spark, small_dir):
                               "0001").first()
     sales = read_live(spark, t.staging, SALES, SALES_TABLE)
     assert summary.sales_ok > 0 and sales.count() > 0
+    assert summary.rejected_points >= 0  # bad points are counted, never written
+    assert sales.filter("date IS NULL OR estimated_units_sold IS NULL").count() == 0
     lo, hi = sales.agg(F.min("date"), F.max("date")).first()
     assert lo >= dt.date(1998, 5, 31) and hi <= dt.date(1999, 5, 31)
     assert read_live(spark, t.production, SALES, SALES_TABLE).count() == sales.count()

@@ -55,3 +55,23 @@ def test_argument_checks():
                 dict(n_keys=1, date_range="6months")):
         with pytest.raises(ValueError):
             windows.check_request_args(**bad)
+
+
+def test_validate_requests_reason_order(spark):
+    rows = [
+        (1, 5, "us", "fresh", False, "1month", "2024-01-01", "2024-01-31"),    # valid
+        (2, 5, "", "fresh", False, "1month", "2024-01-01", "2024-01-31"),      # missing marketplace
+        (3, 5, "us", "fresh", False, "1month", "2024-1-1", "2024-01-31"),      # bad start
+        (4, 5, "us", "fresh", False, "1month", "2024-01-01", "31/01/2024"),    # bad end
+        (5, 0, "us", "fresh", False, "1month", "2024-01-01", "2024-01-31"),    # no keys
+        (6, 101, "us", "fresh", False, "1month", "2024-01-01", "2024-01-31"),  # too many
+        (7, 5, "us", "force", False, "1month", "2024-01-01", "2024-01-31"),    # bad mode
+        (8, 5, "us", "force", True, "1month", "2024-01-01", "2024-01-31"),     # legacy flag -> fresh, valid
+        (9, 5, "us", None, False, "6months", "2024-01-01", "2024-01-31"),      # default mode, bad range
+    ]
+    df = spark.createDataFrame(rows, "request_id int, n_keys int, marketplace string, sync_mode string, "
+                                     "force_resync boolean, date_range string, start_date string, end_date string")
+    got = {r.request_id: (r.reject_reason, r.sync_mode_normalised) for r in windows.validate_requests(df).collect()}
+    assert got == {1: (None, "fresh"), 2: ("missing_required", "fresh"), 3: ("bad_start_date", "fresh"),
+                   4: ("bad_end_date", "fresh"), 5: ("no_keys", "fresh"), 6: ("too_many_keys", "fresh"),
+                   7: ("bad_sync_mode", "force"), 8: (None, "fresh"), 9: ("bad_date_range", "fresh")}

@@ -143,3 +143,10 @@ def test_text_documents_failfast(spark):
     assert payloads.quarantine(ok).count() == 1
     with pytest.raises(Exception):
         payloads.parse_payloads(docs, "sales", mode="FAILFAST").collect()
+
+
+def test_drift_names_changed_columns(spark):
+    s = spark.createDataFrame([("a", 1, "x"), ("b", 2, None)], "k string, v int, w string")
+    p = spark.createDataFrame([("a", 1, "y"), ("b", 3, "z")], "k string, v int, w string")
+    got = {r.k: (r.drift, r.changed_columns) for r in drift.drift_rows(s, p, ["k"]).collect()}
+    assert got == {"a": ("differs", "w"), "b": ("differs", "v,w")}

@@ -75,8 +75,19 @@ def _sets(col: str) -> tuple[list[str], Column]:
     return kinds, value
 
 
-def fold_status(status: DataFrame, events: DataFrame) -> DataFrame:
-    """Apply ``events`` to ``status`` in ``seq`` order; returns the new table."""
+# Event keys up to this many are read to the driver and become a literal key
+# filter (the rest of the status table is not shuffled); above it, the fold
+# joins the whole table.
+MAX_LITERAL_KEYS = 100_000
+
+
+def fold_status(status: DataFrame, events: DataFrame, max_literal_keys: int = MAX_LITERAL_KEYS) -> DataFrame:
+    """Apply ``events`` to ``status`` in ``seq`` order; returns the new table.
+
+    An incremental run's events touch few keys. When the distinct event
+    keys are at most ``max_literal_keys`` (checked), only those status rows
+    meet the folded events; every other row is passed through unchanged,
+    so the status table is scanned but never shuffled."""
     for c in ("product_flag", "sales_flag"):
         if c not in events.columns:
             events = events.withColumn(c, F.lit(None).cast("boolean"))
@@ -104,6 +115,13 @@ def fold_status(status: DataFrame, events: DataFrame) -> DataFrame:
            .groupBy("asin").agg(F.min(F.struct("seq", "at")).alias("_ins")))
     folded = main.join(ins, "asin", "left")
 
+    untouched = None
+    ev_keys = events.select("asin").distinct().limit(max_literal_keys + 1).collect()
+    if len(ev_keys) <= max_literal_keys:
+        hit = F.coalesce(F.col("asin").isin([r.asin for r in ev_keys if r.asin is not None]), F.lit(False))
+        untouched = status.filter(~hit)
+        status = status.filter(hit)
+
     s = status.withColumn("_present", F.lit(True))
     j = s.join(folded, "asin", "full_outer")
     present = F.coalesce(F.col("_present"), F.lit(False))
@@ -135,7 +153,12 @@ def fold_status(status: DataFrame, events: DataFrame) -> DataFrame:
                 F.col(c) if c in status.columns else F.lit(None).cast(dtype))
             e = pick("updated_at", base)
         out.append(e.cast(dtype).alias(c))
-    return j.filter(exists).select(*out)
+    result = j.filter(exists).select(*out)
+    if untouched is not None:
+        same = [(F.col(c) if c in untouched.columns else F.lit(None)).cast(STATUS_TABLE[c].dataType).alias(c)
+                for c in STATUS_TABLE.fieldNames()]
+        result = result.unionByName(untouched.select(*same))
+    return result
 
 
 def fresh_reset_events(keys: DataFrame, as_of: dt.datetime, seq: int = 0) -> DataFrame:

@@ -72,3 +72,10 @@ def test_batch_numbering_has_no_single_partition_shuffle_of_keys(spark):
     # Only the per-partition count table goes through a single partition.
     assert p.count("Exchange SinglePartition") <= 1
     assert "Scan ExistingRDD" in p  # the checkpointed numbering
+
+
+def test_fold_with_few_event_keys_does_not_shuffle_untouched_rows(spark, small_dir):
+    import re
+    p = re.sub(r"#\d+L?", "", plan(E.queries()["fold_status"](spark, small_dir)))
+    assert "Union" in p  # touched rows joined, untouched rows passed through
+    assert "INSET B000000000" in p  # the event keys filter the status scan before its exchange

@@ -161,6 +161,31 @@ def fold_status(status: DataFrame, events: DataFrame, max_literal_keys: int = MA
     return result
 
 
+STATUS_BUCKETS = 1024        # bucket count when none is given and the table size is unknown
+ROWS_PER_BUCKET = 1_000_000  # about 50-100 MB of status rows per bucket folder
+MAX_BUCKETS = 4096
+
+
+def choose_buckets(n_rows: int) -> int:
+    """Smallest power of two with at most ``ROWS_PER_BUCKET`` keys per
+    bucket (1 for small tables, up to ``MAX_BUCKETS``)."""
+    b = 1
+    while b < MAX_BUCKETS and b * ROWS_PER_BUCKET < n_rows:
+        b *= 2
+    return b
+
+
+def bucket_column(buckets: int = STATUS_BUCKETS) -> str:
+    """Name of the status table's partition column; it carries the bucket
+    count, so a table written with another count is never merged with it."""
+    return f"bucket_{buckets}"
+
+
+def status_bucket(asin: Column, buckets: int = STATUS_BUCKETS) -> Column:
+    """Stable hash bucket of a key (the status table's partition value)."""
+    return F.pmod(F.xxhash64(asin), F.lit(buckets)).cast("int")
+
+
 def fresh_reset_events(keys: DataFrame, as_of: dt.datetime, seq: int = 0) -> DataFrame:
     """STA-1: one ``fresh_reset`` event per key (full run, mode fresh)."""
     return keys.select("asin", F.lit(seq).cast("bigint").alias("seq"), F.lit("fresh_reset").alias("kind"),

@@ -31,7 +31,7 @@ from quayside.plans import windows
 from quayside.operators.validate import split_valid_rows
 from quayside.schemas import SALES_REQUIRED, SALES_TABLE, STATUS_TABLE, USAGE_TABLE
 from quayside.session import ensure_checkpoint_dir
-from quayside.sinks.publish import RUN_TARGETS, Target, publish, read_live
+from quayside.sinks.publish import RUN_TARGETS, Target, live_pointer, publish, read_live
 from quayside.sources import payloads
 
 PRODUCT_TABLE, SALES, STATUS, USAGE = "product_data", "sales_estimate_data", "sync_status", "api_usage"
@@ -71,6 +71,35 @@ def _sales_rows(sales_docs: DataFrame, keys: DataFrame, marketplace: str) -> tup
     return split_valid_rows(rows.join(F.broadcast(keys.select("asin")), "asin", "left_semi"), SALES_NOT_NULL)
 
 
+def _publish_status(status_new: DataFrame, touched_keys: DataFrame | None, targets: RunTargets, mode: str,
+                    version: str, buckets: int | None = None) -> DataFrame:
+    """Publish the status table partitioned by key bucket.
+
+    When the live table already has a bucket layout and ``touched_keys`` is
+    given, only the buckets holding those keys are rewritten, with the live
+    bucket count (an hourly run touches a few hundred keys). Otherwise the
+    whole table is written once; the bucket count is ``buckets`` or is chosen
+    from the row count (about a million keys per bucket folder)."""
+    import re
+
+    spark = status_new.sparkSession
+    live = live_pointer(spark, targets.staging, STATUS)
+    rows = live.collect() if live is not None else []  # at most one row per bucket
+    counts = {m.group(1) for m in (re.search(r"/bucket_(\d+)=", r.table_name) for r in rows) if m}
+    live_buckets = int(counts.pop()) if len(counts) == 1 and all("/bucket_" in r.table_name for r in rows) else None
+    merge = touched_keys is not None and live_buckets is not None
+    if merge:
+        buckets = live_buckets
+    elif buckets is None:
+        buckets = st.choose_buckets(status_new.count())
+    col = st.bucket_column(buckets)
+    out = status_new.withColumn(col, st.status_bucket(F.col("asin"), buckets))
+    if merge:
+        touched = touched_keys.select(st.status_bucket(F.col("asin"), buckets).alias("b")).distinct()
+        out = out.filter(F.col(col).isin([r.b for r in touched.collect()]))  # at most ``buckets`` values
+    return _publish_table(out, STATUS, version, targets, mode, partition_by=col, merge_partitions=merge)
+
+
 def _events(keys: DataFrame, kind: str, as_of: dt.datetime, seq: int, text: str | None = None) -> DataFrame:
     return keys.select("asin", F.lit(seq).cast("bigint").alias("seq"), F.lit(kind).alias("kind"),
                        ts_lit(as_of).alias("at"), F.lit(text).cast("string").alias("error_text"))
@@ -78,7 +107,8 @@ def _events(keys: DataFrame, kind: str, as_of: dt.datetime, seq: int, text: str
 
 def incremental_run(spark: SparkSession, catalog: DataFrame, product_docs: DataFrame, sales_docs: DataFrame,
                     calls: DataFrame, targets: RunTargets, as_of: dt.datetime, version: str,
-                    marketplace: str = "us", limit: int = sel.RUN_KEY_LIMIT) -> DataFrame:
+                    marketplace: str = "us", limit: int = sel.RUN_KEY_LIMIT,
+                    status_buckets: int | None = None) -> DataFrame:
     """One incremental run; returns its one-row summary."""
     ensure_checkpoint_dir(spark)
     status0 = read_live(spark, targets.staging, STATUS, STATUS_TABLE)
@@ -120,30 +150,33 @@ def incremental_run(spark: SparkSession, catalog: DataFrame, product_docs: DataF
     with_sales = points.select("asin").distinct()
 
     # Status: one fold over the run's events, staging only.
+    # The run's events, checkpointed once: the fold's key filter, the touched
+    # buckets and the fold itself all read them.
     events = (_events(removed, "key_removed", as_of, 0)
               .unionByName(_events(stored, "product_stored", as_of, 1))
               .unionByName(_events(missing, "product_not_found", as_of, 1))
-              .unionByName(_events(with_sales, "sales_stored", as_of, 2)))
+              .unionByName(_events(with_sales, "sales_stored", as_of, 2))
+              .checkpoint(eager=True))
     status2 = st.fold_status(status1, events)
-    _publish_table(status2, STATUS, version, targets, "incremental")
+    touched = events.select("asin").unionByName(added.select("asin"))
+    _publish_status(status2, touched, targets, "incremental", version, status_buckets)
 
     # Usage counter (absolute merge of this run's calls).
     inc = usage.usage_daily(calls)
     usage_live = read_live(spark, targets.staging, USAGE, USAGE_TABLE)
     _publish_table(usage.merge_counters(usage_live, inc), USAGE, version, targets, "incremental", on_error="log")
 
-    # Summary (RPT ops): one row.
-    sel_counts = report.selection_counts(selection)
-    n_stored = stored.agg(F.count(F.lit(1)).alias("product_ok"))
-    n_sales = with_sales.agg(F.count(F.lit(1)).alias("sales_ok"))
-    n_calls = calls.agg(F.count(F.lit(1)).alias("calls"))
-    n_clean = removed.agg(F.count(F.lit(1)).alias("cleaned_up"))
-    n_added = added.agg(F.count(F.lit(1)).alias("added"))
-    n_rejected = rejected_points.agg(F.count(F.lit(1)).alias("rejected_points"))
-    parts = [sel_counts, n_stored, n_sales, n_calls, n_clean, n_added, n_rejected]
-    row = {}
-    for p in parts:
-        row.update(p.first().asDict())  # each part is one aggregated row
+    # Summary (RPT ops): every count in one job (a union of one-row counts).
+    def n(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("v")).select(F.lit(name).alias("k"), "v")
+    counts = (selection.agg(F.count_if("is_new").alias("v")).select(F.lit("new_asins").alias("k"), "v")
+              .unionByName(selection.agg(F.count_if(~F.col("is_new")).alias("v"))
+                           .select(F.lit("stale_asins").alias("k"), "v"))
+              .unionByName(n(selection, "total_asins")).unionByName(n(stored, "product_ok"))
+              .unionByName(n(with_sales, "sales_ok")).unionByName(n(calls, "calls"))
+              .unionByName(n(removed, "cleaned_up")).unionByName(n(added, "added"))
+              .unionByName(n(rejected_points, "rejected_points")))
+    row = {r.k: r.v for r in counts.collect()}  # nine named counts
     processed = row["total_asins"]
     failed = processed - row["product_ok"]
     out = spark.createDataFrame([(version, processed, row["new_asins"], row["stale_asins"], row["product_ok"],
@@ -158,7 +191,8 @@ def incremental_run(spark: SparkSession, catalog: DataFrame, product_docs: DataF
 
 def full_run(spark: SparkSession, catalog: DataFrame, product_docs: DataFrame, sales_docs: DataFrame,
              targets: RunTargets, as_of: dt.datetime, version: str, sync_mode: str = "fresh",
-             date_range: str = "1month", marketplace: str = "us") -> DataFrame:
+             date_range: str = "1month", marketplace: str = "us",
+             status_buckets: int | None = None) -> DataFrame:
     """One full run; returns its one-row summary."""
     ensure_checkpoint_dir(spark)
     sync_mode = windows.check_request_args(1, sync_mode, date_range)
@@ -197,7 +231,7 @@ def full_run(spark: SparkSession, catalog: DataFrame, product_docs: DataFrame, s
     events = (_events(stored, "product_stored", as_of, 1)
               .unionByName(_events(with_sales, "sales_stored", as_of, 2)))
     status2 = st.fold_status(status1, events)
-    _publish_table(status2, STATUS, version, targets, "full")
+    _publish_status(status2, None, targets, "full", version, status_buckets)  # a full run rewrites it all
 
     counts = todo.agg(F.count(F.lit(1)).alias("processed")).first().processed
     ok = stored.count()

@@ -87,3 +87,23 @@ def test_incremental_run_moves_sales(spark, small_dir):
     st = read_live(spark, t.staging, STATUS, STATUS_TABLE)
     assert st.filter("has_sales_data AND sales_estimate_data_synced_at = TIMESTAMP_NTZ'1999-06-01 00:00:00'") \
         .count() == summary.sales_ok
+
+
+def test_second_incremental_run_rewrites_only_touched_status_buckets(spark, small_dir):
+    from quayside.sinks.publish import live_pointer
+    from quayside.testing import assert_unique
+    t = _targets(spark)
+    _seed(spark, small_dir, t)
+    args = (S.catalog(spark, small_dir), D.product_documents(spark, small_dir), D.sales_documents(spark, small_dir),
+            S.calls(spark, small_dir), t)
+    incremental_run(spark, *args, AS_OF, "0001", status_buckets=16)  # unbucketed -> one full bucketed write
+    first = read_live(spark, t.staging, STATUS, STATUS_TABLE)
+    n_first = first.count()
+    s2 = incremental_run(spark, *args, AS_OF + dt.timedelta(hours=1), "0002", status_buckets=16).first()
+    status = read_live(spark, t.staging, STATUS, STATUS_TABLE)
+    assert_unique(status, ["asin"])
+    assert status.count() == n_first + s2.added - s2.cleaned_up
+    ptr = live_pointer(spark, t.staging, STATUS).collect()
+    assert len(ptr) == 16 and all("/bucket_16=" in r.table_name for r in ptr)
+    rewritten = sum("/v=0002/" in r.table_name for r in ptr)
+    assert 0 < rewritten <= 16

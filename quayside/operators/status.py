@@ -75,9 +75,9 @@ def _sets(col: str) -> tuple[list[str], Column]:
     return kinds, value
 
 
-# Event keys up to this many are read to the driver and become a literal key
-# filter (the rest of the status table is not shuffled); above it, the fold
-# joins the whole table.
+# Event keys up to this many are broadcast (size checked) to split the status
+# table into touched and untouched rows, so the untouched rows are not
+# shuffled; above it, the fold joins the whole table.
 MAX_LITERAL_KEYS = 100_000
 
 
@@ -85,9 +85,9 @@ def fold_status(status: DataFrame, events: DataFrame, max_literal_keys: int = MA
     """Apply ``events`` to ``status`` in ``seq`` order; returns the new table.
 
     An incremental run's events touch few keys. When the distinct event
-    keys are at most ``max_literal_keys`` (checked), only those status rows
-    meet the folded events; every other row is passed through unchanged,
-    so the status table is scanned but never shuffled."""
+    keys are at most ``max_literal_keys`` (checked), they are broadcast and
+    only those status rows meet the folded events; every other row passes
+    through unchanged, so the status table is scanned but never shuffled."""
     for c in ("product_flag", "sales_flag"):
         if c not in events.columns:
             events = events.withColumn(c, F.lit(None).cast("boolean"))
@@ -116,11 +116,12 @@ def fold_status(status: DataFrame, events: DataFrame, max_literal_keys: int = MA
     folded = main.join(ins, "asin", "left")
 
     untouched = None
-    ev_keys = events.select("asin").distinct().limit(max_literal_keys + 1).collect()
-    if len(ev_keys) <= max_literal_keys:
-        hit = F.coalesce(F.col("asin").isin([r.asin for r in ev_keys if r.asin is not None]), F.lit(False))
-        untouched = status.filter(~hit)
-        status = status.filter(hit)
+    ev_keys = events.select("asin").distinct()
+    if ev_keys.limit(max_literal_keys + 1).count() <= max_literal_keys:
+        # Size checked above: at most ``max_literal_keys`` keys are broadcast.
+        keys = F.broadcast(ev_keys)
+        untouched = status.join(keys, "asin", "left_anti")
+        status = status.join(keys, "asin", "left_semi")
 
     s = status.withColumn("_present", F.lit(True))
     j = s.join(folded, "asin", "full_outer")

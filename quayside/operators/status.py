@@ -78,14 +78,14 @@ def _sets(col: str) -> tuple[list[str], Column]:
 # Event keys up to this many are broadcast (size checked) to split the status
 # table into touched and untouched rows, so the untouched rows are not
 # shuffled; above it, the fold joins the whole table.
-MAX_LITERAL_KEYS = 100_000
+MAX_BROADCAST_KEYS = 100_000
 
 
-def fold_status(status: DataFrame, events: DataFrame, max_literal_keys: int = MAX_LITERAL_KEYS) -> DataFrame:
+def fold_status(status: DataFrame, events: DataFrame, max_broadcast_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
     """Apply ``events`` to ``status`` in ``seq`` order; returns the new table.
 
     An incremental run's events touch few keys. When the distinct event
-    keys are at most ``max_literal_keys`` (checked), they are broadcast and
+    keys are at most ``max_broadcast_keys`` (checked), they are broadcast and
     only those status rows meet the folded events; every other row passes
     through unchanged, so the status table is scanned but never shuffled."""
     for c in ("product_flag", "sales_flag"):
@@ -117,8 +117,8 @@ def fold_status(status: DataFrame, events: DataFrame, max_literal_keys: int = MA
 
     untouched = None
     ev_keys = events.select("asin").distinct()
-    if ev_keys.limit(max_literal_keys + 1).count() <= max_literal_keys:
-        # Size checked above: at most ``max_literal_keys`` keys are broadcast.
+    if ev_keys.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
+        # Size checked above: at most ``max_broadcast_keys`` keys are broadcast.
         keys = F.broadcast(ev_keys)
         untouched = status.join(keys, "asin", "left_anti")
         status = status.join(keys, "asin", "left_semi")

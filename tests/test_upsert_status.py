@@ -188,12 +188,12 @@ def test_key_hits_agree_with_merge_counts(spark):
     assert (sum(not r.hit for r in hits), sum(r.hit for r in hits)) == (c.inserted, c.updated) == (3, 1)
 
 
-def test_fold_literal_key_path_equals_join_path(spark):
+def test_fold_broadcast_key_path_equals_join_path(spark):
     t0 = dt.datetime(2024, 1, 1)
     s = _status(spark, [(f"K{i}", i % 2 == 0, None, None, None, None, None, t0, None) for i in range(20)])
     kinds = list(st.EVENT_RULES)
     ev = spark.createDataFrame([(f"K{i % 7}" if i % 5 else f"N{i}", i, kinds[i % len(kinds)],
                                  t0 + dt.timedelta(hours=i), f"e{i}") for i in range(40)], EV)
     fast = sorted(st.fold_status(s, ev).collect())
-    slow = sorted(st.fold_status(s, ev, max_literal_keys=0).collect())
+    slow = sorted(st.fold_status(s, ev, max_broadcast_keys=0).collect())
     assert fast == slow

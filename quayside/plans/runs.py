@@ -13,7 +13,9 @@ targets).
 
 The landed documents stand in for the API calls: a run reads whatever
 documents were landed for its keys. Every step is a lazy plan; actions happen
-at the publish steps (and in the bounded touched-partition lookups).
+at the publish steps, at the checkpoints of the run's bounded intermediate
+results (selection, product rows, sales points, events), and in the bounded
+lookups (touched partitions and buckets, event-key count, summary counts).
 """
 
 from __future__ import annotations

@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from quayside.plans import registry
 from quayside.testing import compare, duck_connect
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+registry.load_all()
+QUERIES = registry.QUERIES
+ORACLES = registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +18,7 @@ def con(small_dir):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

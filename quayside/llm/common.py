@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import io
+import os
+import shutil
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +24,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once, so that tasks in Python can import it wherever it is installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(top)))
+    # The driver serves the file for as long as it runs; executors do not read this folder.
+    folder = tempfile.mkdtemp(prefix="quayside-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, f"quayside-{uuid.uuid4().hex[:8]}.zip")
+    with open(path, "wb") as f:
+        f.write(packed.getvalue())
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 class Stager:
     """Writes intermediate tables as Parquet in the shared checkpoint folder and reads them back.
 

@@ -3,7 +3,8 @@
 1. Rows are counted per content hash (partial sums, so a group holding a
    third of all rows is combined before the shuffle).
 2. Each row joins its group on the hash. The group side is one row per hash
-   with two members or more, so AQE splits a hot group over many tasks.
+   with two members or more, so AQE splits a hot group over many tasks. It
+   grows with the input, so it is merged and never broadcast.
 3. Inside a group every text is compared, byte by byte, with the text of the
    group's first choice. Rows that differ (a hash collision) are grouped by
    their text itself.
@@ -42,14 +43,14 @@ def exact_groups(docs: DataFrame, hash_of: Callable[[Column], Column] = content_
     keyed = docs.select("doc_id", text_of(docs).alias("t")).withColumn("h", hash_of(F.col("t")))
     groups = stage(keyed.groupBy("h").agg(first("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
                    .where("n > 1"), "groups")
-    rows = stage(keyed.join(groups, "h", "left").select(
+    rows = stage(keyed.join(groups.hint("merge"), "h", "left").select(
         "doc_id", "h", "keep_id", "n", F.sha2(F.col("t").cast("binary"), 256).alias("text_sha256"),
         F.when(F.col("n").isNotNull(), F.col("t")).alias("t")), "rows")
     single = rows.where("n IS NULL").select("doc_id", F.col("doc_id").alias("keep_id"),
                                             F.lit(1).cast("long").alias("group_size"), "text_sha256")
     several = rows.where("n IS NOT NULL")
     first_text = stage(several.where("doc_id <=> keep_id").groupBy("h").agg(F.max("t").alias("first_t")), "firsts")
-    compared = stage(several.join(first_text, "h", "left").select(
+    compared = stage(several.join(first_text.hint("merge"), "h", "left").select(
         "doc_id", "h", "keep_id", "n", "text_sha256",
         F.when(F.col("t") != F.col("first_t"), F.col("t")).alias("other_t")), "compared")
     other = compared.where("other_t IS NOT NULL")

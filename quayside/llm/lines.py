@@ -5,7 +5,8 @@
 2. Documents per key are summed with partial sums; keys under the threshold
    go no further.
 3. Lines join the frequent keys; the key side has one row per key, so AQE can
-   split a line that a third of all documents hold. The positions to drop are
+   split a line that a third of all documents hold. Both sides of the joins
+   grow with the input, so they are merged and never broadcast. The positions to drop are
    gathered per document and cut out of its line array.
 
 Cases: a null or empty text is one empty line. A null id orders below every
@@ -50,10 +51,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_documents: int
                      .groupBy(F.xxhash64("key").alias("k1"), F.xxhash64(F.lit("second"), "key").alias("k2"))
                      .agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keep_id"))
                      .where(F.col("n") >= min_documents).drop("n"), "frequent")
-    hits = keyed.join(frequent, ["k1", "k2"]).where("NOT (doc_id <=> keep_id)").select("doc_id", "h", "pos")
+    hits = keyed.join(frequent.hint("merge"), ["k1", "k2"]).where("NOT (doc_id <=> keep_id)").select("doc_id", "h", "pos")
     drops = stage(hits.groupBy("doc_id", "h").agg(F.sort_array(F.collect_set("pos")).alias("drop")), "drops")
     same = rows["doc_id"].eqNullSafe(drops["doc_id"]) & (rows["h"] == drops["h"])
-    joined = rows.join(drops, same, "left").select(rows["doc_id"], "t", "drop", F.size(lines).alias("n_lines"))
+    joined = rows.join(drops.hint("merge"), same, "left").select(rows["doc_id"], "t", "drop", F.size(lines).alias("n_lines"))
 
     def without_drops(all_lines: Column) -> Column:
         # Between two dropped positions a and b stay the lines a+1 .. b-1.

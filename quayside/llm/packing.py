@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import text_of
+from quayside.llm.common import ship_package, text_of
 
 SEQUENCE = 2048
 MAX_OPEN = 20_000
@@ -181,5 +181,6 @@ def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, size: int = S
     ``ids`` are little-endian unsigned 32-bit numbers. ``ranks_path`` names
     the vocabulary's rank file on every worker.
     """
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
     return rows.mapInArrow(packer(ranks_path, pattern, size, end_id, max_open), SCHEMA)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import exact, lines, mixing, packing
+from quayside.llm import exact, lines, mixing, packing, quality, toxicity
 from quayside.llm.common import table
 from quayside.session import prepare
 
@@ -27,6 +27,20 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+@query("op1_crf_toxicity")
+def op1(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score_toxicity(docs, labels, row=F.struct("doc_id"))
+    doc_id = F.col("row.doc_id")
+    return scored.select(doc_id.alias("doc_id"), toxicity.held_out(doc_id).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").alias("n_spans"))
+
+
+@query("op2_distribution_divergence")
+def op2(spark, sf_dir):
+    return quality.judge_quality(table(spark, sf_dir, "documents"))
+
+
 @query("op3_pack_sum_of_squares")
 def op3(spark, sf_dir):
     import public_tokenizers

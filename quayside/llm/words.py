@@ -62,6 +62,13 @@ class Words:
             start = np.maximum(start, end - last)
         return mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(U64))
 
+    def cased(self) -> np.ndarray:
+        """Hash of each word as it is, where ``lower`` folded it."""
+        up, _ = _powers(len(self.down) - 1)
+        sums = np.zeros(len(self.data) + 1, dtype=U64)
+        np.cumsum(_BYTES[self.data] * up[:len(self.data)], out=sums[1:])
+        return mix((sums[self.end] - sums[self.start]) * self.down[self.start] + (self.end - self.start).astype(U64))
+
     def text_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 

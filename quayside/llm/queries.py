@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import exact, lines, mixing, packing, quality, toxicity
+from quayside.llm import exact, lines, mixing, packing, pii, quality, toxicity
 from quayside.llm.common import table
 from quayside.session import prepare
 
@@ -105,6 +105,21 @@ def op7(spark, sf_dir):
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query("op8_weak_supervision_pii")
+def op8(spark, sf_dir):
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    names = F.array(*[F.lit(k) for k in pii.KINDS])
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda c: F.concat_ws(
+            ":", F.element_at(names, c["kind"] + 1), c["start"].cast("string"), c["end"].cast("string"))), ",")
+
+    counts = [F.size(F.filter("base", lambda c, k=k: c["kind"] == k)).cast("long").alias(f"n_{name}")
+              for k, name in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
 OP10_SQL = """
 WITH groups AS (SELECT coalesce(text, '') AS t, max(doc_id) AS keep_id, count(*) AS group_size
                 FROM documents GROUP BY coalesce(text, ''))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import exact, lines, mixing, packing, pii, quality, toxicity
+from quayside.llm import exact, lines, mixing, packing, pii, quality, toxicity, warc
 from quayside.llm.common import table
 from quayside.session import prepare
 
@@ -67,6 +67,23 @@ FROM judged GROUP BY doc_id
 """
 
 
+OP5_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN f.first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first < page_id THEN f.first END AS refers_to
+FROM d LEFT JOIN f USING (payload_digest)
+"""
+
+
+@query("op5_zip_warc", OP5_SQL)
+def op5(spark, sf_dir):
+    archives = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(archives).drop("url", "payload")
+
+
 @query("op6_line_dedup", OP6_SQL)
 def op6(spark, sf_dir):
     return lines.dedup_lines(table(spark, sf_dir, "documents")).select(

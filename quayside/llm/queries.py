@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import exact, lines, mixing, packing, pii, quality, toxicity, warc
+from quayside.llm import exact, jaccard, lines, mixing, packing, pii, quality, toxicity, warc
 from quayside.llm.common import table
 from quayside.session import prepare
 
@@ -137,6 +137,11 @@ def op8(spark, sf_dir):
                         joined(F.col("spans")).alias("spans"))
 
 
+@query("op9_jaccard_join")
+def op9(spark, sf_dir):
+    return jaccard.similar_groups(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 OP10_SQL = """
 WITH groups AS (SELECT coalesce(text, '') AS t, max(doc_id) AS keep_id, count(*) AS group_size
                 FROM documents GROUP BY coalesce(text, ''))

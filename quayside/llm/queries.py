@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import exact, jaccard, lines, mixing, packing, pii, quality, toxicity, warc
+from quayside.llm import exact, jaccard, lines, mixing, packing, pii, quality, repeats, toxicity, warc
 from quayside.llm.common import table
 from quayside.session import prepare
 
@@ -67,6 +67,12 @@ FROM judged GROUP BY doc_id
 """
 
 
+@query("op4_suffix_tree_dedup")
+def op4(spark, sf_dir):
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 OP5_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
 d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
@@ -153,3 +159,9 @@ FROM documents d JOIN groups g ON coalesce(d.text, '') = g.t
 @query("op10_exact_dedup", OP10_SQL)
 def op10(spark, sf_dir):
     return exact.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)

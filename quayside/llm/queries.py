@@ -137,8 +137,10 @@ def op8(spark, sf_dir):
         return F.array_join(F.transform(spans, lambda c: F.concat_ws(
             ":", F.element_at(names, c["kind"] + 1), c["start"].cast("string"), c["end"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("base", lambda c, k=k: c["kind"] == k)).cast("long").alias(f"n_{name}")
-              for k, name in enumerate(pii.KINDS)]
+    def number(kind):
+        return F.size(F.filter("base", lambda c: c["kind"] == kind)).cast("long")
+
+    counts = [number(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
                         joined(F.col("spans")).alias("spans"))
 

@@ -5,21 +5,18 @@ sets of word n-grams. The work is exact; bounds only discard pairs that cannot
 link.
 
 1. One pass over the texts: the set size, a 128-bit signature and a parity map
-   of each set. Documents with equal sets become one node.
-2. A global order of n-grams: by hash, but n-grams that more than ``HEAVY``
-   nodes show come last. A linking partner must meet the first n-grams of a set
-   in that order (its prefix). So each node shows its first n-grams by hash,
-   with some to spare; they are counted exactly, and the heavy ones among them
-   are passed over. Nodes with too many heavy ones (texts made of common
-   passages, members of large groups of near copies) are cut again in whole.
-   Columns of the incidence that only one node has are dropped; the rest is
-   dealt by n-gram, so each task multiplies its own block of columns.
+   of each set, and a table of n-gram frequencies (``SLOTS`` counters, whatever
+   the corpus size; a larger table orders a larger corpus better). Documents with equal sets become one node.
+2. A second pass orders each set from rare to frequent n-grams and keeps the
+   prefix that any linking partner must meet. Columns of the incidence (n-grams
+   in prefixes) that only one node has are dropped; the rest is dealt by
+   n-gram, so each task multiplies its own block of columns.
 3. First product: per n-gram the node with the fewest rare n-grams before it is
    the centre, and only products with the centre are formed, so their number
-   is linear in the entries. For the pairs met, overlap counts are accumulated
-   over all blocks; pairs below the bounds that follow from the two sizes and
-   the overlap so far, or from their parity maps, are discarded. The sets of
-   the rest are compared.
+   is linear in the entries. Pairs that their sizes, places or parity maps rule
+   out are discarded; for the others, overlap counts are accumulated over all
+   blocks, and pairs below the bound that follows from the two sizes and the
+   overlap so far are discarded. The sets of the rest are compared.
 4. Linked nodes are merged into components. Second product: n-grams whose nodes
    lie in several components give the remaining pairs across components, cut by
    the same bounds inside the join. A group of copies is one component by then
@@ -43,15 +40,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import Stager, ship_package, text_of, whole_row
 from quayside.llm.components import components
 from quayside.llm.words import U64, grams, mix, words
 
-HEAVY = 50               # an n-gram shown by more nodes comes last in the order
+SLOTS = 1 << 19          # counters of n-gram frequencies
 PARITY_BITS = 1024
+_BASE_SHORT = U64(0xA0761D6478BD642F)
+SHORT = ["b0", "b1", "b2", "b3"]
 ID_SLOTS = 1 << 24       # bits of the map of ids whose sets are needed
 
 
@@ -84,57 +83,73 @@ def parity(shingles: np.ndarray) -> bytes:
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+def short_parity(shingles: np.ndarray) -> np.ndarray:
+    """A parity map of 4 times 64 bits, for use inside a join."""
+    at = mix(shingles ^ _BASE_SHORT)
+    bits = np.bincount((at % U64(256)).astype(np.int64), minlength=256) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def slot(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> U64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+
+
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("second", pa.int64()),
-                     ("parity", pa.binary())])
-SIGNED = "doc_id long, n long, node long, second long, parity binary"
+                     ("parity", pa.binary()), ("b0", pa.int64()), ("b1", pa.int64()), ("b2", pa.int64()),
+                     ("b3", pa.int64()), ("slots", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64()))])
+SIGNED = "doc_id long, n long, node long, second long, parity binary, b0 long, b1 long, b2 long, b3 long, " \
+         "slots array<int>, counts array<bigint>"
 
 
 def _sign(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(SLOTS, dtype=np.int64)
         for batch in batches:
-            rows = [(len(s), *signature(s), parity(s)) if len(s) else (0, None, None, None)
-                    for _, s in shingle_sets(batch.column(1), size)]
+            rows = []
+            for _, s in shingle_sets(batch.column(1), size):
+                rows.append((len(s), *signature(s), parity(s), *short_parity(s).tolist()) if len(s) else (0, *[None] * 7))
+                np.add.at(seen, slot(s), 1)
+            none = pa.nulls(len(rows))
             if rows:
-                yield pa.record_batch([batch.column(0), *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(_SIGNED)[1:]))],
+                yield pa.record_batch([batch.column(0), *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(_SIGNED)[1:])),
+                                       none.cast(_SIGNED.field("slots").type), none.cast(_SIGNED.field("counts").type)],
                                       schema=_SIGNED)
+        used = np.flatnonzero(seen)
+        if len(used):
+            row = [*[None] * 9, used.astype(np.int32), seen[used]]
+            yield pa.record_batch([pa.array([v], f.type) for v, f in zip(row, _SIGNED)], schema=_SIGNED)
     return run
 
 
-def prefix_length(n, percent: int):
-    """How many first n-grams a linking partner must meet: n - ceil(percent * n / 100) + 1. For numbers and columns."""
-    if isinstance(n, Column):
-        return n - F.floor((n * percent + 99) / 100) + 1
+def prefix_length(n: np.ndarray | int, percent: int):
+    """How many of the rarest n-grams a linking partner must meet: n - ceil(percent * n / 100) + 1."""
     return n - (n * percent + 99) // 100 + 1
 
 
-def shown(n, percent: int):
-    """How many n-grams a node shows at first: its prefix and some to spare. For numbers and columns."""
-    if isinstance(n, Column):
-        return F.least(n, prefix_length(n, percent) + 8 + F.floor(n / 16))
-    return min(n, prefix_length(n, percent) + 8 + n // 16)
-
-
-def _first_keys(size: int, percent: int):
+def _prefixes(size: int, percent: int, frequency: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(signature(s)[0], len(s), s[:shown(len(s), percent)].view(np.int64))
-                    for _, s in shingle_sets(batch.column(0), size) if len(s)]
+            rows = []
+            for _, s in shingle_sets(batch.column(0), size):
+                if len(s):
+                    # From rare to frequent; of equal counts the smaller hash first.
+                    order = np.argsort(frequency[slot(s)], kind="stable")[:prefix_length(len(s), percent)]
+                    rows.append((signature(s)[0], len(s), s[order].view(np.int64)))
             if rows:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(
                     zip(*rows), (pa.int64(), pa.int64(), pa.list_(pa.int64())))], names=["node", "n", "keys"])
     return run
 
 
-def _sets_of(size: int, wanted: np.ndarray, as_array: bool):
+def _sets_of(size: int, wanted: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = np.array(batch.column(0)) - 1
             keep = np.flatnonzero((wanted[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
-            rows = [(signature(s)[0], s.view(np.int64) if as_array else s.tobytes())
+            rows = [(signature(s)[0], s.tobytes())
                     for _, s in shingle_sets(batch.column(1).take(pa.array(keep)), size) if len(s)]
             if rows:
-                kind = pa.list_(pa.int64()) if as_array else pa.binary()
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), kind))],
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary()))],
                                       names=["node", "shingles"])
     return run
 
@@ -179,51 +194,26 @@ class JaccardJoin:
 
     def signatures(self) -> None:
         signed = self.stage(self.docs.mapInArrow(_sign(self.size), SIGNED), "signatures")
-        self.members = signed.select("doc_id", "n", "node", "second")
+        self.members = signed.where("slots IS NULL").select("doc_id", "n", "node", "second")
         self.nodes = self.stage(
             signed.where("node IS NOT NULL").groupBy("node").agg(
-                F.max("n").alias("n"), F.max("parity").alias("parity"), F.min("doc_id").alias("min_doc")), "nodes")
+                F.max("n").alias("n"), F.max("parity").alias("parity"), F.min("doc_id").alias("min_doc"),
+                *[F.max(b).alias(b) for b in SHORT]), "nodes")
+        counted = (signed.where("slots IS NOT NULL").select(F.explode(F.arrays_zip("slots", "counts")).alias("c"))
+                   .groupBy("c.slots").agg(F.sum("c.counts").alias("n")))
+        # SLOTS rows at most, whatever the input.
+        self.frequency = np.zeros(SLOTS, dtype=np.int64)
+        for batch in counted.toArrow().to_batches():
+            self.frequency[np.array(batch.column(0))] = np.array(batch.column(1))
 
     def postings(self) -> None:
-        keys = self.docs.select("text").mapInArrow(_first_keys(self.size, self.percent),
-                                                   "node long, n long, keys array<bigint>")
-        # Documents with equal sets show the same; one stays.
-        keys = self.stage(keys.groupBy("node", "n").agg(F.any_value("keys").alias("keys")), "keys")
-        entries = keys.select("node", "n", F.posexplode("keys").alias("place", "key"))
-        shared = self.stage(entries.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-                            .select("key", (F.col("c") > HEAVY).alias("heavy")), "shared")
-        met = self.stage(entries.join(shared.hint("merge"), "key"), "met")
-        heavy = F.sum(F.col("heavy").cast("int"))
-        prefix = prefix_length(F.col("n"), self.percent)
-        short = self.stage(met.groupBy("node", "n").agg(heavy.alias("h"))
-                           .where(F.col("h") > shown(F.col("n"), self.percent) - prefix).select("node"), "short")
-        # The place in the order: heavy n-grams before it are passed over.
-        passed = F.coalesce(heavy.over(Window.partitionBy("node").orderBy("place")
-                                       .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        light = (met.withColumn("pos", F.col("place") - passed).where(~F.col("heavy") & (F.col("pos") < prefix))
-                 .join(short.hint("merge"), "node", "left_anti").select("key", "node", "n", "pos"))
-        whole = self.sets_of(short, as_array=True).select(
-            "node", F.size("shingles").cast("long").alias("n"), F.posexplode("shingles").alias("place", "key"))
-        last = F.coalesce("heavy", F.lit(False))
-        place = F.row_number().over(Window.partitionBy("node").orderBy("last", "place")) - 1
-        again = (whole.join(shared.hint("merge"), "key", "left").withColumn("last", last).withColumn("pos", place)
-                 .where(F.col("pos") < prefix).select("key", "node", "n", "pos"))
-        self.entries = self.stage(light.unionByName(again), "entries")
-
-    def sets_of(self, nodes: DataFrame, as_array: bool) -> DataFrame:
-        """The sets of ``nodes`` (node), from the texts of their smallest ids."""
-        # A map of fixed size tells which texts are worth cutting; other texts that share a bit do no harm.
-        bits = (self.nodes.join(nodes.hint("merge"), "node").select(at_of("min_doc").alias("at"))
-                .groupBy(F.bitmap_bucket_number("at").alias("bucket"))
-                .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect())
-        wanted = np.zeros(ID_SLOTS // 8, dtype=np.uint8)
-        for r in bits:
-            start = (r["bucket"] - 1) * 4096
-            wanted[start:start + 4096] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
-        kind = "array<bigint>" if as_array else "binary"
-        return self.stage(self.docs.select(at_of("doc_id").alias("at"), "text")
-                          .mapInArrow(_sets_of(self.size, wanted, as_array), f"node long, shingles {kind}")
-                          .join(nodes.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+        prefixes = self.docs.select("text").mapInArrow(
+            _prefixes(self.size, self.percent, self.frequency), "node long, n long, keys array<bigint>")
+        # Documents with equal sets give equal prefixes; one stays.
+        prefixes = self.stage(prefixes.groupBy("node", "n").agg(F.any_value("keys").alias("keys")), "prefixes")
+        entries = prefixes.select("node", "n", F.posexplode("keys").alias("pos", "key"))
+        shared = self.stage(entries.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "shared")
+        self.entries = self.stage(entries.join(shared.hint("merge"), "key"), "entries")
 
     def fits(self, n1, p1, n2, p2):
         """The size and place bounds of a pair."""
@@ -259,7 +249,8 @@ class JaccardJoin:
                              "labelled")
         several = self.stage(entries.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
                              .where("x < y").select("key"), "several")
-        left = self.stage(entries.join(several.hint("merge"), "key"), "open")
+        left = self.stage(entries.join(several.hint("merge"), "key")
+                          .join(self.nodes.select("node", *SHORT).hint("merge"), "node"), "open")
         # A partner of at least its own size has at most ``most`` n-grams; steps of 5 % of the size
         # are join keys, so only sizes that can link meet.
         most = F.floor(F.least((100 + self.percent) * (F.col("n") - F.col("pos")) / self.percent - F.col("n"),
@@ -269,20 +260,33 @@ class JaccardJoin:
                  .withColumn("step", F.explode(F.sequence(step(F.col("n")), step(F.col("most"))))).alias("s"))
         large = left.withColumn("step", step(F.col("n"))).alias("l")
         s, t = (lambda c: F.col(f"s.{c}")), (lambda c: F.col(f"l.{c}"))
+        apart = sum((F.bit_count(s(b).bitwiseXOR(t(b))) for b in SHORT), F.lit(0))
         pairs = small.join(large.hint("merge"), (s("key") == t("key")) & (s("step") == t("step")) & (s("label") != t("label"))
                            & (t("n") <= s("most")) & ((s("n") < t("n")) | ((s("n") == t("n")) & (s("node") < t("node"))))
-                           & self.fits(s("n"), s("pos"), t("n"), t("pos")))
+                           & self.fits(s("n"), s("pos"), t("n"), t("pos"))
+                           & ((100 + self.percent) * (s("n") + t("n") - apart) >= 2 * self.percent * (s("n") + t("n"))))
         return pairs.select(F.least(s("node"), t("node")).alias("a"), F.greatest(s("node"), t("node")).alias("b")).distinct()
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that link: overlap counts and parity maps discard, then the sets themselves are compared."""
+        """The pairs that link: parity maps and overlap counts discard, then the sets themselves are compared."""
         n = self.nodes
         one = n.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa")).hint("merge")
         two = n.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb")).hint("merge")
-        close = self.stage(self.accumulated(pairs).join(one, "a").join(two, "b").select("a", "b", "na", "nb", "pa", "pb")
-                           .mapInArrow(_near_parity(self.percent), "a long, b long"), "close")
+        near = self.stage(pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "pa", "pb")
+                          .mapInArrow(_near_parity(self.percent), "a long, b long"), "near")
+        close = self.stage(self.accumulated(near), "close")
         used = close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))).distinct()
-        sets = self.sets_of(used, as_array=False)
+        # A map of fixed size tells which texts are worth cutting; other texts that share a bit do no harm.
+        bits = (n.join(used.hint("merge"), "node").select(at_of("min_doc").alias("at"))
+                .groupBy(F.bitmap_bucket_number("at").alias("bucket"))
+                .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect())
+        wanted = np.zeros(ID_SLOTS // 8, dtype=np.uint8)
+        for r in bits:
+            start = (r["bucket"] - 1) * 4096
+            wanted[start:start + 4096] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
+        sets = self.stage(self.docs.select(at_of("doc_id").alias("at"), "text")
+                          .mapInArrow(_sets_of(self.size, wanted), "node long, shingles binary")
+                          .join(used.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "sets")
         x = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")).hint("merge")
         y = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")).hint("merge")
         return self.stage(close.join(x, "a").join(y, "b").select("a", "b", "x", "y")

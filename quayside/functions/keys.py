@@ -62,7 +62,8 @@ def composite_key(affiliate: Column, asin: Column, source: Column) -> Column:
     seed = F.concat(aff, asn, src)
     head = F.concat(F.lit("ag"), aff, F.lit("X"), asn, F.lit("X"), src, F.lit("X"),
                     encoded(seed, COMPOSITE_HASH_CHARS))
-    pad = encoded(F.concat(seed, F.lit("#pad")), COMPOSITE_LENGTH)
+    # The head has 20 characters at least, so this many can be needed (two digests).
+    pad = encoded(F.concat(seed, F.lit("#pad")), COMPOSITE_LENGTH - 5 - COMPOSITE_HASH_CHARS)
     return F.substring(F.concat(head, pad), 1, COMPOSITE_LENGTH)
 
 

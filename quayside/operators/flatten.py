@@ -30,22 +30,35 @@ def _zero(dtype: T.DataType) -> Column | None:
 
 
 def items(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """FLT-11: one row per item of ``data`` (lateral unnest)."""
+    """FLT-11: one row per item of ``data`` (lateral unnest), with its
+    position in the document (``pos``)."""
     keep = keep or []
-    return docs.select(*keep, F.explode("data").alias("item"))
+    return docs.select(*keep, F.posexplode("data").alias("pos", "item"))
+
+
+SEQ = "seq"
+
+
+def document_order(docs: DataFrame) -> list[str]:
+    """Columns that give the documents' order: all that are carried along,
+    in table order (for example file time, file name, line)."""
+    return [c for c in docs.columns if c not in ("data", "_corrupt_record")]
 
 
 def flatten_products(docs: DataFrame, report_date: dt.date, created_at: dt.datetime,
-                     defaults: str = "zero", asin_rule: str = "code") -> DataFrame:
+                     defaults: str = "zero", asin_rule: str = "code",
+                     order: list[str] | None = None) -> DataFrame:
     """FLT-1: product items -> 42-column snapshot rows.
 
     ``defaults='zero'`` (FLT-4 code path): absent strings, numbers and flags
     become '', 0 and false, except the four nullable ints. ``'null'``
     (script path): absent stays NULL. ``asin_rule='code'`` uses FLT-5,
     ``'script'`` FLT-6. Dates and RFC 3339 stamps parse leniently (FLT-7/8).
-    ``report_date`` and ``created_at`` are parameters (FLT-13).
+    ``report_date`` and ``created_at`` are parameters (FLT-13). ``order``
+    names the columns of the documents' order; the rows then carry ``seq``
+    (those columns, then the item's position) for last-wins upserts.
     """
-    it = items(docs)
+    it = items(docs, order)
     idc = F.col("item.id")
     asin = asin_from_id(idc) if asin_rule == "code" else id_asin(idc)
     cols = [asin.alias("asin"), date_lit(report_date).alias("report_date"), idc.alias("id")]
@@ -62,6 +75,8 @@ def flatten_products(docs: DataFrame, report_date: dt.date, created_at: dt.datet
                 c = F.coalesce(c, z)
         cols.append(c.alias(f.name))
     cols.append(ts_lit(created_at).alias("created_at"))
+    if order is not None:
+        cols.append(F.struct(*order, "pos").alias(SEQ))
     return it.select(*cols)
 
 
@@ -69,18 +84,21 @@ SALES_COLUMNS = ["asin", "marketplace", "is_parent", "is_variant", "is_standalon
                  "date", "estimated_units_sold", "last_known_price"]
 
 
-def flatten_sales(docs: DataFrame, marketplace: str | None = None, first_item_only: bool = False) -> DataFrame:
+def flatten_sales(docs: DataFrame, marketplace: str | None = None, first_item_only: bool = False,
+                  order: list[str] | None = None) -> DataFrame:
     """FLT-2: sales item x daily point -> flat rows.
 
     Script path (default): every item, marketplace from the id prefix,
     ``parent_asin`` as sent. Code path (``first_item_only=True`` with a
     ``marketplace``): only ``data[0]``, marketplace from the request
-    (FLT-14), and an empty parent stored as NULL (FLT-9).
+    (FLT-14), and an empty parent stored as NULL (FLT-9). ``order`` as in
+    :func:`flatten_products`; the point's position comes last.
     """
     if first_item_only:
-        it = docs.filter(F.size("data") > 0).select(F.get(F.col("data"), 0).alias("item"))
+        it = docs.filter(F.size("data") > 0).select(*(order or []), F.lit(0).alias("pos"),
+                                                    F.get(F.col("data"), 0).alias("item"))
     else:
-        it = items(docs)
+        it = items(docs, order)
     a = "item.attributes"
     mk = F.lit(marketplace) if marketplace is not None else id_marketplace(F.col("item.id"))
     parent = F.col(f"{a}.parent_asin")
@@ -89,11 +107,13 @@ def flatten_sales(docs: DataFrame, marketplace: str | None = None, first_item_on
     head = it.select(F.col(f"{a}.asin").alias("asin"), mk.alias("marketplace"),
                      F.col(f"{a}.is_parent").alias("is_parent"), F.col(f"{a}.is_variant").alias("is_variant"),
                      F.col(f"{a}.is_standalone").alias("is_standalone"), parent.alias("parent_asin"),
-                     F.explode(F.col(f"{a}.data")).alias("p"))
+                     *([F.struct(*order, "pos").alias("_doc")] if order is not None else []),
+                     F.posexplode(F.col(f"{a}.data")).alias("_point", "p"))
+    seq = [F.struct("_doc", "_point").alias(SEQ)] if order is not None else []
     return head.select("asin", "marketplace", "is_parent", "is_variant", "is_standalone", "parent_asin",
                        lenient_date(F.col("p.date")).alias("date"),
                        F.col("p.estimated_units_sold").alias("estimated_units_sold"),
-                       F.col("p.last_known_price").alias("last_known_price"))
+                       F.col("p.last_known_price").alias("last_known_price"), *seq)
 
 
 def flatten_keywords(docs: DataFrame) -> DataFrame:

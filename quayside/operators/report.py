@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 ERROR_KINDS = ("db", "api", "parse")  # anything else counts as "other"
 SAMPLE_ERRORS = 3      # samples kept in the incremental run's summary
 DIGEST_ERRORS = 5      # errors listed in the full run's digest
-DIGEST_BYTES = 500     # incremental digest cut (characters here; see README)
+DIGEST_BYTES = 500     # incremental digest cut, in bytes of UTF-8
 RUN_KEYS_PER_CALL = 100
 # Stop reasons of the reference's runs.
 DEFAULT_STOP_REASON = "Critical errors encountered"     # full run, stopped with no reason given
@@ -141,9 +141,15 @@ def error_digest_full(outcomes: DataFrame, run: str = "run_id") -> DataFrame:
 
 
 def error_digest_hourly(summary: DataFrame, run: str = "run_id") -> DataFrame:
-    """RPT-4: the samples newline-joined, cut at 500 with ``...``."""
+    """RPT-4: the samples newline-joined, cut at 500 bytes with ``...``. A
+    character that the cut would split is left out, so the text stays valid."""
     s = F.concat_ws("\n", "sample_errors")
-    text = F.when(F.length(s) > DIGEST_BYTES, F.concat(F.substring(s, 1, DIGEST_BYTES), F.lit("..."))).otherwise(s)
+    raw = s.cast("binary")
+    # Step back from the cut over later bytes of a character (10xxxxxx): at most three.
+    start = F.coalesce(*[F.when(~F.hex(F.substring(raw, DIGEST_BYTES + 1 - k, 1)).rlike("^[89AB]"), F.lit(DIGEST_BYTES - k))
+                         for k in range(4)], F.lit(DIGEST_BYTES))
+    cut = F.decode(F.substring(raw, F.lit(1), start), "UTF-8")
+    text = F.when(F.octet_length(s) > DIGEST_BYTES, F.concat(cut, F.lit("..."))).otherwise(s)
     return summary.select(run, text.alias("sample_text"))
 
 

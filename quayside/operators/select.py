@@ -25,10 +25,12 @@ def _before(as_of: dt.datetime, days: int):
     return ts_lit(as_of - dt.timedelta(days=days))
 
 
-def visible_asins(catalog: DataFrame) -> DataFrame:
-    """SEL-1: distinct visible, non-empty keys, sorted."""
-    return (catalog.filter(F.col("product_visibility") & F.col("asin").isNotNull() & (F.col("asin") != ""))
+def visible_asins(catalog: DataFrame, ordered: bool = False) -> DataFrame:
+    """SEL-1: distinct visible, non-empty keys. ``ordered`` sorts them, for
+    reports; the runs join them and need no order."""
+    keys = (catalog.filter(F.col("product_visibility") & F.col("asin").isNotNull() & (F.col("asin") != ""))
             .select("asin").distinct())
+    return keys.orderBy("asin") if ordered else keys
 
 
 def new_candidates(status: DataFrame, as_of: dt.datetime,
@@ -84,15 +86,17 @@ def select_priority(status: DataFrame, as_of: dt.datetime, limit: int = RUN_KEY_
             .select("asin", (F.col("priority") == 0).alias("is_new"), "sales_estimate_data_synced_at"))
 
 
-def needs_product(status: DataFrame) -> DataFrame:
-    """SEL-5: full run product step: flag false or NULL."""
-    return status.filter(~F.coalesce(F.col("has_product_data"), F.lit(False))).select("asin")
+def needs_product(status: DataFrame, ordered: bool = False) -> DataFrame:
+    """SEL-5: full run product step: flag false or NULL (``ordered``: by key)."""
+    keys = status.filter(~F.coalesce(F.col("has_product_data"), F.lit(False))).select("asin")
+    return keys.orderBy("asin") if ordered else keys
 
 
-def needs_sales(status: DataFrame) -> DataFrame:
-    """SEL-6: full run sales step: product true and sales exactly false."""
-    return status.filter((F.col("has_product_data") == F.lit(True))
+def needs_sales(status: DataFrame, ordered: bool = False) -> DataFrame:
+    """SEL-6: full run sales step: product true and sales exactly false (``ordered``: by key)."""
+    keys = status.filter((F.col("has_product_data") == F.lit(True))
                          & (F.col("has_sales_data") == F.lit(False))).select("asin")
+    return keys.orderBy("asin") if ordered else keys
 
 
 def errored_asins(status: DataFrame) -> DataFrame:

@@ -7,11 +7,9 @@ unchanged) that :func:`upsert_counts` folds into the counts the reference
 returns.
 
 Scale: with ``partition_by`` only target partitions the source touches go
-through the join; the rest passes through untouched. The touched partition
-values (a bounded set, see :func:`split_touched`) become a literal filter,
-so a partitioned target's scan is pruned to those folders and the untouched
-rows are never shuffled. The merge join is on the full natural key, which is
-unique on both sides after :func:`prepare_source`, so it has no hot key.
+through the join (see :func:`split_touched`). The merge join is on the full
+natural key, which is unique on both sides after :func:`prepare_source`, so
+it has no hot key.
 """
 
 from __future__ import annotations
@@ -23,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.dates import ts_lit
-from quayside.operators.batches import dedupe_last, duplicate_key_count
+from quayside.operators.batches import duplicate_key_count
 
 INSERTED, UPDATED, UNCHANGED = "inserted", "updated", "unchanged"
 
@@ -32,32 +30,38 @@ class DuplicateKeyError(ValueError):
     pass
 
 
+def null_key_rows(source: DataFrame, keys: list[str]) -> DataFrame:
+    """Source rows that cannot be stored because a key part is NULL."""
+    return source.filter(~_all([F.col(k).isNotNull() for k in keys]))
+
+
 def prepare_source(source: DataFrame, keys: list[str], seq: str | None = None,
                    on_duplicate: str = "last") -> DataFrame:
-    """UPS-6: drop rows with a NULL key part; resolve duplicate keys.
+    """UPS-6: resolve duplicate keys. Rows with a NULL key part are left out;
+    :func:`null_key_rows` returns them, and the runs record them.
 
     ``last`` keeps the row with the highest ``seq`` (the row-by-row path of
-    the reference; without ``seq``, the greatest row); ``error`` raises like
-    one bulk statement touching a row twice (this runs one aggregation over
-    the source)."""
+    the reference) and ``first`` the one with the lowest; both need ``seq``.
+    ``error`` raises like one bulk statement touching a row twice (this runs
+    one aggregation over the source). ``unique`` is for sources whose keys are
+    known to be unique."""
     src = source.filter(_all([F.col(k).isNotNull() for k in keys]))
     if on_duplicate == "error":
         dup = duplicate_key_count(src, keys).limit(1).collect()
         if dup:
             raise DuplicateKeyError(f"source touches key {dup[0].asDict()} more than once")
-        return src.drop(seq) if seq and seq in src.columns else src
-    if on_duplicate != "last":
-        raise ValueError("on_duplicate must be 'last' or 'error'")
-    if seq is None:
-        # No order given: keep one row per key deterministically (the
-        # greatest row), so a retry picks the same one. The aggregation is on
-        # the merge keys, so the join reuses its partitioning.
-        others = [c for c in src.columns if c not in keys]
+    elif on_duplicate in ("last", "first"):
+        if seq is None:
+            raise ValueError(f"on_duplicate={on_duplicate!r} needs seq, the order of the rows")
+        others = [c for c in src.columns if c not in keys and c != seq]
+        pick = F.max_by if on_duplicate == "last" else F.min_by
         if not others:
-            return src.distinct()
-        return (src.groupBy(*keys).agg(F.max(F.struct(*others)).alias("_row"))
+            return src.select(*keys).distinct()
+        return (src.groupBy(*keys).agg(pick(F.struct(*others), F.col(seq)).alias("_row"))
                 .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]))
-    return dedupe_last(src, keys, seq).drop(seq)
+    elif on_duplicate != "unique":
+        raise ValueError("on_duplicate must be last, first, error or unique")
+    return src.drop(seq) if seq and seq in src.columns else src
 
 
 def _all(conds: list[Column]) -> Column:
@@ -67,38 +71,29 @@ def _all(conds: list[Column]) -> Column:
     return out
 
 
-# A table has at most one partition value per day/month; above this many
-# touched values the split falls back to a (shuffled) semi/anti join.
-MAX_TOUCHED_PARTITIONS = 10_000
-
-
 def split_touched(target: DataFrame, source: DataFrame, partition_by: list[str]):
     """Target rows in partitions the source touches, and all other rows.
 
-    The touched partition values are a bounded set (one per partition of the
-    table, checked against ``MAX_TOUCHED_PARTITIONS``), so they are read to
-    the driver and become a literal filter: the scan of a partitioned table
-    prunes to the touched folders, and the untouched rows pass through with
-    no shuffle at all. Above the bound the split is a semi/anti join.
+    The source's values of the first partition column (at most one per
+    partition folder of the table) become a literal filter, so the scan of a
+    partitioned table prunes to the touched folders and other rows pass
+    through without a shuffle. Reading them computes the source's partition
+    columns once; pass a staged or checkpointed source. Further partition
+    columns are matched by a join below that filter.
     """
-    touched = source.select(*partition_by).distinct()
-    vals = touched.limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-    if len(vals) > MAX_TOUCHED_PARTITIONS:
-        return (target.join(touched, partition_by, "left_semi"),
-                target.join(touched, partition_by, "left_anti"))
-    if len(partition_by) == 1:
-        c = partition_by[0]
-        present = [r[0] for r in vals if r[0] is not None]
-        hit = F.col(c).isin(present) if present else F.lit(False)
-        if len(present) < len(vals):  # a NULL partition value is touched too
-            hit = hit | F.col(c).isNull()
-    else:
-        hit = F.lit(False)
-        for r in vals:
-            cond = _all([F.col(c).eqNullSafe(F.lit(r[c])) for c in partition_by])
-            hit = hit | cond
+    first = partition_by[0]
+    vals = [r[0] for r in source.select(first).distinct().collect()]
+    hit = F.col(first).isin([v for v in vals if v is not None])
+    if None in vals:
+        hit = hit | F.col(first).isNull()
     hit = F.coalesce(hit, F.lit(False))
-    return target.filter(hit), target.filter(~hit)
+    inside, outside = target.filter(hit), target.filter(~hit)
+    if len(partition_by) > 1:
+        touched = source.select(*[F.col(c).alias(f"_p_{c}") for c in partition_by]).distinct()
+        same = _all([F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in partition_by])
+        outside = outside.unionByName(inside.join(touched, same, "left_anti"))
+        inside = inside.join(touched, same, "left_semi")
+    return inside, outside
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], *,
@@ -171,24 +166,23 @@ def upsert_counts(merged: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 
 def key_hits(target: DataFrame, source: DataFrame, keys: list[str], partition_by: list[str] | None = None,
-             seq: str | None = None) -> DataFrame:
+             ) -> DataFrame:
     """One row per distinct source key with ``hit`` = the key is already in
     the target: what an upsert would count as updated (hit) or inserted (no
     hit), without computing the merged table. Only key columns are read, and
     only the touched partitions of the target."""
-    src = prepare_source(source.select(*keys, *([seq] if seq else [])), keys, seq)
+    src = prepare_source(source.select(*keys), keys, on_duplicate="unique").distinct()
     t = split_touched(target, src, partition_by)[0] if partition_by else target
     return src.join(t.select(*keys).distinct().withColumn("hit", F.lit(True)), keys, "left") \
         .select(*keys, F.coalesce(F.col("hit"), F.lit(False)).alias("hit"))
 
 
-def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str], seq: str | None = None) -> DataFrame:
+def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str], seq: str | None = None,
+                  on_duplicate: str = "first") -> DataFrame:
     """UPS-4: insert source rows whose key is absent; existing keys win.
-    Within the source the first row per key wins (``seq`` ascending), as
-    with row-by-row ``ON CONFLICT DO NOTHING``."""
-    src = prepare_source(source, keys)
-    if seq is not None:
-        src = dedupe_last(src.withColumn("_neg", -F.col(seq)), keys, "_neg").drop("_neg")
+    Within the source the first row per key wins (lowest ``seq``), as with
+    row-by-row ``ON CONFLICT DO NOTHING``."""
+    src = prepare_source(source, keys, seq, on_duplicate)
     new = src.join(target.select(*keys), keys, "left_anti").select(*target.columns)
     return (target.withColumn("action", F.lit(UNCHANGED))
             .unionByName(new.withColumn("action", F.lit(INSERTED))))

@@ -56,8 +56,9 @@ def merge_counters(target: DataFrame, increments: DataFrame, keys: list[str] = C
 
 
 def usage_today(usage: DataFrame, day: dt.date) -> DataFrame:
-    """AGG-6: one day's counts per endpoint."""
-    return usage.filter(F.col("usage_date") == date_lit(day)).select("endpoint", "call_count", "updated_at")
+    """AGG-6: one day's counts, by endpoint (a few rows, so sorting is free)."""
+    return (usage.filter(F.col("usage_date") == date_lit(day)).select("endpoint", "call_count", "updated_at")
+            .orderBy("endpoint"))
 
 
 def usage_yesterday(usage: DataFrame, day: dt.date) -> DataFrame:
@@ -66,12 +67,12 @@ def usage_yesterday(usage: DataFrame, day: dt.date) -> DataFrame:
 
 
 def usage_last_days(usage: DataFrame, day: dt.date, days: int = 7) -> DataFrame:
-    """AGG-8: the last ``days`` days per endpoint (newest first when sorted)."""
-    return usage.filter(F.col("usage_date") >= F.date_sub(date_lit(day), days)) \
-        .select("usage_date", "endpoint", "call_count")
+    """AGG-8: the last ``days`` days per endpoint, newest first."""
+    return (usage.filter(F.col("usage_date") >= F.date_sub(date_lit(day), days))
+            .select("usage_date", "endpoint", "call_count").orderBy(F.desc("usage_date"), "endpoint"))
 
 
 def usage_daily_total(usage: DataFrame, day: dt.date, days: int = 30) -> DataFrame:
     """AGG-9: total over endpoints per day for the last ``days`` days."""
     return (usage.filter(F.col("usage_date") >= F.date_sub(date_lit(day), days))
-            .groupBy("usage_date").agg(F.sum("call_count").alias("total_calls")))
+            .groupBy("usage_date").agg(F.sum("call_count").alias("total_calls")).orderBy(F.desc("usage_date")))

@@ -197,10 +197,10 @@ SELECT DISTINCT concat('B', lpad(CAST(l_partkey AS VARCHAR), 9, '0')) AS asin,
        CASE WHEN l_partkey % 4 = 1 THEN concat('B', lpad(CAST(l_partkey + 1 AS VARCHAR), 9, '0')) END AS parent_asin
 FROM lineitem WHERE l_returnflag = 'R'""")
 def q_empty_parent_to_null(spark, sf):
-    a = F.get(F.col("data"), 0).getField("attributes")
-    return _sales_docs(spark, sf).select(a.getField("asin").alias("asin"),
-                                         a.getField("parent_asin").alias("parent_asin_sent"),
-                                         empty_to_null(a.getField("parent_asin")).alias("parent_asin"))
+    a = F.col("item.attributes")
+    items = flt.items(_sales_docs(spark, sf))  # every item; listings of one product agree
+    return items.select(a.getField("asin").alias("asin"), a.getField("parent_asin").alias("parent_asin_sent"),
+                        empty_to_null(a.getField("parent_asin")).alias("parent_asin")).distinct()
 
 
 @query("json_extract_cast", f"""
@@ -279,7 +279,8 @@ def _product_upsert(spark, sf, touch_created):
            .filter((key / D.ITEMS_PER_PRODUCT_DOC).cast("bigint") % 2 == 0)
            .withColumns({"title": F.concat("title", F.lit(" (old)")), "id": F.concat("id", F.lit("#old"))}))
     fresh = _flat(spark, sf)
-    merged = ups.upsert_products(old, fresh, AS_OF, touch_created=touch_created, partition_by=["report_date"])
+    merged = ups.upsert_products(old, fresh, AS_OF, touch_created=touch_created, partition_by=["report_date"],
+                                 on_duplicate="unique")
     return flt.nested_to_json(merged)
 
 

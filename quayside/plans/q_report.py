@@ -152,7 +152,7 @@ def q_run_duration(spark, sf):
 def sync_response(spark, sf):
     """RPT-9: the ad-hoc sales sync summary: keys requested and found,
     inserted/updated per target, the (clamped) window and its warning. The
-    production copy lags: it holds the stored months before 1998 only.
+    production copy holds only the rows with units.
 
     Inserted/updated come from the source keys' hits in each target
     (``key_hits``: key columns of the touched partitions only), not from two
@@ -161,7 +161,7 @@ def sync_response(spark, sf):
     source = S.sales_new(spark, sf)
     keys = ups.SALES_KEYS
     staging = ups.key_hits(S.sales(spark, sf), source, keys, partition_by=["date"])
-    production = ups.key_hits(S.sales(spark, sf).filter("date < DATE'1998-01-01'"), source, keys,
+    production = ups.key_hits(S.sales(spark, sf).filter("estimated_units_sold > 0"), source, keys,
                               partition_by=["date"])
     tagged = (source.select(F.lit("request").alias("_part"), "asin", "date", "estimated_units_sold")
               .unionByName(staging.select(F.lit("staging").alias("_part"), "hit"), allowMissingColumns=True)
@@ -192,7 +192,7 @@ FROM (SELECT *, CASE WHEN start0 < CAST(date_trunc('month', CAST(end_date AS DAT
       FROM v_sales_new n LEFT JOIN v_sales t ON t.asin = n.asin AND t.date = n.date) s,
      (SELECT count(*) FILTER (WHERE t.asin IS NULL) AS production_inserted,
              count(*) FILTER (WHERE t.asin IS NOT NULL) AS production_updated
-      FROM v_sales_new n LEFT JOIN (SELECT * FROM v_sales WHERE date < DATE '1998-01-01') t
+      FROM v_sales_new n LEFT JOIN (SELECT * FROM v_sales WHERE estimated_units_sold > 0) t
         ON t.asin = n.asin AND t.date = n.date) p""", "v_sales", "v_sales_new"))
 def q_sync_response(spark, sf):
     return sync_response(spark, sf)

@@ -39,7 +39,7 @@ def _prio_sql(tail: str, *views: str) -> str:
 
 @query("visible_asins", with_views(VISIBLE_SQL, "v_catalog"))
 def q_visible_asins(spark, sf):
-    return sel.visible_asins(S.catalog(spark, sf))
+    return sel.visible_asins(S.catalog(spark, sf), ordered=True)
 
 
 @query("select_new", with_views(f"""
@@ -65,13 +65,13 @@ def q_select_priority(spark, sf):
 @query("needs_product", with_views(
     "SELECT asin FROM v_status WHERE NOT coalesce(has_product_data, false)", "v_status"))
 def q_needs_product(spark, sf):
-    return sel.needs_product(S.status(spark, sf))
+    return sel.needs_product(S.status(spark, sf), ordered=True)
 
 
 @query("needs_sales", with_views(
     "SELECT asin FROM v_status WHERE has_product_data = true AND has_sales_data = false", "v_status"))
 def q_needs_sales(spark, sf):
-    return sel.needs_sales(S.status(spark, sf))
+    return sel.needs_sales(S.status(spark, sf), ordered=True)
 
 
 @query("errored_asins", with_views("SELECT asin, error FROM v_status WHERE error IS NOT NULL", "v_status"))
@@ -110,13 +110,12 @@ def q_add_new_keys(spark, sf):
 
 
 @query("not_found", _prio_sql("""
-SELECT asin FROM selection EXCEPT SELECT asin FROM v_sales_new WHERE date >= DATE '2000-01-01'""", "v_sales_new"))
+SELECT asin FROM selection EXCEPT SELECT asin FROM v_status WHERE has_product_data"""))
 def q_not_found(spark, sf):
-    """Requested = the run's selection; returned = keys that have fresh
-    sales points since 2000 (the stand-in for the keys a response held)."""
+    """Requested = the run's selection; returned = keys with product data
+    (the stand-in for the keys a response held)."""
     requested = sel.select_priority(S.status(spark, sf), AS_OF, PRIORITY_LIMIT)
-    returned = S.sales_new(spark, sf).filter("date >= DATE'2000-01-01'")
-    return sel.not_found(requested, returned)
+    return sel.not_found(requested, S.status(spark, sf).filter("has_product_data"))
 
 
 @query("attach_sync_info", _prio_sql("""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from quayside.operators import select as sel
 from quayside.operators import status as st
 from quayside.plans.q_select import VISIBLE_SQL
@@ -48,15 +50,15 @@ def q_fold_status(spark, sf):
 
 @query("stuck_stale", with_views(f"""
 SELECT asin, product_data_synced_at, product_fetch_attempted_at FROM folded
-WHERE has_product_data = true AND error = '{NF}' AND product_data_synced_at < TIMESTAMP '2024-01-02 00:00:00'""",
+WHERE has_product_data = true AND error = '{NF}' AND product_data_synced_at < TIMESTAMP '2024-03-02 00:00:00'""",
                                  "v_status", "v_events",
-                                 extra={"agg": FOLD_AGG.replace("{where}", "WHERE kind = 'product_not_found'"),
+                                 extra={"agg": FOLD_AGG.replace("{where}", ""),
                                         "folded": FOLD_SQL}))
 def q_stuck_stale(spark, sf):
-    """Fold only the runs' not-found marks, then list the stale keys that
-    stay stuck (flag kept, old sync time kept)."""
-    events = S.status_events(spark, sf).filter("kind = 'product_not_found'")
-    return st.stuck_stale(st.fold_status(S.status(spark, sf), events), AS_OF)
+    """Fold all events of the runs, then list the stale keys that stay stuck
+    (not found again: flag kept, old sync time kept), two months later."""
+    later = AS_OF + dt.timedelta(days=60)
+    return st.stuck_stale(st.fold_status(S.status(spark, sf), S.status_events(spark, sf)), later)
 
 
 @query("fresh_reset", with_views("""

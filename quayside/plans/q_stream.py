@@ -30,7 +30,7 @@ FRESH_SQL = ("SELECT asin, marketplace, is_parent, date, estimated_units_sold, l
 @query("stream_landed_sales", with_views("SELECT * EXCLUDE (action) FROM m", "v_sales", extra={
     "pts": D.SALES_POINTS_SQL, "v_sales_new": FRESH_SQL, "tgt": SALES_TARGET_SQL, "m": UPSERT_SALES_SQL}))
 def q_stream_landed_sales(spark, sf):
-    """Sales documents land in two files; the stream upserts each as one
+    """Sales documents land in two writes; the stream upserts eight files a
     micro-batch into the stored table (published as version 0) and the
     final table is read back. Bad points (no date) never reach the table."""
     root = _scratch(spark, "landed")
@@ -39,9 +39,9 @@ def q_stream_landed_sales(spark, sf):
     docs = D.sales_documents(spark, sf)
     landing = f"{root}/landing"
     for parity in (0, 1):
-        (docs.filter(F.col("doc_id") % 2 == parity).select("doc").coalesce(1)
+        (docs.filter(F.col("doc_id") % 2 == parity).select("doc")
          .write.mode("append").text(landing))
-    sync_landed_sales(spark, landing, target, "sales", f"{root}/_checkpoint", AS_OF, max_files_per_trigger=1)
+    sync_landed_sales(spark, landing, target, "sales", f"{root}/_checkpoint", AS_OF, max_files_per_trigger=8)
     return read_live(spark, target, "sales").drop("action")
 
 

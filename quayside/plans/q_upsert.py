@@ -25,7 +25,8 @@ def sales_target(spark, sf):
 
 
 def merged_sales(spark, sf):
-    return ups.upsert_sales(sales_target(spark, sf), S.sales_new(spark, sf), AS_OF, partition_by=["date"])
+    return ups.upsert_sales(sales_target(spark, sf), S.sales_new(spark, sf), AS_OF, partition_by=["date"],
+                            on_duplicate="unique")
 
 
 UPSERT_SALES_SQL = f"""
@@ -62,11 +63,41 @@ SELECT *, 'unchanged' AS action FROM v_keywords WHERE doc_id % 2 = 0
 UNION ALL
 SELECT id, country, concat(name, '*') AS name, monthly_search_volume_exact, ease_of_ranking_score, doc_id,
        'inserted' AS action
-FROM v_keywords WHERE doc_id % 3 = 0 AND doc_id % 2 <> 0""", "v_keywords"))
+FROM v_keywords WHERE doc_id % 2 <> 0""", "v_keywords"))
 def q_insert_ignore_keywords(spark, sf):
-    """Stored = even documents; fresh = every third document, renamed so a
-    wrongly overwritten row would show."""
+    """Stored = even documents; fresh = all documents, renamed so a wrongly
+    overwritten row would show."""
     kw = S.keywords(spark, sf)
     target = kw.filter(F.col("doc_id") % 2 == 0)
-    source = kw.filter(F.col("doc_id") % 3 == 0).withColumn("name", F.concat("name", F.lit("*")))
-    return ups.insert_ignore(target, source, ["id"])
+    source = kw.withColumn("name", F.concat("name", F.lit("*")))
+    return ups.insert_ignore(target, source, ["id"], on_duplicate="unique")
+
+
+@query("upsert_sales_last_wins", with_views(UPSERT_SALES_SQL, "v_sales", "v_sales_new", extra={"tgt": SALES_TARGET_SQL}))
+def q_upsert_sales_last_wins(spark, sf):
+    """Every key three times in one batch: two larger values first, the
+    fresh row last. The last row of the sequence wins, not the greatest."""
+    fresh = S.sales_new(spark, sf)
+    batch = None
+    for seq in (1, 2, 3):
+        more = (3 - seq) * 1000
+        part = fresh.withColumns({"estimated_units_sold": F.col("estimated_units_sold") + more, "seq": F.lit(seq)})
+        batch = part if batch is None else batch.unionByName(part)
+    batch = batch.withColumn("estimated_units_sold", F.col("estimated_units_sold").cast("int"))
+    return ups.upsert_sales(sales_target(spark, sf), batch, AS_OF, partition_by=["date"], seq="seq")
+
+
+@query("insert_ignore_first_wins", with_views("""
+SELECT *, 'unchanged' AS action FROM v_keywords WHERE doc_id % 2 = 0
+UNION ALL
+SELECT id, country, concat(name, 'b') AS name, monthly_search_volume_exact, ease_of_ranking_score, doc_id,
+       'inserted' AS action
+FROM v_keywords WHERE doc_id % 2 <> 0""", "v_keywords"))
+def q_insert_ignore_first_wins(spark, sf):
+    """Stored = even documents; the source has every key twice, and the row
+    that comes first has the smaller text, so a greatest-row rule would show."""
+    kw = S.keywords(spark, sf)
+    target = kw.filter(F.col("doc_id") % 2 == 0)
+    first = kw.withColumns({"name": F.concat("name", F.lit("b")), "seq": F.lit(1)})
+    second = kw.withColumns({"name": F.concat("name", F.lit("z")), "seq": F.lit(2)})
+    return ups.insert_ignore(target, second.unionByName(first), ["id"], seq="seq")

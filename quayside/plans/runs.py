@@ -37,6 +37,7 @@ from quayside.sinks.publish import RUN_TARGETS, Target, live_pointer, publish, r
 from quayside.sources import payloads
 
 PRODUCT_TABLE, SALES, STATUS, USAGE = "product_data", "sales_estimate_data", "sync_status", "api_usage"
+NO_SALES_DOCUMENT = "No usable sales document landed"  # this engine's own wording
 
 
 @dataclass(frozen=True)
@@ -47,30 +48,61 @@ class RunTargets:
 
 def _publish_table(df: DataFrame, name: str, version: str, targets: RunTargets, mode: str,
                    partition_by: str | None = None, merge_partitions: bool = False,
-                   on_error: str = "raise") -> DataFrame:
+                   on_error: str = "raise", replaced: set[str] | None = None, once: bool = False) -> DataFrame:
     where = RUN_TARGETS[mode][name]
     prod = targets.production if "production" in where else None
     return publish(df, name, version, targets.staging, prod, partition_by=partition_by,
-                   merge_partitions=merge_partitions, on_error=on_error)
+                   merge_partitions=merge_partitions, on_error=on_error, replaced=replaced, once=once)
 
 
-def _stored_products(product_docs: DataFrame, keys: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Flat product rows (code path) of the landed documents, for ``keys``
-    only (the selection is bounded by the run size, so it is broadcast)."""
-    rows = flt.flatten_products(payloads.good_documents(payloads.read_product_payloads(product_docs)),
-                                as_of.date(), as_of, defaults="zero", asin_rule="code")
-    return rows.join(F.broadcast(keys.select("asin")), "asin", "left_semi")
+REJECTS = "run_rejects"
+SALES_NOT_NULL = list(SALES_REQUIRED) + ["estimated_units_sold", "last_known_price"]
 
 
-SALES_NOT_NULL = list(SALES_REQUIRED) + ["estimated_units_sold", "last_known_price"]
+def _ordered(parsed: DataFrame) -> list[str]:
+    order = flt.document_order(parsed)
+    if not order:
+        raise ValueError("documents need columns that give their order (for example file and line), for last-wins rows")
+    return order
+
 
+def _stored_products(parsed: DataFrame, keys: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Flat product rows (code path) of the landed documents, for ``keys`` only, with their order."""
+    rows = flt.flatten_products(payloads.good_documents(parsed), as_of.date(), as_of, defaults="zero",
+                                asin_rule="code", order=_ordered(parsed))
+    return rows.join(keys.select("asin"), "asin", "left_semi")
 
-def _sales_rows(sales_docs: DataFrame, keys: DataFrame, marketplace: str) -> tuple[DataFrame, DataFrame]:
+
+def _sales_rows(parsed: DataFrame, keys: DataFrame, marketplace: str, strict: bool) -> tuple[DataFrame, DataFrame]:
     """Flat sales rows of ``keys``, split into writable rows and rows a NOT
-    NULL column rejects (SNK-4: recorded, the run goes on)."""
-    rows = flt.flatten_sales(payloads.good_documents(payloads.read_sales_payloads(sales_docs)),
-                             marketplace=marketplace, first_item_only=True)
-    return split_valid_rows(rows.join(F.broadcast(keys.select("asin")), "asin", "left_semi"), SALES_NOT_NULL)
+    NULL column rejects (SNK-4: the hourly run records them and goes on, the
+    strict full run raises)."""
+    rows = flt.flatten_sales(payloads.good_documents(parsed), marketplace=marketplace, first_item_only=True,
+                             order=_ordered(parsed))
+    return split_valid_rows(rows.join(keys.select("asin"), "asin", "left_semi"), SALES_NOT_NULL, strict=strict)
+
+
+def _rejects(products: DataFrame, sales: DataFrame, points: DataFrame, version: str) -> DataFrame:
+    """What the run could not store: documents that did not decode or held no item, and rejected points."""
+    parts = []
+    for source, parsed in (("product", products), ("sales", sales)):
+        bad, empty = payloads.quarantine(parsed), payloads.empty_documents(parsed)
+        parts += [bad.select(F.lit(source).alias("source"), F.lit(None).cast("string").alias("asin"), "reason",
+                             F.col("raw").alias("detail")),
+                  empty.select(F.lit(source).alias("source"), F.lit(None).cast("string").alias("asin"), "reason",
+                               F.lit(None).cast("string").alias("detail"))]
+    parts.append(points.select(F.lit("sales_point").alias("source"), "asin", F.col("reject_reason").alias("reason"),
+                               F.to_json(F.struct("marketplace", "date", "estimated_units_sold")).alias("detail")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.withColumn("run", F.lit(version))
+
+
+def _publish_rejects(rejects: DataFrame, version: str, targets: RunTargets, mode: str) -> None:
+    """One partition per run; a repeated run replaces its own."""
+    _publish_table(rejects, REJECTS, version, targets, mode, partition_by="run", merge_partitions=True,
+                   replaced={version})
 
 
 def _publish_status(status_new: DataFrame, touched_keys: DataFrame | None, targets: RunTargets, mode: str,
@@ -96,10 +128,15 @@ def _publish_status(status_new: DataFrame, touched_keys: DataFrame | None, targe
         buckets = st.choose_buckets(status_new.count())
     col = st.bucket_column(buckets)
     out = status_new.withColumn(col, st.status_bucket(F.col("asin"), buckets))
+    replaced = None
     if merge:
         touched = touched_keys.select(st.status_bucket(F.col("asin"), buckets).alias("b")).distinct()
-        out = out.filter(F.col(col).isin([r.b for r in touched.collect()]))  # at most ``buckets`` values
-    return _publish_table(out, STATUS, version, targets, mode, partition_by=col, merge_partitions=merge)
+        values = [r.b for r in touched.collect()]  # at most ``buckets`` values
+        out = out.filter(F.col(col).isin(values))
+        # A touched bucket that ends empty must not keep its old folder.
+        replaced = {str(v) for v in values}
+    return _publish_table(out, STATUS, version, targets, mode, partition_by=col, merge_partitions=merge,
+                          replaced=replaced)
 
 
 def _events(keys: DataFrame, kind: str, as_of: dt.datetime, seq: int, text: str | None = None) -> DataFrame:
@@ -125,13 +162,14 @@ def incremental_run(spark: SparkSession, catalog: DataFrame, product_docs: DataF
     selection = sel.select_priority(status1, as_of, limit).checkpoint(eager=True)
     # Rows of the run's keys only (bounded by the run size): parsed once,
     # checkpointed, then used by the upsert, the status events and the summary.
-    products = _stored_products(product_docs, selection, as_of).checkpoint(eager=True)
+    pdocs, sdocs = payloads.read_product_payloads(product_docs), payloads.read_sales_payloads(sales_docs)
+    products = _stored_products(pdocs, selection, as_of).checkpoint(eager=True)
     missing = sel.not_found(selection, products)
 
     # Products: staging then production; the snapshot table is partitioned
     # by report_date, and only today's partition is rewritten.
-    prod_live = read_live(spark, targets.staging, PRODUCT_TABLE, products.schema)
-    merged = ups.upsert_products(prod_live, products, as_of, partition_by=["report_date"],
+    prod_live = read_live(spark, targets.staging, PRODUCT_TABLE, products.drop(flt.SEQ).schema)
+    merged = ups.upsert_products(prod_live, products, as_of, partition_by=["report_date"], seq=flt.SEQ,
                                  touched_only=True).drop("action")
     _publish_table(merged, PRODUCT_TABLE, version, targets, "incremental", partition_by="report_date",
                    merge_partitions=True)
@@ -140,16 +178,21 @@ def incremental_run(spark: SparkSession, catalog: DataFrame, product_docs: DataF
     # last sync, or one year for never-synced keys).
     stored = products.select("asin").distinct()
     win = windows.plan_sales_windows(sel.attach_sync_info(selection, stored), as_of)
-    good_points, rejected_points = _sales_rows(sales_docs, stored, marketplace)
-    points = (good_points.join(F.broadcast(win), "asin")
+    good_points, rejected_points = _sales_rows(sdocs, stored, marketplace, strict=False)
+    good_points = good_points.checkpoint(eager=True)  # the run's keys only; reused
+    points = (good_points.join(win, "asin")
               .filter(F.col("date").between(F.col("start_date"), F.col("end_date")))
               .drop("start_date", "end_date", "is_empty_window")
               .checkpoint(eager=True))  # the run's keys only; reused three times
     sales_live = read_live(spark, targets.staging, SALES, SALES_TABLE)
-    sales_merged = ups.upsert_sales(sales_live, points, as_of, partition_by=["date"], touched_only=True)
+    sales_merged = ups.upsert_sales(sales_live, points, as_of, partition_by=["date"], seq=flt.SEQ, touched_only=True)
     _publish_table(sales_merged.drop("action"), SALES, version, targets, "incremental", partition_by="date",
                    merge_partitions=True)
     with_sales = points.select("asin").distinct()
+    # Stored keys without a usable sales document: their sales fetch failed.
+    no_sales = stored.join(good_points.select("asin").distinct(), "asin", "left_anti")
+    rejects = _rejects(pdocs, sdocs, rejected_points, version).checkpoint(eager=True)
+    _publish_rejects(rejects, version, targets, "incremental")
 
     # Status: one fold over the run's events, staging only.
     # The run's events, checkpointed once: the fold's key filter, the touched
@@ -158,15 +201,13 @@ def incremental_run(spark: SparkSession, catalog: DataFrame, product_docs: DataF
               .unionByName(_events(stored, "product_stored", as_of, 1))
               .unionByName(_events(missing, "product_not_found", as_of, 1))
               .unionByName(_events(with_sales, "sales_stored", as_of, 2))
+              .unionByName(_events(no_sales, "sales_fetch_failed", as_of, 2, NO_SALES_DOCUMENT))
               .checkpoint(eager=True))
     status2 = st.fold_status(status1, events)
     touched = events.select("asin").unionByName(added.select("asin"))
     _publish_status(status2, touched, targets, "incremental", version, status_buckets)
 
-    # Usage counter (absolute merge of this run's calls).
-    inc = usage.usage_daily(calls)
-    usage_live = read_live(spark, targets.staging, USAGE, USAGE_TABLE)
-    _publish_table(usage.merge_counters(usage_live, inc), USAGE, version, targets, "incremental", on_error="log")
+    _publish_usage(spark, calls, targets, "incremental", version)
 
     # Summary (RPT ops): every count in one job (a union of one-row counts).
     def n(df: DataFrame, name: str) -> DataFrame:
@@ -177,25 +218,39 @@ def incremental_run(spark: SparkSession, catalog: DataFrame, product_docs: DataF
               .unionByName(n(selection, "total_asins")).unionByName(n(stored, "product_ok"))
               .unionByName(n(with_sales, "sales_ok")).unionByName(n(calls, "calls"))
               .unionByName(n(removed, "cleaned_up")).unionByName(n(added, "added"))
-              .unionByName(n(rejected_points, "rejected_points")))
-    row = {r.k: r.v for r in counts.collect()}  # nine named counts
+              .unionByName(n(rejects.filter("source = 'sales_point'"), "rejected_points"))
+              .unionByName(n(rejects.filter("source <> 'sales_point'"), "rejected_documents"))
+              .unionByName(n(no_sales, "sales_failed")))
+    row = {r.k: r.v for r in counts.collect()}  # eleven named counts
     processed = row["total_asins"]
     failed = processed - row["product_ok"]
     out = spark.createDataFrame([(version, processed, row["new_asins"], row["stale_asins"], row["product_ok"],
                                   failed, row["sales_ok"], row["calls"], row["cleaned_up"], row["added"],
-                                  row["rejected_points"])],
+                                  row["rejected_points"], row["rejected_documents"], row["sales_failed"])],
                                 "version string, processed long, new_asins long, stale_asins long, product_ok long, "
                                 "failed long, sales_ok long, calls long, cleaned_up long, added long, "
-                                "rejected_points long")
-    return out.select("*", report.run_class_hourly(F.lit(False), F.col("failed"), F.lit(0)).alias("run_class"),
+                                "rejected_points long, rejected_documents long, sales_failed long")
+    # Any error makes the run yellow: rejected rows and documents, and failed sales.
+    errors = F.col("rejected_points") + F.col("rejected_documents") + F.col("sales_failed")
+    return out.select("*", report.run_class_hourly(F.lit(False), F.col("failed"), errors).alias("run_class"),
                       report.run_verdict(F.lit(False), F.col("failed"), F.col("product_ok")).alias("verdict"))
 
 
+def _publish_usage(spark: SparkSession, calls: DataFrame, targets: RunTargets, mode: str, version: str) -> None:
+    """Add the run's calls to the usage counters, once per version id: a
+    repeated run finds its version committed and adds nothing."""
+    usage_live = read_live(spark, targets.staging, USAGE, USAGE_TABLE)
+    merged = usage.merge_counters(usage_live, usage.usage_daily(calls))
+    _publish_table(merged, USAGE, version, targets, mode, on_error="log", once=True)
+
+
 def full_run(spark: SparkSession, catalog: DataFrame, product_docs: DataFrame, sales_docs: DataFrame,
              targets: RunTargets, as_of: dt.datetime, version: str, sync_mode: str = "fresh",
-             date_range: str = "1month", marketplace: str = "us",
-             status_buckets: int | None = None) -> DataFrame:
-    """One full run; returns its one-row summary."""
+             date_range: str = "1month", marketplace: str = "us", status_buckets: int | None = None,
+             calls: DataFrame | None = None, strict: bool = True) -> DataFrame:
+    """One full run; returns its one-row summary. A point that a NOT NULL
+    column rejects stops a ``strict`` run before sales are written; otherwise
+    it is recorded, as in the hourly run. ``calls`` is the run's call log."""
     ensure_checkpoint_dir(spark)
     sync_mode = windows.check_request_args(1, sync_mode, date_range)
     status0 = read_live(spark, targets.staging, STATUS, STATUS_TABLE)
@@ -203,43 +258,61 @@ def full_run(spark: SparkSession, catalog: DataFrame, product_docs: DataFrame, s
     status1 = (st.fold_status(status0, st.fresh_reset_events(visible, as_of)) if sync_mode == "fresh"
                else status0)
 
-    todo = sel.needs_product(status1)
+    todo = sel.needs_product(status1).select("asin").checkpoint(eager=True)
+    pdocs, sdocs = payloads.read_product_payloads(product_docs), payloads.read_sales_payloads(sales_docs)
     # Parsed once and checkpointed: the upsert, the status events and the
     # counts all read it (the size of what is published anyway).
-    products = (flt.flatten_products(payloads.good_documents(payloads.read_product_payloads(product_docs)),
-                                     as_of.date(), as_of, defaults="zero", asin_rule="code")
-                .join(todo, "asin", "left_semi")
-                .checkpoint(eager=True))
-    prod_live = read_live(spark, targets.staging, PRODUCT_TABLE, products.schema)
-    merged = ups.upsert_products(prod_live, products, as_of, partition_by=["report_date"], touched_only=True)
+    products = _stored_products(pdocs, todo, as_of).checkpoint(eager=True)
+    prod_live = read_live(spark, targets.staging, PRODUCT_TABLE, products.drop(flt.SEQ).schema)
+    merged = ups.upsert_products(prod_live, products, as_of, partition_by=["report_date"], seq=flt.SEQ,
+                                 touched_only=True)
     _publish_table(merged.drop("action"), PRODUCT_TABLE, version, targets, "full", partition_by="report_date",
                    merge_partitions=True)
     stored = products.select("asin").distinct()
-
-    window = windows.plan_fixed_window(stored, as_of, date_range)
-    points = (flt.flatten_sales(payloads.good_documents(payloads.read_sales_payloads(sales_docs)),
-                                marketplace=marketplace, first_item_only=True)
-              .filter(F.col("date").isNotNull())
-              .join(window, "asin")
+    missing = todo.join(stored, "asin", "left_anti")
+    product_events = (_events(stored, "product_stored", as_of, 1)
+                      .unionByName(_events(missing, "product_not_found", as_of, 1)).checkpoint(eager=True))
+
+    # The sales step takes every key with product data and without sales,
+    # also keys whose products an earlier run stored (mode resume).
+    todo_sales = (sel.needs_sales(st.fold_status(status1, product_events)).select("asin").checkpoint(eager=True))
+    good_points, rejected_points = _sales_rows(sdocs, todo_sales, marketplace, strict=strict)
+    good_points = good_points.checkpoint(eager=True)
+    window = windows.plan_fixed_window(todo_sales, as_of, date_range)
+    points = (good_points.join(window, "asin")
               .filter(F.col("date").between(F.col("start_date"), F.col("end_date")))
               .drop("start_date", "end_date", "date_range")
               .checkpoint(eager=True))
     sales_live = read_live(spark, targets.staging, SALES, SALES_TABLE)
-    sales_merged = ups.upsert_sales(sales_live, points, as_of, partition_by=["date"], touched_only=True)
+    sales_merged = ups.upsert_sales(sales_live, points, as_of, partition_by=["date"], seq=flt.SEQ, touched_only=True)
     _publish_table(sales_merged.drop("action"), SALES, version, targets, "full", partition_by="date",
                    merge_partitions=True)
     with_sales = points.select("asin").distinct()
+    no_sales = todo_sales.join(good_points.select("asin").distinct(), "asin", "left_anti")
+    rejects = _rejects(pdocs, sdocs, rejected_points, version).checkpoint(eager=True)
+    _publish_rejects(rejects, version, targets, "full")
 
-    events = (_events(stored, "product_stored", as_of, 1)
-              .unionByName(_events(with_sales, "sales_stored", as_of, 2)))
+    events = (product_events.unionByName(_events(with_sales, "sales_stored", as_of, 2))
+              .unionByName(_events(no_sales, "sales_fetch_failed", as_of, 2, NO_SALES_DOCUMENT))
+              .checkpoint(eager=True))
     status2 = st.fold_status(status1, events)
     _publish_status(status2, None, targets, "full", version, status_buckets)  # a full run rewrites it all
+    if calls is not None:
+        _publish_usage(spark, calls, targets, "full", version)
 
-    counts = todo.agg(F.count(F.lit(1)).alias("processed")).first().processed
-    ok = stored.count()
-    sales_ok = with_sales.count()
-    failed = counts - ok + (ok - sales_ok)
-    out = spark.createDataFrame([(version, counts, ok, sales_ok, failed)],
-                                "version string, processed long, product_ok long, sales_ok long, failed long")
+    def n(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("v")).select(F.lit(name).alias("k"), "v")
+    parts = [n(todo, "processed"), n(stored, "product_ok"), n(todo_sales, "sales_todo"), n(with_sales, "sales_ok"),
+             n(no_sales, "sales_failed"), n(rejects.filter("source = 'sales_point'"), "rejected_points"),
+             n(rejects.filter("source <> 'sales_point'"), "rejected_documents")]
+    counts = parts[0]
+    for part in parts[1:]:
+        counts = counts.unionByName(part)
+    row = {r.k: r.v for r in counts.collect()}  # seven named counts
+    failed = row["processed"] - row["product_ok"] + row["sales_failed"]
+    out = spark.createDataFrame([(version, row["processed"], row["product_ok"], row["sales_todo"], row["sales_ok"],
+                                  failed, row["rejected_points"], row["rejected_documents"])],
+                                "version string, processed long, product_ok long, sales_todo long, sales_ok long, "
+                                "failed long, rejected_points long, rejected_documents long")
     return out.select("*", report.run_class_full(F.lit(False), F.col("failed")).alias("run_class"),
                       report.stop_reason("full", F.lit(False)).alias("stop_reason"))

@@ -56,12 +56,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared folder and is used as is.
-    Only when it is unset (local tests) a fresh scratch folder is taken.
+    Only a local master without it (tests) takes a fresh scratch folder.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = sc.getCheckpointDir()
+    if not d and not sc.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="quayside-ckpt-", dir=os.environ.get("QUAYSIDE_SCRATCH", "/tmp"))
     if sc.getCheckpointDir() is None:

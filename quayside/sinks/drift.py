@@ -14,9 +14,16 @@ DRIFT_CLASSES = ("only_staging", "only_production", "differs", "same")
 
 
 def drift_rows(staging: DataFrame, production: DataFrame, keys: list[str], keep_same: bool = False) -> DataFrame:
-    cols = [c for c in staging.columns if c not in keys and c in production.columns]
-    s = staging.select(*keys, *[F.col(c).alias(f"s_{c}") for c in cols], F.lit(True).alias("_s"))
-    p = production.select(*keys, *[F.col(c).alias(f"p_{c}") for c in cols], F.lit(True).alias("_p"))
+    """Keys whose rows differ. A column that only one side has counts as
+    NULL on the other."""
+    cols = [c for c in staging.columns if c not in keys]
+    cols += [c for c in production.columns if c not in keys and c not in cols]
+
+    def side(df: DataFrame, mark: str) -> DataFrame:
+        return df.select(*keys, *[(F.col(c) if c in df.columns else F.lit(None)).alias(f"{mark}_{c}") for c in cols],
+                         F.lit(True).alias(f"_{mark}"))
+
+    s, p = side(staging, "s"), side(production, "p")
     j = s.join(p, keys, "full_outer")
     same = F.lit(True)
     for c in cols:

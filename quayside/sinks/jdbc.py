@@ -20,9 +20,9 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] |
                mode: str = "append", batch_size: int = ROWS_PER_STATEMENT,
                max_connections: int = MAX_CONNECTIONS) -> None:
     """Write ``df`` to ``table`` in batches of ``batch_size`` rows over at
-    most ``max_connections`` connections."""
-    out = df.coalesce(max_connections) if df.rdd.getNumPartitions() > max_connections else df
-    w = (out.write.mode(mode).format("jdbc").option("url", url).option("dbtable", table)
+    most ``max_connections`` connections. The rows are dealt anew for that, so
+    the plan that makes them keeps its own parallelism."""
+    w = (df.repartition(max_connections).write.mode(mode).format("jdbc").option("url", url).option("dbtable", table)
          .option("batchsize", str(batch_size)).option("numPartitions", str(max_connections)))
     for k, v in (properties or {}).items():
         w = w.option(k, v)

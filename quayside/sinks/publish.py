@@ -1,30 +1,33 @@
 """Staged publishing to two targets through pointer tables (SRC-4/5, SNK-1..5).
 
 A *target* is a root folder plus a table-name prefix (``dev_``, ``prod_``).
-A table is a set of immutable version folders plus a pointer table naming the
-live one(s). Publishing never overwrites what a reader may be reading: it
-writes a new version, then adds a new pointer version; readers take the
-pointer with the highest version. Retrying a publish rewrites the same
-(unpublished) version folder, so a retry after a lost executor is safe.
+A table is a set of immutable folders plus numbered pointers. Every write,
+also a retry or a rerun of the same version id, gets a folder of its own
+(``table_version=<version>-<unique>``) and never touches a published one. The pointer is
+the only commit: ``_pointers/n=<number>`` lists the live folders, its number
+is one above every number ever used, and it is written to a folder that must
+not exist yet. Readers take the highest committed number, so the text of a
+version id has no say in what is live.
 
 Staging is written first, from the plan; production only if staging
 succeeded, and it is copied from the staging files (the upstream plan is not
 computed twice). Production gets up to three attempts, pausing 1 s, then 2 s.
 
 Partitioned tables can publish only the partitions a change touched: the
-pointer then lists one folder per partition value, and the new pointer
-keeps the old folders of untouched partitions.
+pointer then lists one folder per partition value, keeps the old folders of
+the others, and drops a replaced partition that ended up empty.
 
-One writer per table at a time (the reference serialises its runs with a
-process-wide lock; a scheduler does the same here). Version ids must sort
-as text in publish order, e.g. a zero-padded run number or a UTC stamp
-``YYYYMMDDTHHMMSS``; readers always take the newest committed pointer.
+After a commit, pointers older than the newest ``KEEP_POINTERS`` and folders
+that no kept pointer names are removed. One writer per table at a time (the
+reference serialises its runs with a process-wide lock; a scheduler does the
+same here).
 """
 
 from __future__ import annotations
 
 import logging
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,10 +37,12 @@ from pyspark.sql import types as T
 log = logging.getLogger(__name__)
 
 POINTER = "_pointers"
+LEVEL = "table_version"  # folder level of the writes; no column of a table may have this name
 POINTER_SCHEMA = T.StructType([T.StructField("version", T.StringType()),
                                T.StructField("table_name", T.StringType()),
                                T.StructField("part_value", T.StringType())])
 PRODUCTION_ATTEMPTS = 3
+KEEP_POINTERS = 10
 
 
 @dataclass(frozen=True)
@@ -50,30 +55,51 @@ class Target:
         return f"{self.root.rstrip('/')}/{self.prefix}{name}"
 
 
-def _newest_pointer_folder(spark: SparkSession, ptr: str) -> str | None:
-    """Name of the newest committed pointer version (versions sort as text;
-    callers use sortable version ids). Only folder names are listed; a
-    folder without ``_SUCCESS`` is an unfinished write and is skipped."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(ptr)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _folder(spark: SparkSession, path: str):
+    """Hadoop file system and path of a folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _names(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    fs, p = _folder(spark, path)
     if not fs.exists(p):
-        return None
-    names = sorted((st.getPath().getName() for st in fs.listStatus(p)
-                    if st.isDirectory() and st.getPath().getName().startswith("v=")
-                    and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))),
-                   key=lambda n: n[2:])
-    return names[-1] if names else None
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p)
+            if st.isDirectory() and st.getPath().getName().startswith(prefix)]
+
+
+def _pointer_numbers(spark: SparkSession, target: Target, name: str) -> list[int]:
+    """Numbers of all pointers, also unfinished ones, newest first."""
+    return sorted((int(n[2:]) for n in _names(spark, f"{target.table(name)}/{POINTER}", "n=")), reverse=True)
+
+
+def _pointer_path(target: Target, name: str, number: int) -> str:
+    return f"{target.table(name)}/{POINTER}/n={number:012d}"
+
+
+def _committed(spark: SparkSession, path: str) -> bool:
+    fs, p = _folder(spark, f"{path}/_SUCCESS")
+    return fs.exists(p)
 
 
 def live_pointer(spark: SparkSession, target: Target, name: str) -> DataFrame | None:
-    """Rows of the newest pointer version (None if the table does not exist).
-    Reads one small folder, however many versions were published."""
-    ptr = f"{target.table(name)}/{POINTER}"
-    newest = _newest_pointer_folder(spark, ptr)
-    if newest is None:
-        return None
-    return spark.read.schema(POINTER_SCHEMA).parquet(f"{ptr}/{newest}")
+    """Rows of the newest committed pointer (None if the table does not
+    exist). Unfinished ones above it are skipped; older ones are not looked at."""
+    for number in _pointer_numbers(spark, target, name):
+        path = _pointer_path(target, name, number)
+        if _committed(spark, path):
+            return spark.read.schema(POINTER_SCHEMA).parquet(path)
+    return None
+
+
+def committed_versions(spark: SparkSession, target: Target, name: str) -> set[str]:
+    """Version ids of the kept pointers."""
+    paths = [p for p in (_pointer_path(target, name, n) for n in _pointer_numbers(spark, target, name))
+             if _committed(spark, p)]
+    if not paths:
+        return set()
+    return {r.version for r in spark.read.schema(POINTER_SCHEMA).parquet(*paths).select("version").distinct().collect()}
 
 
 def live_paths(spark: SparkSession, target: Target, name: str) -> list[str]:
@@ -95,8 +121,8 @@ def read_live(spark: SparkSession, target: Target, name: str, schema: T.StructTy
         if schema is None:
             raise FileNotFoundError(f"no live version of {target.table(name)}")
         return spark.createDataFrame([], schema)
-    if "=" in paths[0].rsplit("/", 1)[-1] and paths[0].rsplit("/", 2)[-2].startswith("v="):
-        df = spark.read.option("basePath", target.table(name)).parquet(*paths).drop("v")
+    if "=" in paths[0].rsplit("/", 1)[-1] and paths[0].rsplit("/", 2)[-2].startswith(f"{LEVEL}="):
+        df = spark.read.option("basePath", target.table(name)).parquet(*paths).drop(LEVEL)
     else:
         df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(*paths)
     if schema is None:
@@ -106,71 +132,92 @@ def read_live(spark: SparkSession, target: Target, name: str, schema: T.StructTy
 
 def _write_pointer(spark: SparkSession, target: Target, name: str, version: str,
                    rows: list[tuple[str, str | None]]) -> None:
+    number = max(_pointer_numbers(spark, target, name), default=0) + 1
     df = spark.createDataFrame([(version, p, v) for p, v in rows], POINTER_SCHEMA)
-    df.coalesce(1).write.mode("overwrite").parquet(f"{target.table(name)}/{POINTER}/v={version}")
+    df.coalesce(1).write.mode("error").parquet(_pointer_path(target, name, number))
 
 
 def write_version(df: DataFrame, target: Target, name: str, version: str,
                   partition_by: str | None = None) -> str:
-    """Write one immutable version folder (idempotent for a retry).
+    """Write one immutable folder, unique to this attempt.
 
     A partitioned write is first rebalanced on the partition column, so each
     partition value is written by few tasks (few, large files); AQE splits a
     hot partition value over several tasks instead of one."""
-    path = f"{target.table(name)}/v={version}"
+    path = f"{target.table(name)}/{LEVEL}={version}-{uuid.uuid4().hex[:12]}"
     if partition_by:
         df = df.hint("rebalance", partition_by)
-    w = df.write.mode("overwrite")
+    w = df.write.mode("error")
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
     return path
 
 
-def _pointer_rows(spark: SparkSession, target: Target, name: str, path: str,
-                  partition_by: str | None, merge_partitions: bool) -> list[tuple[str, str | None]]:
+def _pointer_rows(spark: SparkSession, target: Target, name: str, path: str, partition_by: str | None,
+                  merge_partitions: bool, replaced: set[str] | None) -> list[tuple[str, str | None]]:
     if not partition_by:
         return [(path, None)]
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    new = {}
-    for st in fs.listStatus(p):
-        n = st.getPath().getName()
-        if st.isDirectory() and n.startswith(f"{partition_by}="):
-            new[n.split("=", 1)[1]] = f"{path}/{n}"
-    rows = dict(new)
+    rows = {n.split("=", 1)[1]: f"{path}/{n}" for n in _names(spark, path, f"{partition_by}=")}
     if merge_partitions:
+        gone = set(rows) | (replaced or set())
         old = live_pointer(spark, target, name)
-        if old is not None:
-            for r in old.collect():
-                if r.part_value is not None and r.part_value not in rows:
-                    rows[r.part_value] = r.table_name
+        for r in old.collect() if old is not None else []:  # one row per partition
+            if r.part_value is not None and r.part_value not in gone:
+                rows[r.part_value] = r.table_name
     if not rows:  # an empty table: the (empty) version folder itself
         return [(path, None)]
     return [(p_, v) for v, p_ in sorted(rows.items())]
 
 
 def publish_one(df: DataFrame, target: Target, name: str, version: str, partition_by: str | None = None,
-                merge_partitions: bool = False) -> str:
-    """Write a version and switch the pointer to it."""
+                merge_partitions: bool = False, replaced: set[str] | None = None) -> str:
+    """Write a version and switch the pointer to it. ``replaced`` names the
+    partition values this write replaces, also where it has no row for them."""
+    spark = df.sparkSession
     path = write_version(df, target, name, version, partition_by)
-    rows = _pointer_rows(df.sparkSession, target, name, path, partition_by, merge_partitions)
-    _write_pointer(df.sparkSession, target, name, version, rows)
+    rows = _pointer_rows(spark, target, name, path, partition_by, merge_partitions, replaced)
+    _write_pointer(spark, target, name, version, rows)
+    prune(spark, target, name, protect=path)
     return path
 
 
+def prune(spark: SparkSession, target: Target, name: str, keep: int = KEEP_POINTERS, protect: str = "") -> None:
+    """Remove pointers older than the newest ``keep`` committed ones, and folders none of the kept ones names.
+    ``protect`` is a folder that stays: a write without rows is named by no pointer, but still copied from."""
+    table = target.table(name)
+    numbers = _pointer_numbers(spark, target, name)
+    kept = [n for n in numbers if _committed(spark, _pointer_path(target, name, n))][:keep]
+    if not kept:
+        return
+    paths = [_pointer_path(target, name, n) for n in kept]
+    named = {r.table_name for r in spark.read.schema(POINTER_SCHEMA).parquet(*paths).select("table_name").distinct().collect()}
+    used = {part for path in [*named, protect] for part in path.split("/") if part.startswith(f"{LEVEL}=")}
+    for old in [_pointer_path(target, name, n) for n in numbers if n < min(kept)] + \
+            [f"{table}/{v}" for v in _names(spark, table, f"{LEVEL}=") if v not in used]:
+        fs, p = _folder(spark, old)
+        fs.delete(p, True)
+
+
 def publish(df: DataFrame, name: str, version: str, staging: Target, production: Target | None = None,
             attempts: int = PRODUCTION_ATTEMPTS, partition_by: str | None = None,
-            merge_partitions: bool = False, on_error: str = "raise", pause_s: float = 1.0) -> DataFrame:
+            merge_partitions: bool = False, on_error: str = "raise", pause_s: float = 1.0,
+            replaced: set[str] | None = None, once: bool = False) -> DataFrame:
     """SNK-1: staging first; production only after staging succeeded,
     copied from the staging files, with retries. ``on_error='log'``
-    (SNK-3) records failures in the report instead of raising.
+    (SNK-3) records failures in the report instead of raising. ``once``
+    (unpartitioned tables) skips a target that has this version already, for
+    changes that must not be applied twice when a run is repeated.
     Returns a report ``(table, target, version, status, attempts, error)``."""
     spark = df.sparkSession
     report = []
     try:
-        spath = publish_one(df, staging, name, version, partition_by, merge_partitions)
+        if once and version in committed_versions(spark, staging, name):
+            if production is None or version in committed_versions(spark, production, name):
+                return _report(spark, [(name, staging.prefix, version, "skipped", 0, None)])
+            (spath,) = live_paths(spark, staging, name)
+        else:
+            spath = publish_one(df, staging, name, version, partition_by, merge_partitions, replaced)
         report.append((name, staging.prefix, version, "ok", 1, None))
     except Exception as e:  # staging failed: production is not attempted
         if on_error != "log":
@@ -185,7 +232,7 @@ def publish(df: DataFrame, name: str, version: str, staging: Target, production:
         last = None
         for attempt in range(1, attempts + 1):
             try:
-                publish_one(copy, production, name, version, partition_by, merge_partitions)
+                publish_one(copy, production, name, version, partition_by, merge_partitions, replaced)
                 report.append((name, production.prefix, version, "ok", attempt, None))
                 last = None
                 break
@@ -208,9 +255,11 @@ def _report(spark: SparkSession, rows) -> DataFrame:
 # SNK-2: which tables each run writes to which targets.
 RUN_TARGETS = {
     "incremental": {"product_data": ("staging", "production"), "sales_estimate_data": ("staging", "production"),
-                    "sync_status": ("staging",), "api_usage": ("staging", "production")},
+                    "sync_status": ("staging",), "api_usage": ("staging", "production"),
+                    "run_rejects": ("staging",)},
     "full": {"product_data": ("staging", "production"), "sales_estimate_data": ("staging", "production"),
-             "sync_status": ("staging", "production"), "api_usage": ("staging", "production")},
+             "sync_status": ("staging", "production"), "api_usage": ("staging", "production"),
+             "run_rejects": ("staging",)},
 }
 
 

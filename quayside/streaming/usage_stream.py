@@ -1,9 +1,12 @@
 """Usage counting over a call-log stream (STR-2).
 
-Calls are counted per (day, endpoint) in event-time windows with a one-day
-watermark. The stream emits *absolute* counts per window (update mode), and
-each micro-batch replaces the counter rows it carries, so replaying a batch
-after a failure cannot double count (a "+1 per call" merge would).
+Every micro-batch is kept in a call log, partitioned by day and batch, and the
+days it touches are counted again from that log. Counters are therefore
+absolute: a replayed batch replaces its own partitions and cannot count twice,
+and a call that arrives late, however late, is counted on its day.
+
+``usage_counts_stream`` is the stateful alternative for sinks that want the
+counts as a stream; there the caller states how late a call may be.
 """
 
 from __future__ import annotations
@@ -12,20 +15,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators.upsert import upsert
-from quayside.operators.usage import billable_calls
+from quayside.operators.usage import billable_calls, usage_daily
 from quayside.schemas import USAGE_TABLE
 from quayside.sinks.publish import Target, publish_one, read_live
 
-WATERMARK = "1 day"
-
-
-def usage_counts_stream(calls: DataFrame, policy: str = "code") -> DataFrame:
+def usage_counts_stream(calls: DataFrame, watermark: str, policy: str = "code") -> DataFrame:
     """Streaming counter rows ``(usage_date, endpoint, call_count,
-    created_at, updated_at)``, absolute per window."""
+    created_at, updated_at)``, absolute per window. Calls later than
+    ``watermark`` are not counted; :func:`sync_usage` has no such limit."""
     # Watermarks need zone-aware event time; the log's stamps are UTC wall
     # clock, and the session zone is UTC, so the cast keeps the day.
     return (billable_calls(calls, policy).withColumn("_event_time", F.col("ts").cast("timestamp"))
-            .withWatermark("_event_time", WATERMARK)
+            .withWatermark("_event_time", watermark)
             .groupBy(F.window("_event_time", "1 day").alias("w"), "endpoint")
             .agg(F.count(F.lit(1)).alias("call_count"), F.min("ts").alias("created_at"),
                  F.max("ts").alias("updated_at"))
@@ -40,13 +41,24 @@ def sync_usage(spark: SparkSession, calls_stream: DataFrame, target: Target, nam
     if not read_live(spark, target, name, USAGE_TABLE).columns:
         raise ValueError("usage table has no columns")
 
+    log = f"{target.table(name)}_log"
+
     def apply(batch: DataFrame, batch_id: int) -> None:
+        billable = billable_calls(batch, policy).withColumn("usage_date", F.to_date("ts")).withColumn(
+            "batch", F.lit(batch_id))
+        # Only this batch's partitions are replaced, so a replay changes nothing.
+        (billable.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("usage_date", "batch").parquet(log))
+        kept = spark.read.schema(billable.schema).parquet(log)
+        days = [r[0] for r in kept.filter(F.col("batch") == batch_id).select("usage_date").distinct().collect()]
+        if not days:
+            return
+        counted = usage_daily(kept.filter(F.col("usage_date").isin(days)), policy)
         live = read_live(spark, target, name, USAGE_TABLE)
-        merged = upsert(live, batch, ["usage_date", "endpoint"],
-                        update_cols=["call_count", "updated_at"], keep_cols=["created_at"]).drop("action")
+        merged = upsert(live, counted, ["usage_date", "endpoint"], update_cols=["call_count", "created_at", "updated_at"],
+                        on_duplicate="unique").drop("action")
         publish_one(merged, target, name, f"b{batch_id:012d}")
 
-    q = (usage_counts_stream(calls_stream, policy).writeStream.outputMode("update")
-         .foreachBatch(apply).option("checkpointLocation", checkpoint)
+    q = (calls_stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()

@@ -150,3 +150,104 @@ def test_drift_names_changed_columns(spark):
     p = spark.createDataFrame([("a", 1, "y"), ("b", 3, "z")], "k string, v int, w string")
     got = {r.k: (r.drift, r.changed_columns) for r in drift.drift_rows(s, p, ["k"]).collect()}
     assert got == {"a": ("differs", "w"), "b": ("differs", "v,w")}
+
+
+def _part(spark, rows):
+    return spark.createDataFrame(rows, "k string, p string, v int")
+
+
+def _read(spark, target, name="t"):
+    return sorted((r.k, r.v) for r in publish.read_live(spark, target, name).collect())
+
+
+def test_rerun_of_a_version_keeps_the_table_readable(spark):
+    stg, prd = publish.Target(scratch(spark), "dev_"), publish.Target(scratch(spark), "prod_")
+    publish.publish(_part(spark, [("a", "x", 1), ("b", "y", 2)]), "t", "1", stg, prd, partition_by="p")
+    for version in ("2", "2", "0"):  # also an id that sorts before the others
+        live = publish.read_live(spark, stg, "t")
+        publish.publish(live.filter("p = 'x'").withColumn("v", F.col("v") + 10), "t", version, stg, prd,
+                        partition_by="p", merge_partitions=True)
+    assert _read(spark, stg) == _read(spark, prd) == [("a", 31), ("b", 2)]
+
+
+def test_replaced_partition_that_ends_empty_is_dropped(spark):
+    stg = publish.Target(scratch(spark), "dev_")
+    publish.publish_one(_part(spark, [("a", "1", 1), ("b", "2", 2)]), stg, "t", "1", partition_by="p")
+    publish.publish_one(_part(spark, []), stg, "t", "2", partition_by="p", merge_partitions=True, replaced={"1"})
+    assert _read(spark, stg) == [("b", 2)]
+
+
+def test_crash_between_write_and_pointer_changes_nothing(spark, monkeypatch):
+    stg = publish.Target(scratch(spark), "dev_")
+    publish.publish_one(_part(spark, [("a", "1", 1)]), stg, "t", "1", partition_by="p")
+    with monkeypatch.context() as m:
+        m.setattr(publish, "_write_pointer", lambda *a: (_ for _ in ()).throw(RuntimeError("driver died")))
+        with pytest.raises(RuntimeError):
+            publish.publish_one(_part(spark, [("a", "1", 9)]), stg, "t", "2", partition_by="p")
+    assert _read(spark, stg) == [("a", 1)]
+    # A pointer folder without its commit marker is skipped, and its number is not used again.
+    os.makedirs(f"{stg.table('t')}/{publish.POINTER}/n=000000000007".removeprefix("file:"))
+    assert _read(spark, stg) == [("a", 1)]
+    publish.publish_one(_part(spark, [("a", "1", 5)]), stg, "t", "2", partition_by="p")
+    assert _read(spark, stg) == [("a", 5)]
+
+
+def test_old_versions_are_removed(spark):
+    stg = publish.Target(scratch(spark), "dev_")
+    publish.publish_one(_part(spark, [("a", "1", 0), ("z", "2", 0)]), stg, "t", "0", partition_by="p")
+    for i in range(1, 14):
+        publish.publish_one(_part(spark, [("a", "1", i)]), stg, "t", str(i), partition_by="p", merge_partitions=True)
+    root = stg.table("t").removeprefix("file:")
+    assert len(os.listdir(f"{root}/{publish.POINTER}")) == publish.KEEP_POINTERS
+    # The folder of the untouched partition is old, but still named.
+    assert len([n for n in os.listdir(root) if n.startswith(publish.LEVEL)]) == publish.KEEP_POINTERS + 1
+    assert _read(spark, stg) == [("a", 13), ("z", 0)]
+
+
+def test_once_applies_a_version_once(spark):
+    stg, prd = publish.Target(scratch(spark), "dev_"), publish.Target(scratch(spark), "prod_")
+    df = spark.createDataFrame([(1,)], "v int")
+    publish.publish(df, "t", "1", stg, None, once=True)
+    report = publish.publish(df.withColumn("v", F.lit(2)), "t", "1", stg, prd, once=True).collect()
+    assert [r.v for r in publish.read_live(spark, prd, "t").collect()] == [1] and len(report) == 2
+    assert publish.publish(df, "t", "1", stg, prd, once=True).first().status == "skipped"
+
+
+def test_two_documents_in_one_batch_and_a_new_checkpoint(spark):
+    root = scratch(spark)
+    target = publish.Target(root, "dev_")
+    publish.publish_one(spark.createDataFrame([], SALES_TABLE), target, "sales", "a0", partition_by="date")
+    landing = os.path.join(root, "landing")
+    os.makedirs(landing)
+    for k, (name, units) in enumerate((("b.json", 9), ("a.json", 3))):  # the later file has the smaller name and value
+        with open(os.path.join(landing, name), "w") as f:
+            f.write(sales_doc("B1", [("2024-01-01", units, 1.5)]) + "\n" + '{"data": [,]}\n' + '{"data": []}\n'
+                    + sales_doc("B2", [("not a date", 1, 1.0)]) + "\n")
+        os.utime(os.path.join(landing, name), (1_700_000_000 + k, 1_700_000_000 + k))
+    for ck in ("ck1", "ck1", "ck2"):
+        sync_landed_sales(spark, landing, target, "sales", os.path.join(root, ck), AS_OF, schema=SALES_TABLE)
+        got = [(r.asin, r.estimated_units_sold) for r in publish.read_live(spark, target, "sales").collect()]
+        assert got == [("B1", 3)]
+    rejects = publish.read_live(spark, target, "sales_rejects").filter("batch LIKE '%-0'")
+    reasons = sorted(r.reason for r in rejects.dropDuplicates(["at", "reason", "detail"]).collect())
+    assert reasons == ["date is null"] * 2 + ["empty_response"] * 2 + ["parse_error"] * 2
+
+
+def test_usage_counts_calls_however_late(spark):
+    root = scratch(spark)
+    target = publish.Target(root, "dev_")
+    publish.publish_one(spark.createDataFrame([], USAGE_TABLE), target, "u", "a0")
+    src, ck = os.path.join(root, "calls"), os.path.join(root, "ck")
+    kind = "event_id long, ts timestamp_ntz, endpoint string, status int, n_items int"
+    for days in ((10, 10), (11,), (5, 10)):
+        spark.createDataFrame([(d, dt.datetime(2024, 1, d, 3), "e", 200, 1) for d in days], kind).write.mode("append").parquet(src)
+        sync_usage(spark, spark.readStream.schema(kind).parquet(src), target, "u", ck)
+    got = {r.usage_date.day: r.call_count for r in publish.read_live(spark, target, "u", USAGE_TABLE).collect()}
+    assert got == {5: 1, 10: 3, 11: 1}
+
+
+def test_drift_counts_columns_of_one_side(spark):
+    s = spark.createDataFrame([("a", 1, "only here"), ("b", 1, None)], "k string, v int, w string")
+    p = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
+    got = {r.k: r.changed_columns for r in drift.drift_rows(s, p, ["k"]).collect()}
+    assert got == {"a": "w"}

@@ -57,7 +57,8 @@ def test_touched_partitions_prune_the_scan_without_a_shuffle_on_them(spark):
         .write.partitionBy("m").parquet(path)
     target = spark.read.parquet(path)
     src = spark.createDataFrame([("k1", "m1", 9), ("k2", "m2", 9)], "k string, m string, v int")
-    touched = ups.upsert(target, src, ["k", "m"], update_cols=["v"], partition_by=["m"], touched_only=True)
+    touched = ups.upsert(target, src, ["k", "m"], update_cols=["v"], partition_by=["m"], touched_only=True,
+                         on_duplicate="unique")
     p = plan(touched)
     import re
     flat = re.sub(r"#\d+", "", p)

@@ -20,7 +20,8 @@ def test_upsert_insert_update_keep(spark):
     target = _t(spark, [("a", 1, old, old), ("b", 2, old, old)])
     source = spark.createDataFrame([("b", 20), ("c", 30)], "k string, v int")
     out = ups.upsert(target, source, ["k"], update_cols=["v"], keep_cols=["created_at"], touch_cols=["updated_at"],
-                     insert_defaults={"created_at": F.lit(AS_OF).cast("timestamp_ntz")}, as_of=AS_OF)
+                     insert_defaults={"created_at": F.lit(AS_OF).cast("timestamp_ntz")}, as_of=AS_OF,
+                     on_duplicate="unique")
     got = {r.k: r for r in out.collect()}
     assert got["a"].v == 1 and got["a"].action == "unchanged" and got["a"].updated_at == old
     assert got["b"].v == 20 and got["b"].created_at == old and got["b"].updated_at == AS_OF
@@ -44,15 +45,17 @@ def test_upsert_null_keys_rejected_and_duplicates_error(spark):
     src = spark.createDataFrame([(None, 1), ("a", 2), ("a", 3)], "k string, v int")
     with pytest.raises(ups.DuplicateKeyError):
         ups.upsert(target, src, ["k"], update_cols=["v"], on_duplicate="error")
-    ok = ups.upsert(target, src.filter("v <> 3"), ["k"], update_cols=["v"]).collect()
+    ok = ups.upsert(target, src.filter("v <> 3"), ["k"], update_cols=["v"], on_duplicate="error").collect()
+    assert ups.null_key_rows(src, ["k"]).count() == 1
     assert [r.k for r in ok] == ["a"]
 
 
 def test_upsert_touched_partitions_only(spark):
     target = spark.createDataFrame([("a", "m1", 1), ("b", "m2", 2)], "k string, m string, v int")
     src = spark.createDataFrame([("a", "m1", 9)], "k string, m string, v int")
-    full = ups.upsert(target, src, ["k", "m"], update_cols=["v"], partition_by=["m"])
-    touched = ups.upsert(target, src, ["k", "m"], update_cols=["v"], partition_by=["m"], touched_only=True)
+    full = ups.upsert(target, src, ["k", "m"], update_cols=["v"], partition_by=["m"], on_duplicate="unique")
+    touched = ups.upsert(target, src, ["k", "m"], update_cols=["v"], partition_by=["m"], touched_only=True,
+                         on_duplicate="unique")
     assert sorted((r.k, r.v) for r in full.collect()) == [("a", 9), ("b", 2)]
     assert [(r.k, r.v) for r in touched.collect()] == [("a", 9)]
 
@@ -60,10 +63,19 @@ def test_upsert_touched_partitions_only(spark):
 def test_insert_ignore_existing_wins(spark):
     t = spark.createDataFrame([("a", "old")], "id string, name string")
     s = spark.createDataFrame([("a", "new"), ("b", "new")], "id string, name string")
-    got = {r.id: r.name for r in ups.insert_ignore(t, s, ["id"]).collect()}
+    got = {r.id: r.name for r in ups.insert_ignore(t, s, ["id"], on_duplicate="unique").collect()}
     assert got == {"a": "old", "b": "new"}
 
 
+def test_insert_ignore_first_of_the_source_wins(spark):
+    t = spark.createDataFrame([("a", "old")], "id string, name string")
+    s = spark.createDataFrame([("b", "second-zzz", 2), ("b", "first-aaa", 1)], "id string, name string, seq int")
+    got = {r.id: r.name for r in ups.insert_ignore(t, s, ["id"], seq="seq").collect()}
+    assert got == {"a": "old", "b": "first-aaa"}
+    with pytest.raises(ValueError):
+        ups.insert_ignore(t, s.drop("seq"), ["id"])
+
+
 def _status(spark, rows):
     return spark.createDataFrame(rows, STATUS_TABLE)
 
@@ -162,21 +174,35 @@ def test_stop_point_blocks_match_a_sequential_scan(spark):
         assert got == want, bs
 
 
-def test_upsert_without_seq_keeps_one_row_per_key(spark):
+def test_last_wins_needs_an_order(spark):
     target = _t(spark, [("a", 1, None, None)])
-    src = spark.createDataFrame([("a", 5), ("a", 7), ("b", 1), ("b", 1)], "k string, v int")
-    out = ups.upsert(target, src, ["k"], update_cols=["v"]).drop("action")
-    assert_unique(out, ["k"])
-    assert {r.k: r.v for r in out.collect()} == {"a": 7, "b": 1}
+    src = spark.createDataFrame([("a", 5), ("a", 7)], "k string, v int")
+    with pytest.raises(ValueError):
+        ups.upsert(target, src, ["k"], update_cols=["v"])
+
+
+def test_last_row_wins_not_the_greatest(spark):
+    target = _t(spark, [])
+    src = spark.createDataFrame([("a", 9, 1), ("a", 3, 2)], "k string, v int, seq int")
+    assert [r.v for r in ups.upsert(target, src, ["k"], update_cols=["v"], seq="seq").collect()] == [3]
+
+
+def test_variant_rows_can_be_upserted(spark):
+    src = spark.sql("SELECT 'a' AS k, parse_json('{\"x\": 1}') AS v, 1 AS seq "
+                    "UNION ALL SELECT 'a', parse_json('{\"x\": 2}'), 2")
+    target = src.drop("seq").limit(0)
+    out = ups.upsert(target, src, ["k"], update_cols=["v"], seq="seq").selectExpr("k", "to_json(v) AS v").collect()
+    assert [tuple(r) for r in out] == [("a", '{"x":2}')]
 
 
-def test_touched_split_join_fallback_matches(spark, monkeypatch):
-    target = spark.createDataFrame([(f"k{i}", f"m{i % 5}", i) for i in range(50)], "k string, m string, v int")
-    src = spark.createDataFrame([("k1", "m1", 100), ("k2", "m2", 200), ("new", "m9", 1)], "k string, m string, v int")
-    fast = sorted(ups.upsert(target, src, ["k", "m"], update_cols=["v"], partition_by=["m"]).collect())
-    monkeypatch.setattr(ups, "MAX_TOUCHED_PARTITIONS", 1)
-    slow = sorted(ups.upsert(target, src, ["k", "m"], update_cols=["v"], partition_by=["m"]).collect())
-    assert fast == slow and len(fast) == 51
+def test_touched_split_by_two_columns(spark):
+    target = spark.createDataFrame([(f"k{i}", f"m{i % 5}", i % 2, i) for i in range(50)], "k string, m string, n int, v int")
+    src = spark.createDataFrame([("k1", "m1", 1, 100), ("k2", "m2", 0, 200), ("new", "m9", 7, 1)],
+                                "k string, m string, n int, v int")
+    inside, outside = ups.split_touched(target, src, ["m", "n"])
+    assert inside.count() == 10 and outside.count() == 40
+    out = ups.upsert(target, src, ["k", "m", "n"], update_cols=["v"], partition_by=["m", "n"], on_duplicate="unique")
+    assert out.count() == 51
 
 
 def test_key_hits_agree_with_merge_counts(spark):
@@ -184,7 +210,8 @@ def test_key_hits_agree_with_merge_counts(spark):
     src = spark.createDataFrame([("k1", "m1", 0), ("k1", "m1", 5), ("k2", "m0", 1), ("z", "m2", 2), ("y", "m7", 3)],
                                 "k string, m string, v int")
     hits = ups.key_hits(target, src, ["k", "m"], partition_by=["m"]).collect()
-    c = ups.upsert_counts(ups.upsert(target, src, ["k", "m"], update_cols=["v"], partition_by=["m"])).first()
+    c = ups.upsert_counts(ups.upsert(target, src.withColumn("seq", F.col("v")), ["k", "m"], update_cols=["v"],
+                                     partition_by=["m"], seq="seq")).first()
     assert (sum(not r.hit for r in hits), sum(r.hit for r in hits)) == (c.inserted, c.updated) == (3, 1)
 
 

@@ -251,3 +251,14 @@ def test_drift_counts_columns_of_one_side(spark):
     p = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
     got = {r.k: r.changed_columns for r in drift.drift_rows(s, p, ["k"]).collect()}
     assert got == {"a": "w"}
+
+
+def test_digest_is_cut_at_500_bytes(spark):
+    from quayside.operators.report import error_digest_hourly
+    texts = ["a" * 500, "a" * 501, "é" * 300, "a" + "é" * 300, "aa" + "€" * 200, "😀" * 130, "x" + "😀" * 130]
+    df = spark.createDataFrame([(i, [t]) for i, t in enumerate(texts)], "run_id int, sample_errors array<string>")
+    got = {r.run_id: r.sample_text for r in error_digest_hourly(df).collect()}
+    for i, t in enumerate(texts):
+        raw = t.encode()
+        want = t if len(raw) <= 500 else raw[:500].decode(errors="ignore") + "..."
+        assert got[i] == want, i

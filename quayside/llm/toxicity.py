@@ -199,21 +199,26 @@ def near_equal_groups(hashes: list[np.ndarray], bands: int = 8) -> np.ndarray:
 
 
 def pick_signs(forms: np.ndarray, doc: np.ndarray, toxic: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """Token forms that mark toxic documents, see the module's text."""
-    keys, owner = forms.ravel(), np.repeat(doc, forms.shape[1])
-    form, at = np.unique(keys, return_inverse=True)
-    pair, times = np.unique(at * len(toxic) + owner, return_counts=True)
-    times, of = np.minimum(times, MOST_PER_DOCUMENT), toxic[pair % len(toxic)]
-    used = [np.bincount(pair[of == y] // len(toxic), weights=times[of == y], minlength=len(form))
-            / max((toxic == y).sum(), 1) for y in (0, 1)]
-    likely = np.flatnonzero(used[1] >= SIGN_PRECISION * (used[0] + used[1]))
-    # Toxic groups that hold the form.
-    held = np.isin(at, likely) & (toxic[owner] == 1)
-    pairs = np.unique(at[held] * len(toxic) + group[owner[held]])
-    n_groups = np.bincount(pairs // len(toxic), minlength=len(form))
+    """Token forms that mark toxic documents, see the module's text. One kind of form at a time, to bound memory."""
+    signs, held_by = [], []
     enough = max(MIN_SIGN_DOCUMENTS, MIN_SIGN_SHARE * len(set(group[toxic == 1])))
-    likely = likely[n_groups[likely] >= enough]
-    return np.sort(form[likely[np.argsort(-n_groups[likely], kind="stable")][:MAX_SIGNS]])
+    for keys in forms.T:
+        form, at = np.unique(keys, return_inverse=True)
+        pair, times = np.unique(at * len(toxic) + doc, return_counts=True)
+        at, owner, times = pair // len(toxic), pair % len(toxic), np.minimum(times, MOST_PER_DOCUMENT)
+        bad = toxic[owner] == 1
+        used = [np.bincount(at[of], weights=times[of], minlength=len(form)) / max(int((toxic == y).sum()), 1)
+                for y, of in ((0, ~bad), (1, bad))]
+        likely = used[1] >= SIGN_PRECISION * (used[0] + used[1])
+        # Toxic groups that hold the form.
+        held = bad & likely[at]
+        pairs = np.unique(at[held] * len(toxic) + group[owner[held]])
+        n_groups = np.bincount(pairs // len(toxic), minlength=len(form))
+        taken = np.flatnonzero(likely & (n_groups >= enough))
+        signs.append(form[taken])
+        held_by.append(n_groups[taken])
+    signs, held_by = np.concatenate(signs), np.concatenate(held_by)
+    return np.sort(signs[np.argsort(-held_by, kind="stable")][:MAX_SIGNS])
 
 
 def train(rows: list[tuple[str, int]]) -> Model | None:

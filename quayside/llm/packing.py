@@ -12,18 +12,22 @@ Each input partition is packed on its own, so nothing is shuffled, memory is
 bounded by ``max_open`` sequences of piece descriptions, and a lost executor
 repeats only its own partitions, with the same result.
 
-Ids come from the rank file of the same vocabulary, read by a faster library
-(the two give equal ids; tests compare them).
-
-Cases: a null text is empty and packs its end id alone. The strings of special
-tokens in a text are ordinary text. Rows that repeat an id are packed one by
-one. An empty table gives an empty result. Other columns are not read.
+Ids come from the rank file of the same vocabulary, read by a faster library,
+and the added tokens from the vocabulary's JSON file (the two libraries give
+equal ids; tests compare them).
+
+Cases: a null text is empty and packs its end id alone. The string of an added
+token in a text is that token's one id, as the JSON file has it, and the text
+before and after it is cut into words on its own. Rows that repeat an id are
+packed one by one. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
+import json
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,13 +46,24 @@ ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.
                    ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
 
+def added_tokens(ranks_path: str) -> dict[str, int]:
+    """The added tokens of the JSON file beside the rank file, by string."""
+    with open(os.path.splitext(ranks_path)[0] + ".json", encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    if odd := [t["content"] for t in tokens if t["lstrip"] or t["rstrip"] or t["single_word"]]:
+        raise ValueError(f"added tokens that take or need white space are not supported: {odd}")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 @functools.cache
 def encoder(ranks_path: str, pattern: str):
     """Text to ids; made once in a worker."""
     import tiktoken
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks,
+                                 special_tokens=added_tokens(ranks_path))
+    return functools.partial(encoding.encode, allowed_special="all")
 
 
 class Levels:
@@ -179,7 +194,7 @@ def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, size: int = S
     """One row per piece: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
 
     ``ids`` are little-endian unsigned 32-bit numbers. ``ranks_path`` names
-    the vocabulary's rank file on every worker.
+    the vocabulary's rank file on every worker; its JSON file lies beside it.
     """
     ship_package(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))

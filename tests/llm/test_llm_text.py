@@ -155,6 +155,24 @@ def test_packing_round_trip(spark, small_dir, docs, rows):
     assert len(short) <= docs.rdd.getNumPartitions()
 
 
+def test_packing_finds_added_tokens(spark):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}", f"one  {end}  two\n\n{end}\n", f"it{end}'s <|endoftext| >", f"x{end[:-1]}", f"é{end}٣ " * 900]
+    pick = random.Random(8)
+    texts += ["".join(pick.choice([end, end[:5], " ", "\n", "a", "'s", "<|", "12", "é"]) for _ in range(30)) for _ in range(300)]
+    docs = spark.createDataFrame([(i, t, None, None) for i, t in enumerate(texts)], DOCS)
+    got = {}
+    for p in packing.pack_documents(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect():
+        got.setdefault(p["doc_id"], []).append((p["start"], bytes(p["ids"]), p["doc_tokens"]))
+    for i, text in enumerate(texts):
+        want = tokenizer.encode(text, add_special_tokens=False).ids + [1]
+        ids = np.frombuffer(b"".join(b for _, b, _ in sorted(got[i])), dtype="<u4")
+        assert ids.tolist() == want and {n for *_, n in got[i]} == {len(want)}
+
+
 def test_sum_of_squares_choice():
     """Each placement is the one that leaves the smallest sum of squared level counts."""
     pick = random.Random(3)

@@ -79,3 +79,23 @@ def text_of(df: DataFrame, column: str = "text") -> Column:
 def whole_row(df: DataFrame) -> Column:
     """The row as one struct, so that helper columns cannot clash with its own."""
     return F.struct(*[df[f"`{c}`"] for c in df.columns])
+
+
+def keep_rows(docs: DataFrame, doc_id: Column, digest: Column, verdicts: DataFrame) -> DataFrame:
+    """``docs`` without what ``verdicts`` drops, all columns kept.
+
+    ``verdicts`` (doc_id, digest, keep) names each pair to drop, and each pair
+    to keep that several rows have: one of those rows stays. A null id equals
+    a null id. Rows that ``verdicts`` does not name stay.
+    """
+    rows = docs.select(whole_row(docs).alias("row"), doc_id.alias("id"), digest.alias("key"))
+
+    def hit(v):
+        return F.col("id").eqNullSafe(v["doc_id"]) & (F.col("key") == v["digest"])
+
+    single = rows.join(verdicts.hint("merge"), hit(verdicts), "left_anti").select("row.*")
+    repeated = verdicts.where("keep")
+    if repeated.isEmpty():
+        return single
+    once = rows.join(repeated, hit(repeated), "left_semi").groupBy("id", "key").agg(F.any_value("row").alias("row"))
+    return single.unionByName(once.select("row.*"))

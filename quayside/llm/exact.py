@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import Stager, text_of, whole_row
+from quayside.llm.common import Stager, keep_rows, text_of
 
 
 def content_hash(text: Column) -> Column:
@@ -67,10 +67,10 @@ def exact_groups(docs: DataFrame, hash_of: Callable[[Column], Column] = content_
 
 
 def drop_exact_copies(docs: DataFrame, **kwargs) -> DataFrame:
-    """``docs`` without the rows that :func:`exact_groups` drops, all columns kept."""
+    """``docs`` without the rows that :func:`exact_groups` drops, and with one of the rows that repeat
+    both the id and the text it keeps; all columns kept."""
     stage = Stager(docs.sparkSession)
-    gone = stage(exact_groups(docs, **kwargs).where("NOT kept").select("doc_id", "text_sha256").distinct(), "dropped")
-    rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").alias("id"),
-                       F.sha2(text_of(docs).cast("binary"), 256).alias("sha"))
-    hit = F.col("id").eqNullSafe(gone["doc_id"]) & (F.col("sha") == gone["text_sha256"])
-    return rows.join(gone, hit, "left_anti").select("row.*")
+    judged = exact_groups(docs, **kwargs).where("group_size > 1").withColumnRenamed("text_sha256", "digest")
+    verdicts = stage(judged.groupBy("doc_id", "digest").agg(F.max("kept").alias("keep"), F.count(F.lit(1)).alias("n"))
+                     .where("NOT keep OR n > 1").select("doc_id", "digest", "keep"), "verdicts")
+    return keep_rows(docs, docs["doc_id"], F.sha2(text_of(docs).cast("binary"), 256), verdicts)

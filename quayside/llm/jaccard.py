@@ -43,8 +43,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import Stager, ship_package, text_of, whole_row
+from quayside.llm.common import Stager, keep_rows, ship_package, text_of
 from quayside.llm.components import components
+from quayside.llm.exact import content_hash
 from quayside.llm.words import U64, grams, mix, words
 
 SLOTS = 1 << 19          # counters of n-gram frequencies
@@ -94,10 +95,10 @@ def slot(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> U64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
 
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("second", pa.int64()),
+_SIGNED = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n", pa.int64()), ("node", pa.int64()), ("second", pa.int64()),
                      ("parity", pa.binary()), ("b0", pa.int64()), ("b1", pa.int64()), ("b2", pa.int64()),
                      ("b3", pa.int64()), ("slots", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64()))])
-SIGNED = "doc_id long, n long, node long, second long, parity binary, b0 long, b1 long, b2 long, b3 long, " \
+SIGNED = "doc_id long, digest binary, n long, node long, second long, parity binary, b0 long, b1 long, b2 long, b3 long, " \
          "slots array<int>, counts array<bigint>"
 
 
@@ -111,12 +112,13 @@ def _sign(size: int):
                 np.add.at(seen, slot(s), 1)
             none = pa.nulls(len(rows))
             if rows:
-                yield pa.record_batch([batch.column(0), *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(_SIGNED)[1:])),
+                yield pa.record_batch([batch.column(0), batch.column(2),
+                                       *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(_SIGNED)[2:])),
                                        none.cast(_SIGNED.field("slots").type), none.cast(_SIGNED.field("counts").type)],
                                       schema=_SIGNED)
         used = np.flatnonzero(seen)
         if len(used):
-            row = [*[None] * 9, used.astype(np.int32), seen[used]]
+            row = [*[None] * 10, used.astype(np.int32), seen[used]]
             yield pa.record_batch([pa.array([v], f.type) for v, f in zip(row, _SIGNED)], schema=_SIGNED)
     return run
 
@@ -184,21 +186,30 @@ def _linked(percent: int):
 
 
 class JaccardJoin:
-    """The steps of one join; every table between them is staged."""
+    """The steps of one join; every table between them is staged.
 
-    def __init__(self, docs: DataFrame, size: int, percent: int):
+    With ``digests``, rows also carry their text's digest, and components the
+    id and digest of their first row: the smallest id, null last, then the
+    smallest digest.
+    """
+
+    def __init__(self, docs: DataFrame, size: int, percent: int, digests: bool = False):
         ship_package(docs.sparkSession)
         self.spark, self.size, self.percent = docs.sparkSession, size, percent
         self.stage = Stager(self.spark)
-        self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
+        self.first = ["first"] if digests else []
+        digest = content_hash(text_of(docs)) if digests else F.lit(None).cast("binary")
+        self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"),
+                                digest.alias("digest"))
 
     def signatures(self) -> None:
         signed = self.stage(self.docs.mapInArrow(_sign(self.size), SIGNED), "signatures")
-        self.members = signed.where("slots IS NULL").select("doc_id", "n", "node", "second")
+        self.members = signed.where("slots IS NULL").select("doc_id", "digest", "n", "node", "second")
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first")
         self.nodes = self.stage(
             signed.where("node IS NOT NULL").groupBy("node").agg(
                 F.max("n").alias("n"), F.max("parity").alias("parity"), F.min("doc_id").alias("min_doc"),
-                *[F.max(b).alias(b) for b in SHORT]), "nodes")
+                *[F.max(b).alias(b) for b in SHORT], *([first] if self.first else [])), "nodes")
         counted = (signed.where("slots IS NOT NULL").select(F.explode(F.arrays_zip("slots", "counts")).alias("c"))
                    .groupBy("c.slots").agg(F.sum("c.counts").alias("n")))
         # SLOTS rows at most, whatever the input.
@@ -302,13 +313,16 @@ class JaccardJoin:
         found = found.unionByName(self.links(self.stage(cross, "cross-pairs")))
         labels = components(self.stage, found)
         linked = F.coalesce("label", "node").alias("label")
-        nodes = self.stage(self.nodes.join(labels.hint("merge"), "node", "left").select("node", "min_doc", linked), "labelled")
-        least = self.stage(nodes.groupBy("label").agg(F.min("min_doc").alias("component_id")), "least")
-        named = self.stage(nodes.join(least.hint("merge"), "label").select("node", "component_id"), "named")
+        nodes = self.stage(self.nodes.join(labels.hint("merge"), "node", "left").select("node", "min_doc", linked, *self.first),
+                           "labelled")
+        least = self.stage(nodes.groupBy("label").agg(F.min("min_doc").alias("component_id"),
+                                                      *[F.min(c).alias(c) for c in self.first]), "least")
+        named = self.stage(nodes.drop(*self.first).join(least.hint("merge"), "label")
+                           .select("node", "component_id", *self.first), "named")
         out = self.members.join(named.hint("merge"), "node", "left")
         return out.select("doc_id", F.col("n").alias("n_shingles"),
                           F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-                          .alias("component_id"))
+                          .alias("component_id"), *(["node", "digest", *self.first] if self.first else []))
 
 
 def at_of(column: str):
@@ -316,16 +330,27 @@ def at_of(column: str):
     return F.pmod(F.xxhash64(column), F.lit(ID_SLOTS)) + 1
 
 
-def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the smallest id reachable by links)."""
+def checked(percent: int) -> int:
     if not 50 <= percent <= 100:
         raise ValueError("percent must be between 50 and 100")
-    return JaccardJoin(docs, size, percent).run()
+    return percent
+
+
+def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (the smallest id reachable by links)."""
+    return JaccardJoin(docs, size, checked(percent)).run()
 
 
 def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with the smallest id of each group of similar documents, all columns kept."""
+    """``docs`` with one row of each group of similar documents, all columns kept.
+
+    The row with the smallest id stays, a null id last; of rows that share the
+    id the one with the smallest text digest, and one of rows that repeat both.
+    Texts without an n-gram are in no group and all stay.
+    """
     stage = Stager(docs.sparkSession)
-    gone = stage(similar_groups(docs, size, percent).where("doc_id <> component_id").select("doc_id").distinct(), "dropped")
-    rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("long").alias("id"))
-    return rows.join(gone.hint("merge"), rows["id"] == gone["doc_id"], "left_anti").select("row.*")
+    grouped = JaccardJoin(docs, size, checked(percent), digests=True).run().where("node IS NOT NULL")
+    keep = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest"))
+    verdicts = stage(grouped.groupBy("doc_id", "digest").agg(F.max(keep).alias("keep"), F.count(F.lit(1)).alias("n"))
+                     .where("NOT keep OR n > 1").select("doc_id", "digest", "keep"), "verdicts")
+    return keep_rows(docs, docs["doc_id"].cast("long"), content_hash(text_of(docs)), verdicts)

@@ -66,6 +66,14 @@ def test_drop_exact_copies_keeps_clashing_columns(spark):
     assert sorted(map(tuple, out.collect())) == [(2, "a", "y", 2), (3, None, "z", 3)]
 
 
+def test_drop_exact_copies_keeps_one_of_repeated_rows(spark):
+    rows = [(8, "q", None, None), (8, "q", None, None), (7, "q", None, None), (8, "own", None, None), (None, "n", None, None),
+            (None, "n", None, None), (9, None, None, None), (9, "", None, None), (1, "single", None, None)]
+    got = exact.drop_exact_copies(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(((r["doc_id"], r["text"] or "") for r in got), key=str) == sorted(
+        [(8, "q"), (8, "own"), (None, "n"), (9, ""), (1, "single")], key=str)
+
+
 def test_lines_against_brute_force(spark, small_dir):
     docs = spark.read.parquet(f"{small_dir}/documents.parquet")
     long = "  The Common Line Of Many Documents\t"

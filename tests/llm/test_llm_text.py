@@ -298,6 +298,20 @@ def test_similar_groups_cases(spark):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [2, 3, 9, None]
 
 
+def test_keep_one_of_each_with_repeated_and_null_ids(spark):
+    base = [f"w{k}" for k in range(100)]
+    near = " ".join(base[:-1] + ["other"])
+    other, lone = " ".join(f"x{k}" for k in range(60)), " ".join(f"y{k}" for k in range(60))
+    rows = [(3, " ".join(base), "en", "s"), (5, near, "en", "s"), (5, "a clean text of its own words", "en", "s"),
+            (3, near, "en", "s"), (None, near + " end", "en", "s"), (None, other, "en", "s"), (None, other + " end", "en", "s"),
+            (7, lone, "en", "s"), (7, lone, "fr", "t"), (8, None, None, None), (8, None, None, None), (8, "", None, None)]
+    got = [(r["doc_id"], r["text"]) for r in jaccard.keep_one_of_each(spark.createDataFrame(rows, DOCS)).collect()]
+    of_three = min(rows[0][1], near, key=lambda t: hashlib.md5(t.encode()).digest())
+    of_none = min(other, other + " end", key=lambda t: hashlib.md5(t.encode()).digest())
+    assert sorted(got, key=str) == sorted([(3, of_three), (5, rows[2][1]), (None, of_none), (7, lone), (8, None), (8, None),
+                                           (8, "")], key=str)
+
+
 def test_components_of_a_long_path(spark):
     from quayside.llm.common import Stager
     from quayside.llm.components import components

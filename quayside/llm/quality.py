@@ -9,13 +9,15 @@ language's by Jensen-Shannon distance (square root of the divergence in bits,
 something, ``MIN_CHARS`` characters or ``MIN_WORDS`` words, and the distance
 allowed falls with the root of the length, as sampling noise does.
 
-What is broadcast has a fixed bound: ``MAX_LANGUAGES`` references at most,
-those with the most words. Other languages, and a null one, are compared with
-the pooled reference of all documents.
+Every language with ``MIN_REFERENCE_WORDS`` words or more has a reference of
+its own. A smaller one would be little more than the text it is to judge, so
+documents of such a language, and of a null one, are compared with the pooled
+reference of all documents. The references of the ``BROADCAST_LANGUAGES``
+languages with the most words are broadcast, a fixed bound; documents of the
+others are joined with theirs by language, so results do not depend on it.
 
 Cases: a null or empty text has no words, so its base rule fails and no
-distance is judged. A language without words gets the pooled reference. Rows
-that repeat an id are judged one by one. Of equally frequent words the smaller
+distance is judged. Rows that repeat an id are judged one by one. Of equally frequent words the smaller
 hash comes first. An empty table gives an empty result. Other columns are not
 read.
 """
@@ -38,7 +40,8 @@ MIN_WORDS = 50
 # A distance may be up to a + b / sqrt(length): a short text's histogram is noisy.
 CHAR_BOUND = (0.14, 3.0)
 WORD_BOUND = (0.26, 1.7)
-MAX_LANGUAGES = 4096
+MIN_REFERENCE_WORDS = 2000
+BROADCAST_LANGUAGES = 4096
 MIN_BASE_WORDS = 50       # base rule of the contract
 MAX_BASE_REPEATED = 0.5   # base rule of the contract
 
@@ -108,6 +111,10 @@ class Reference:
         return np.bincount(text * bins + at, minlength=n_texts * bins).reshape(n_texts, bins)
 
 
+def reference_of(bins) -> Reference:
+    return Reference([(b["kind"], b["key"], b["n"], b["of"]) for b in bins])
+
+
 def distance(counts: np.ndarray, shares: np.ndarray) -> np.ndarray:
     """Jensen-Shannon distance of each row's distribution from ``shares``."""
     p = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
@@ -119,31 +126,28 @@ def distance(counts: np.ndarray, shares: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(half(p) + half(np.broadcast_to(shares, p.shape)), 0))
 
 
+POOLED = ""  # the language of the pooled reference; counts of a null language have the same name
+
+
 def references(docs: DataFrame, common_words: int = COMMON_WORDS,
-               max_languages: int = MAX_LANGUAGES) -> dict[str | None, Reference]:
-    """Reference per language; None has the pooled one."""
+               min_reference_words: int = MIN_REFERENCE_WORDS) -> DataFrame:
+    """One row per reference: lang (``POOLED`` for the pooled one), n_words and its bins."""
     ship_package(docs.sparkSession)
     stage = Stager(docs.sparkSession)
     rows = docs.select(docs["lang"].cast("string").alias("lang"), text_of(docs).alias("text"))
     counts = stage(rows.mapInArrow(_count_histograms, "lang string, kind string, key long, n long")
                    .groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")), "counts")
-    # Languages are judged by how many words they have; a bounded number is kept.
-    largest = [r["lang"] for r in counts.where("kind = 'w'").groupBy("lang").agg(F.sum("n").alias("n"))
-               .orderBy(F.desc("n"), "lang").limit(max_languages).collect()]
     pooled = counts.groupBy("kind", "key").agg(F.sum("n").alias("n")).select(
-        F.lit(None).cast("string").alias("lang"), "kind", "key", "n")
-    kept = counts.where(F.col("lang") != "").unionByName(pooled)
+        F.lit(POOLED).alias("lang"), "kind", "key", "n")
+    kept = counts.where(F.col("lang") != POOLED).unionByName(pooled)
     group = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
-    total = kept.groupBy("lang", "kind").agg(F.sum("n").alias("total"))
+    total = stage(kept.groupBy("lang", "kind").agg(F.sum("n").alias("of")), "totals")
+    large = total.where("kind = 'w'").where((F.col("of") >= min_reference_words) | (F.col("lang") == POOLED))
     common = kept.withColumn("place", F.row_number().over(group)).where(F.col("place") <= common_words).drop("place")
-    found: dict = {}
-    totals = {(r["lang"], r["kind"]): r["total"] for r in stage(total, "totals").toLocalIterator()
-              if r["lang"] is None or r["lang"] in set(largest)}
-    for r in stage(common, "common").toLocalIterator():
-        if (r["lang"], r["kind"]) in totals:
-            found.setdefault(r["lang"], []).append((r["kind"], r["key"], r["n"], totals[r["lang"], r["kind"]]))
-    return {lang: Reference(rows) for lang, rows in found.items()
-            if lang is None or any(kind == "w" for kind, *_ in rows)}
+    # At most ``common_words`` and one bin per class a language.
+    bins = (common.join(total.hint("merge"), ["lang", "kind"]).groupBy("lang")
+            .agg(F.collect_list(F.struct("kind", "key", "n", "of")).alias("bins")))
+    return stage(large.select("lang", F.col("of").alias("n_words")).join(bins.hint("merge"), "lang"), "references")
 
 
 _JUDGED = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("word_chars", pa.int64()),
@@ -179,10 +183,15 @@ def repeated_lines(text: bytes) -> int:
     return len(held) - len(set(held))
 
 
-def _judge(found: dict[str | None, Reference]):
+def _judge(common: dict[str | None, Reference]):
+    """The function of one partition; a fourth column has the bins of references that are not broadcast."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column(1).to_pylist()
+            found = common
+            if batch.num_columns > 3:
+                at = {lang: k for k, lang in enumerate(langs) if batch.column(3)[k].is_valid}
+                found = common | {lang: reference_of(batch.column(3)[k].as_py()) for lang, k in at.items()}
             parts = []
             for w in words(batch.column(2), lower=True):
                 n = len(w)
@@ -218,12 +227,24 @@ def _judge(found: dict[str | None, Reference]):
 
 def judge_quality(docs: DataFrame, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS,
                   char_bound: tuple[float, float] = CHAR_BOUND,
-                  word_bound: tuple[float, float] = WORD_BOUND) -> DataFrame:
+                  word_bound: tuple[float, float] = WORD_BOUND, min_reference_words: int = MIN_REFERENCE_WORDS,
+                  broadcast_languages: int = BROADCAST_LANGUAGES) -> DataFrame:
     """One row per document: the base counts, base_failed, both distances and kept."""
-    found = references(docs)
+    refs = references(docs, min_reference_words=min_reference_words)
+    own = refs.where(F.col("lang") != POOLED)
+    largest = own.orderBy(F.desc("n_words"), "lang").limit(broadcast_languages).collect()
+    pooled = {None: reference_of(r["bins"]) for r in refs.where(F.col("lang") == POOLED).collect()}
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), docs["lang"].cast("string").alias("lang"),
                        text_of(docs).alias("text"))
-    judged = rows.mapInArrow(_judge(found), JUDGED)
+    found = _judge(pooled | {r["lang"]: reference_of(r["bins"]) for r in largest})
+    if len(largest) < broadcast_languages:
+        judged = rows.mapInArrow(found, JUDGED)
+    else:
+        # Languages beyond the broadcast ones: a language's documents meet its one row of bins.
+        here = F.coalesce(F.col("lang").isin([POOLED, *(r["lang"] for r in largest)]), F.lit(True))
+        judged = rows.where(here).mapInArrow(found, JUDGED).unionByName(
+            rows.where(~here).join(own.select("lang", "bins").hint("merge"), "lang", "left")
+            .select("doc_id", "lang", "text", "bins").mapInArrow(_judge(pooled), JUDGED))
     base = (F.col("n_words") < MIN_BASE_WORDS) | (F.col("n_repeat_words") > MAX_BASE_REPEATED * F.col("n_words"))
 
     def far(of: str, length: str, least: int, bound: tuple[float, float]):

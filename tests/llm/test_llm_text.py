@@ -127,6 +127,22 @@ def test_quality_empty_and_unknown_language(spark):
     assert quality.judge_quality(docs.where("false")).collect() == []
 
 
+def test_quality_references_beyond_the_broadcast_ones(docs):
+    """The bound of the broadcast changes no row."""
+    want = sorted(map(tuple, quality.judge_quality(docs).collect()))
+    for most in (0, 2):
+        got = sorted(map(tuple, quality.judge_quality(docs, broadcast_languages=most).collect()))
+        assert [r[:8] for r in got] == [r[:8] for r in want]
+        assert np.allclose([r[8:] for r in got], [r[8:] for r in want], atol=1e-9)
+
+
+def test_quality_rare_language_is_not_its_own_reference(docs):
+    broken = " ".join(f"#{k}% |{k * 7}$" for k in range(300))
+    table = docs.drop("row").unionByName(docs.sparkSession.createDataFrame([(2 * 10**6, broken, "qq", None)], DOCS))
+    row = quality.judge_quality(table).where("doc_id = 2000000").first()
+    assert not row["base_failed"] and not row["kept"]
+
+
 # ---- operator 3
 
 

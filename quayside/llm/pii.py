@@ -48,6 +48,11 @@ _DIGIT = re.compile(r"[0-9]")
 # Looser candidates.
 _SPELT = re.compile(r"\b[A-Za-z0-9._%+-]{1,64}\s?[\[({]\s?at\s?[\])}]\s?[A-Za-z0-9-]{1,63}"
                     r"(?:\s?(?:\.|[\[({]\s?dot\s?[\])}])\s?[A-Za-z0-9-]{1,63}){1,4}", re.I)
+_BRACKETED = re.compile(r"[\[({]\s?at\s?[\])}]", re.I)
+_WORDED = re.compile(r"\b[A-Za-z0-9._%+-]{1,64}\sat\s[A-Za-z0-9-]{1,63}(?:\sdot\s[A-Za-z0-9-]{1,63}){1,4}", re.I)
+_DOT = re.compile(r"\sdot\s", re.I)
+# White space on both sides of a dot or on none, so that the end of a sentence is no dot of a domain.
+_SPACED = re.compile(r"\b[A-Za-z0-9._%+-]{1,64}\s?@\s?[A-Za-z0-9-]{1,63}(?:(?:\.|\s\.\s)[A-Za-z0-9-]{1,63}){1,4}")
 _LOOSE_PHONE = re.compile(r"(?<![\w+.-])(?:\+?[0-9]{1,3}[\x20.-])?\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![\w-]|\.[0-9])")
 _LOOSE_CARD = re.compile(r"(?<![\w.])[0-9]{4}(?:[._/]?[0-9]{4}){3}(?![\w])")
 _LOOSE_IP = re.compile(r"(?<![\w.])[0-9]{1,3}(?:\s?\[\.\]\s?[0-9]{1,3}){3}(?![\w])")
@@ -98,8 +103,14 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 
 def loose_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
-    if "at" in text or "AT" in text:
-        found["email"] = [m.span() for m in _SPELT.finditer(text)]
+    email = found["email"]
+    if _BRACKETED.search(text):
+        email += [m.span() for m in _SPELT.finditer(text)]
+    if _DOT.search(text):
+        email += [m.span() for m in _WORDED.finditer(text)]
+    if "@" in text:
+        email += [m.span() for m in _SPACED.finditer(text)]
+    email.sort(key=lambda span: (span[0], -span[1]))
     if _DIGIT.search(text):
         found["phone"] = [m.span() for m in _LOOSE_PHONE.finditer(text)]
         found["card"] = [m.span() for m in _LOOSE_CARD.finditer(text)]
@@ -117,7 +128,7 @@ def votes(kind: str, text: str, start: int, end: int) -> tuple[int, ...]:
     before = [w.strip(".,:;!?()[]\"'=").lower() for w in text[max(0, start - 48):start].split()[-3:]]
     edge = text[start - 1:start] + text[end:end + 1]
     if kind == "email":
-        form = 1 if "@" in span else 0
+        form = 1 if "@" in span and not any(c.isspace() for c in span) else 0
         last = re.split(r"\.|dot", span.lower())[-1].strip(" ])}")
         check = 1 if 2 <= len(last) <= 6 and last.isalpha() else -1
         gazetteer = 1 if last in TOP_LEVEL else 0

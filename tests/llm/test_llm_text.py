@@ -285,6 +285,16 @@ def test_method_adds_what_the_patterns_lose(spark):
     assert all(len(got[i]) == 2 for i in range(200))
 
 
+@pytest.mark.parametrize("span", ["John [At] corp.com", "john at example dot com", "JOHN AT mail DOT example DOT org",
+                                  "john @ example . com", "john @ example.com", "john (at) corp [dot] com"])
+def test_spelt_and_spaced_addresses_are_candidates(span):
+    text = f"écrire: {span}, thx"
+    found = [(text[a:b], base) for kind, a, b, base, _ in pii.candidates(text) if kind == 0]
+    assert found == [(span, False)]
+    for plain in ("meet @ home. Then go", "we met at noon", "one @ two", "a polka dot dress at home"):
+        assert pii.candidates(plain) == []
+
+
 # ---- operator 9
 
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import exact, jaccard, lines, mixing, packing, pii, quality, repeats, toxicity, warc
+from quayside.llm import (exact, hamming, infill, jaccard, lines, mixing, packing, phrases, pii, quality, repeats, toxicity,
+                          warc)
 from quayside.llm.common import table
 from quayside.session import prepare
 
@@ -163,6 +164,70 @@ def op10(spark, sf_dir):
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op11_multi_index_hashing")
+def op11(spark, sf_dir):
+    return hamming.nearest(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+OP12_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+c AS (SELECT doc_id, t, string_split(t, chr(10)) AS ls,
+             length(t) - length(replace(t, chr(10), '')) + (t <> '' AND right(t, 1) <> chr(10))::INT AS n,
+             ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+             ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+k AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+                  WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM c),
+p AS (SELECT *, CASE WHEN a = 0 THEN '' WHEN a = n THEN t ELSE array_to_string(ls[1:a], chr(10)) || chr(10) END AS head,
+             CASE WHEN b = 0 THEN '' WHEN b = n THEN t ELSE array_to_string(ls[1:b], chr(10)) || chr(10) END AS upto FROM k),
+o AS (SELECT *, substr(upto, length(head) + 1) AS middle, substr(t, length(upto) + 1) AS suffix FROM p)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(head)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || head || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || head || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM o
+"""
+
+
+@query("op12_fill_in_middle", OP12_SQL)
+def op12(spark, sf_dir):
+    made = infill.fill_in_middle(table(spark, sf_dir, "documents"), unit="lines")
+    again = infill.restored(F.col("form"), F.col("output"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(again.cast("binary"), 256).alias("restored_sha256"))
+
+
+OP13_SQL = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+runs AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+spans AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' ')))
+          AS phrase FROM runs, (SELECT unnest(range(1, 6)) AS k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM spans GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k >= 2 AND f >= 100),
+kept AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM c AS b WHERE b.lang = c.lang AND b.k > c.k AND b.f >= c.f
+         AND contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' '))),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut, string_split(phrase, ' ') AS ws FROM kept),
+scored AS (SELECT c.lang, c.phrase, c.f AS a, c.cut, l.f AS l, r.f AS r, n.n,
+           (1000::HUGEINT * c.f * n.n) // (l.f::HUGEINT * r.f) AS score
+           FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(ws[1:cut], ' ')
+           JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(ws[cut + 1:], ' ') JOIN n ON n.lang = c.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM best)
+SELECT lang, rank::INT AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
+
+@query("op13_phrase_collocations", OP13_SQL)
+def op13(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"), longest=5, least=100, top=2000)
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline

@@ -92,12 +92,14 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def words(column: pa.Array, lower: bool = False, letters: bool = False) -> Iterator[Words]:
+def words(column: pa.Array, lower: bool = False, letters: bool = False, breaks: bytes = b"") -> Iterator[Words]:
     """The words of a batch, in chunks of about a megabyte and at least one text.
 
     ``lower`` hashes A-Z as a-z. ``letters`` takes runs of letters, digits and
-    non-ASCII characters as words.
+    non-ASCII characters as words. Bytes of ``breaks`` separate words too.
     """
+    held = _IS_LETTER.copy() if letters else ~_IS_SPACE
+    held[list(breaks)] = False
     data, offset = texts(column)
     values = _BYTES[_LOWER] if lower else _BYTES
     row, n = 0, len(offset) - 1
@@ -106,7 +108,7 @@ def words(column: pa.Array, lower: bool = False, letters: bool = False) -> Itera
         part, ends = data[offset[row]:offset[to]], offset[row:to + 1] - offset[row]
         size = max(len(part), CHUNK_BYTES)
         up, down = _powers(1 << (size - 1).bit_length())
-        inside = _IS_LETTER[part] if letters else ~_IS_SPACE[part]
+        inside = held[part]
         edge = np.zeros(len(part) + 1, dtype=bool)
         edge[ends] = True
         before = np.concatenate([[False], inside])  # before[i]: byte i - 1 is inside

@@ -1,5 +1,7 @@
 """Plain-Python versions of the operators, for small inputs."""
 
+import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -112,3 +114,67 @@ def personal_data(text):
             "ip": [m.span() for m in IP.finditer(text) if all(int(p) <= 255 for p in m.group().split("."))],
             "card": [m.span() for m in CARD.finditer(text) if 16 <= len(digits(m)) <= 19 and luhn(digits(m))],
             "phone": [m.span() for m in PHONE.finditer(text) if 8 <= len(digits(m)) <= 15]}
+
+
+def char_classes(text):
+    """The class of each character, for texts of ASCII lower letters, digits and spaces."""
+    return ["space" if c == " " else "digit" if c.isdigit() else "lower" for c in text]
+
+
+def reference_distance(text, corpus, split, common):
+    """Jensen-Shannon distance of a text from the other texts of a corpus; ``common`` bins and one for the rest."""
+    total = Counter(x for t in corpus for x in split(t))
+    bins = {x for x, _ in total.most_common(common)}
+    rest = Counter(x if x in bins else None for t in corpus if t != text for x in split(t))
+    own = Counter(x if x in bins else None for x in split(text))
+    m, n, out = sum(own.values()), sum(rest.values()), 0.0
+    for x in set(own) | set(rest):
+        p, q = own[x] / m, rest[x] / n
+        out += sum(a * math.log2(2 * a / (p + q)) / 2 for a in (p, q) if a)
+    return math.sqrt(max(out, 0))
+
+
+def cuts(text, pattern, h1, h2):
+    """(units, code points before the first cut, before the second)."""
+    units = re.findall(pattern, text)
+    n = len(units)
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    return n, sum(map(len, units[:a])), sum(map(len, units[:b]))
+
+
+def infilled(doc_id, text):
+    """(doc_id, n, form, prefix_chars, middle_chars, output) by lines."""
+    text = text or ""
+    digest = hashlib.sha256(f"7:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * k:8 * k + 8], 16) for k in range(4)]
+    n, a, b = cuts(text, r"[^\n]*\n|[^\n]+", h[0], h[1])
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")):
+        return doc_id, n, "plain", None, None, text
+    if h[3] % 100 < 50:
+        return doc_id, n, "spm", a, b - a, "<S>" + text[b:] + "<P>" + text[:a] + "<M>" + text[a:b]
+    return doc_id, n, "psm", a, b - a, "<P>" + text[:a] + "<S>" + text[b:] + "<M>" + text[a:b]
+
+
+def collocations(docs, longest, least, drop, top):
+    """[(lang, rank, phrase, a, l, r, n, score)] of (lang, text) rows."""
+    count, n = defaultdict(Counter), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for k in range(1, longest + 1):
+                count[lang].update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, f in count.items():
+        held = {p: c for p, c in f.items() if len(p) >= 2 and c >= least}
+        rows = []
+        for p, a in held.items():
+            if any(100 * c >= drop * a and len(q) > len(p) and any(q[i:i + len(p)] == p for i in range(len(q)))
+                   for q, c in held.items()):
+                continue
+            score, cut = min((1000 * a * n[lang] // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+            rows.append((-score, -a, " ".join(p).encode(), f[p[:cut]], f[p[cut:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(rows)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n[lang], -score))
+    return out

@@ -1,19 +1,19 @@
 """Phrase collocation mining (operator 13): a weighted de Bruijn graph of word runs, per language.
 
-1. Texts are cut into pieces and words. Words are counted per language; their
-   sum is ``n``.
+1. Texts are cut into pieces and words. Occurrences of neighbouring pairs are
+   summed by hash into ``PAIR_SLOTS`` counters. A pair whose counter stays below
+   ``least`` is rarer than that, and so is every phrase that holds it; such a
+   pair ends a piece below. The counters only save work: a pair that shares
+   one with others is kept although it is rare, and no count comes from them.
 2. Each word occurrence becomes one edge: the window of ``longest`` words that
    it starts, from the node of its first words to the node of its last. Near
    the end of a piece the window is shorter: these are the piece-end
    corrections. Equal windows are summed (partial sums before the shuffle).
-   A phrase reaches ``least`` only if all its words do, so words that are
-   rarer end a piece here; they are told apart by a bitmap of fixed size whose
-   false hits only cost work, never a count.
 3. Shorter counts follow from the flow: what leaves a node of k words is the
-   sum of the edges that start with it and of the piece ends in it. Each level
-   cuts the windows of the level above by a word and sums again, so nothing is
-   counted from the texts twice, and a word or word pair that a third of all
-   windows start with is one partial sum a task.
+   sum of the edges that start with it and of the piece ends in it. Summed
+   edges are passed on to the nodes they start with, down to the empty node,
+   whose flow is ``n``. Partial sums keep a word or a word pair that a third of
+   all windows start with to one row a task.
 4. Unary paths are compacted: a candidate whose flow goes on along a single
    edge, or comes in by a single edge (``drop_percent`` of it), goes into that
    longer phrase. A phrase is inside a longer one of its count only if it is
@@ -23,8 +23,7 @@
 Cases: a null text counts as empty, a null language as ``und``. Texts without
 words add nothing. Rows that repeat an id all count. An empty table gives an
 empty result. Other columns of the input are not read. A task holds a chunk of
-about a megabyte (at least one text) and, for a longer text, some hundred
-times its bytes at most in slices of ``SLICE`` windows.
+about a megabyte of text (at least one text) and a slice of ``SLICE`` windows.
 """
 
 from __future__ import annotations
@@ -38,10 +37,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.common import Stager, ship_package, text_of
-from quayside.llm.words import U64, mix, words
+from quayside.llm.words import U64, Words, mix, words
 
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
-FREQUENT_BITS = 1 << 25   # bitmap of frequent words, 4 MB on the driver and on each executor
+PAIR_SLOTS = 1 << 27   # counters of pairs; which reach ``least`` is a bitmap of 16 MB, on the driver and each executor
 SLICE = 1 << 17
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
@@ -66,103 +65,91 @@ def _langs(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return names, coded.indices.to_numpy(), np.array(seeds, dtype=U64)
 
 
-def _slots(hashes: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    return (mix(hashes ^ seeds) % U64(FREQUENT_BITS)).astype(np.int64)
+def _pair_slots(w: Words, code: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """The counter of each word and the next one; -1 where the next word is of another piece or text."""
+    if not len(w.start):
+        return np.zeros(0, dtype=np.int64)
+    text = w.text_of_word()
+    hashes = w.hashes()
+    piece = np.concatenate([[0], np.cumsum(_ENDS[w.data])])[w.start] + text
+    slot = mix(hashes[:-1] * U64(0x9E3779B97F4A7C15) + hashes[1:] ^ seeds[code[w.row + text[1:]]]) % U64(PAIR_SLOTS)
+    return np.append(np.where(piece[1:] == piece[:-1], slot.astype(np.int64), -1), -1)
 
 
-def _count_words(batches) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        names, code, _ = _langs(batch.column(0))
-        for w in words(batch.column(1), lower=True, breaks=PIECE_ENDS):
-            if not len(w.start):
-                continue
-            texts = _strings(_LOWER[w.data], w.start, w.end)
-            counted = pa.table({"lang": code[w.row + w.text_of_word()], "word": texts}).group_by(["lang", "word"]).aggregate(
-                [([], "count_all")])
-            yield pa.RecordBatch.from_arrays(
-                [names.take(pa.array(counted["lang"].combine_chunks())), counted["word"].combine_chunks(),
-                 counted["count_all"].combine_chunks()], names=["lang", "word", "f"])
-
-
-def _slot_of_words(batches) -> Iterator[pa.RecordBatch]:
+def _count_pairs(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         _, code, seeds = _langs(batch.column(0))
         for w in words(batch.column(1), lower=True, breaks=PIECE_ENDS):
-            slot = _slots(w.hashes(), seeds[code[w.row + w.text_of_word()]])
-            yield pa.RecordBatch.from_arrays([pa.array(slot)], names=["slot"])
+            slot = _pair_slots(w, code, seeds)
+            found, n = np.unique(slot[slot >= 0].astype(np.int32), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n, type=pa.int64())], names=["slot", "f"])
 
 
 def _windows(batches, frequent: np.ndarray, longest: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names, code, seeds = _langs(batch.column(0))
         for w in words(batch.column(1), lower=True, breaks=PIECE_ENDS):
-            lang = code[w.row + w.text_of_word()]
-            slot = _slots(w.hashes(), seeds[lang])
-            kept = np.flatnonzero(frequent[slot >> 6] >> (slot & 63).astype(U64) & U64(1))
-            if not len(kept):
+            n = len(w.start)
+            if not n:
                 continue
-            # A run of windows ends where the next kept word is not the next word, or of another piece or text.
-            ends_before = np.concatenate([[0], np.cumsum(_ENDS[w.data])])
-            piece = ends_before[w.start] + w.text_of_word()
-            last = np.ones(len(kept), dtype=bool)
-            last[:-1] = (np.diff(kept) != 1) | (piece[kept[1:]] != piece[kept[:-1]])
-            stop = np.flatnonzero(last)
-            run_end = stop[np.searchsorted(stop, np.arange(len(kept)))]
-            # The kept words, a space after each: every window is a slice.
-            size = w.end[kept] - w.start[kept]
+            lang = code[w.row + w.text_of_word()]
+            slot = _pair_slots(w, code, seeds)
+            goes_on = (slot >= 0) & ((frequent[slot >> 6] >> (slot & 63).astype(U64) & U64(1)) == 1)
+            stop = np.flatnonzero(~goes_on)
+            run_end = stop[np.searchsorted(stop, np.arange(n))]
+            # The words, a space after each: every window is a slice.
+            size = w.end - w.start
             to = np.cumsum(size + 1)
             begin = to - size - 1
-            place = np.arange(to[-1]) + np.repeat(w.start[kept] - begin, size + 1)
+            place = np.arange(to[-1]) + np.repeat(w.start - begin, size + 1)
             joined = _LOWER[w.data[np.minimum(place, len(w.data) - 1)]]
             joined[to - 1] = 0x20
-            final = np.minimum(np.arange(len(kept)) + longest - 1, run_end)
-            k = (final - np.arange(len(kept)) + 1).astype(np.int32)
-            for a in range(0, len(kept), SLICE):
+            final = np.minimum(np.arange(n) + longest - 1, run_end)
+            k = (final - np.arange(n) + 1).astype(np.int32)
+            for a in range(0, n, SLICE):
                 part = slice(a, a + SLICE)
+                counted = pa.table({"lang": lang[part], "phrase": _strings(joined, begin[part], to[final[part]] - 1),
+                                    "k": k[part]}).group_by(["lang", "phrase", "k"]).aggregate([([], "count_all")])
                 yield pa.RecordBatch.from_arrays(
-                    [names.take(pa.array(lang[kept[part]])), _strings(joined, begin[part], to[final[part]] - 1),
-                     pa.array(k[part])], names=["lang", "phrase", "k"])
+                    [names.take(counted["lang"].combine_chunks()), *(counted[c].combine_chunks() for c in
+                                                                     ("phrase", "k", "count_all"))],
+                    names=["lang", "phrase", "k", "f"])
 
 
-def _frequent_bits(spark, frequent: DataFrame) -> np.ndarray:
-    """A bitmap of (language, word); at most FREQUENT_BITS / 64 rows come to the driver."""
-    slots = frequent.select("lang", "word").mapInArrow(_slot_of_words, "slot long")
-    rows = (slots.groupBy(F.expr("slot div 64").alias("at"))
-            .agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")).toArrow())
-    bits = np.zeros(FREQUENT_BITS // 64, dtype=np.int64)
+def _frequent_bits(counted: DataFrame, least: int) -> np.ndarray:
+    """A bitmap of the counters that reach ``least``; at most PAIR_SLOTS / 64 rows come to the driver."""
+    rows = (counted.groupBy("slot").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+            .groupBy(F.expr("cast(slot div 64 as int)").alias("at"))
+            .agg(F.expr("bit_or(shiftleft(1L, slot % 64))").alias("bits")).toArrow())
+    bits = np.zeros(PAIR_SLOTS // 64, dtype=np.int64)
     bits[rows["at"].to_numpy()] = rows["bits"].to_numpy()
     return bits.view(U64)
 
 
-def phrase_counts(stage: Stager, docs: DataFrame, longest: int, least: int) -> tuple[DataFrame, DataFrame]:
-    """(lang, n) and (lang, phrase, k, f): all phrases of up to ``longest`` words that occur ``least`` times."""
+def phrase_counts(stage: Stager, docs: DataFrame, longest: int, least: int) -> DataFrame:
+    """(lang, phrase, k, f): all phrases of up to ``longest`` words that occur ``least`` times, and the empty one."""
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select(F.coalesce(docs["lang"], F.lit("und")).alias("lang"), text_of(docs).alias("text"))
-    counted = stage(rows.mapInArrow(_count_words, "lang string, word string, f long")
-                    .groupBy("lang", "word").agg(F.sum("f").alias("f")), "words")
-    totals = counted.groupBy("lang").agg(F.sum("f").alias("n"))
-    bits = spark.sparkContext.broadcast(_frequent_bits(spark, counted.where(F.col("f") >= least)))
-    level = (rows.mapInArrow(lambda batches: _windows(batches, bits.value, longest), "lang string, phrase string, k int")
-             .groupBy("lang", "phrase", "k").agg(F.count(F.lit(1)).alias("f")))
-    levels = [level]
-    for k in range(longest - 1, 0, -1):
-        shorter = F.expr(f"CASE WHEN k > {k} THEN substring_index(phrase, ' ', {k}) ELSE phrase END")
-        level = (level.select("lang", shorter.alias("phrase"), F.least("k", F.lit(k)).alias("k"), "f")
-                 .groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f")))
-        levels.append(level)
-    found = None
-    for k, level in zip(range(longest, 0, -1), levels):
-        part = level.where((F.col("k") == k) & (F.col("f") >= least))
-        found = part if found is None else found.unionByName(part)
-    return totals, stage(found, "phrases")
+    bits = spark.sparkContext.broadcast(_frequent_bits(rows.mapInArrow(_count_pairs, "slot int, f long"), least))
+    edges = (rows.mapInArrow(lambda batches: _windows(batches, bits.value, longest),
+                             "lang string, phrase string, k int, f long")
+             .groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f")))
+    # A window of ``longest`` words is a count of its own, all else adds to nodes.
+    nodes = edges.select("lang", "phrase", "f", "k", F.explode(F.expr("sequence(0, k)")).alias("at")).where(
+        (F.col("at") < longest) | (F.col("f") >= least))
+    start = F.expr("CASE WHEN at < k THEN substring_index(phrase, ' ', at) ELSE phrase END")
+    flow = (nodes.select("lang", start.alias("phrase"), F.col("at").alias("k"), "f")
+            .groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f")))
+    return stage(flow.where((F.col("f") >= least) | (F.col("k") == 0)), "phrases")
 
 
 def collocations(docs: DataFrame, longest: int = 5, least: int = 100, drop_percent: int = 100,
                  top: int | None = 2000) -> DataFrame:
     """Ranked phrases of 2 to ``longest`` words: lang, rank, phrase, a, l, r, n, score; the first ``top`` a language."""
     stage = Stager(docs.sparkSession)
-    totals, phrases = phrase_counts(stage, docs, longest, least)
+    phrases = phrase_counts(stage, docs, longest, least)
+    totals = phrases.where("k = 0").select("lang", F.col("f").alias("n"))
     candidates = phrases.where("k >= 2")
     inside = (phrases.where("k >= 3").select("lang", "f", F.explode(F.expr(
         "array(substring_index(phrase, ' ', k - 1), substring_index(phrase, ' ', 1 - k))")).alias("phrase"))

@@ -9,12 +9,16 @@ sequences are cut to fill the fullest, so a task leaves one partly filled
 sequence at most, whose length is padded.
 
 Each input partition is packed on its own, so nothing is shuffled, memory is
-bounded by ``max_open`` sequences of piece descriptions, and a lost executor
-repeats only its own partitions, with the same result.
+bounded by the ids of ``max_open`` open sequences, the document at hand and the
+rows not yet sent on; a waiting document keeps only the ids of its rest, less
+than a sequence. A lost executor repeats only its own partitions, with the same
+result.
 
 Ids come from the rank file of the same vocabulary, read by a faster library,
 and the added tokens from the vocabulary's JSON file (the two libraries give
-equal ids; tests compare them).
+equal ids; tests compare them). That library's pattern fails on very long runs
+of white space, so texts with a run of ``LONG_SPACE`` characters or more are
+read with the JSON file and its own library.
 
 Cases: a null text is empty and packs its end id alone. The string of an added
 token in a text is that token's one id, as the JSON file has it, and the text
@@ -28,6 +32,7 @@ import base64
 import functools
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,15 +45,21 @@ from quayside.llm.common import ship_package, text_of
 
 SEQUENCE = 2048
 MAX_OPEN = 20_000
+LONG_SPACE = 50_000
+FLUSH_ROWS, FLUSH_BYTES = 2000, 1 << 24   # rows and bytes of ids that a task sends on together
 END_ID = 1
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
                    ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
 
+def json_of(ranks_path: str) -> str:
+    return os.path.splitext(ranks_path)[0] + ".json"
+
+
 def added_tokens(ranks_path: str) -> dict[str, int]:
     """The added tokens of the JSON file beside the rank file, by string."""
-    with open(os.path.splitext(ranks_path)[0] + ".json", encoding="utf-8") as f:
+    with open(json_of(ranks_path), encoding="utf-8") as f:
         tokens = json.load(f)["added_tokens"]
     if odd := [t["content"] for t in tokens if t["lstrip"] or t["rstrip"] or t["single_word"]]:
         raise ValueError(f"added tokens that take or need white space are not supported: {odd}")
@@ -63,7 +74,22 @@ def encoder(ranks_path: str, pattern: str):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks,
                                  special_tokens=added_tokens(ranks_path))
-    return functools.partial(encoding.encode, allowed_special="all")
+    fast = functools.partial(encoding.encode, allowed_special="all")
+    spaces = re.compile(r"\s{%d}" % LONG_SPACE)
+
+    def encode(text: str) -> list[int]:
+        if len(text) >= LONG_SPACE and spaces.search(text):
+            return slow_encoder(ranks_path).encode(text, add_special_tokens=False).ids
+        return fast(text)
+
+    return encode
+
+
+@functools.cache
+def slow_encoder(ranks_path: str):
+    """The JSON file's own library."""
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(json_of(ranks_path))
 
 
 class Levels:
@@ -146,42 +172,53 @@ def packer(ranks_path: str, pattern: str, size: int, end_id: int, max_open: int)
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(ranks_path, pattern)
         out: list[tuple] = []
-        texts: dict[int, list] = {}  # number -> [doc_id, ids, pieces still open]
+        held_bytes = 0
+        rests: dict[int, list] = {}  # number -> [doc_id, ids of the rest, its start, the document's ids, ids still open]
         sequence = TaskContext.get().partitionId() << 40
         number = 0
 
+        def put(doc_id, start: int, ids: bytes, total: int, offset: int) -> None:
+            nonlocal held_bytes
+            out.append((doc_id, start, len(ids) // 4, ids, total, sequence, offset))
+            held_bytes += len(ids)
+
         def emit(held: list) -> None:
             nonlocal sequence
             offset = 0
             for (doc, start), n in held:
-                doc_id, blob = texts[doc][0], texts[doc][1]
-                out.append((doc_id, start, n, blob[4 * start:4 * (start + n)], len(blob) // 4, sequence, offset))
+                doc_id, blob, at, total, _ = rest = rests[doc]
+                put(doc_id, start, blob[4 * (start - at):4 * (start - at + n)], total, offset)
                 offset += n
-                texts[doc][2] -= n
-                if not texts[doc][2]:
-                    del texts[doc]
+                rest[4] -= n
+                if not rest[4]:
+                    del rests[doc]
             sequence += 1
 
         levels = Levels(size, max_open, emit)
 
         def made() -> pa.RecordBatch:
+            nonlocal held_bytes
             columns = list(zip(*out)) or [[]] * len(ARROW)
             out.clear()
+            held_bytes = 0
             return pa.record_batch([pa.array(c, type=f.type) for c, f in zip(columns, ARROW)], schema=ARROW)
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 blob = np.array(encode(text.as_py()), dtype="<u4").tobytes() + end
                 total = len(blob) // 4
-                texts[number] = [doc_id, blob, total]
                 whole = total // size * size
                 for start in range(0, whole, size):
-                    emit([((number, start), size)])
+                    put(doc_id, start, blob[4 * start:4 * (start + size)], total, 0)
+                    sequence += 1
+                    if held_bytes >= FLUSH_BYTES:
+                        yield made()
                 if total > whole:
                     # Of a long document only its rest has to wait.
+                    rests[number] = [doc_id, blob[4 * whole:], whole, total, total - whole]
                     levels.add((number, whole), total - whole)
                 number += 1
-                if len(out) >= 2000:
+                if len(out) >= FLUSH_ROWS:
                     yield made()
         levels.flush()
         yield made()

@@ -1,7 +1,8 @@
 """Toxicity (operator 1): a linear-chain conditional random field tags toxic spans.
 
-Training, on a bounded sample of labelled rows (``SAMPLE_ROWS`` per class,
-texts up to ``SAMPLE_BYTES``; both are parameters):
+Training, on a bounded sample of labelled rows (per class ``SAMPLE_ROWS`` texts
+of up to ``SAMPLE_BYTES`` each and ``SAMPLE_TOTAL`` together; all are
+parameters). Rows are chosen by a hash of their id, one text an id:
 
 1. Token labels come from the document labels. A token form (word, beginning
    or end of a word) is a sign of toxicity if its rate in toxic texts is at
@@ -10,16 +11,21 @@ texts up to ``SAMPLE_BYTES``; both are parameters):
    toxic documents the tokens that carry a sign are labelled toxic.
 2. The chain's weights (token forms, a bias, transitions between the two tags)
    maximise the likelihood of those tags, with forward-backward gradients.
+   They are fitted on stretches of ``CHAIN`` tokens: all with a sign, and as
+   many without one, drawn at random.
 3. A logistic model maps a document's marginals to its score.
 
-Scoring runs over every whole text: tokens are cut into chains of ``CHAIN``
-tokens, forward-backward gives each token's marginal, and a document's score
-comes from their sum and maximum. Neighbouring tokens with a marginal of at
-least one half make a span, in code points.
+Scoring runs over every whole text as one chain. It is worked off in stretches
+of ``CHAIN`` tokens: the product of each stretch's transfer matrices carries
+the forward and backward messages from one stretch to the next, so marginals do
+not depend on where a stretch ends. A document's score comes from the sum and
+maximum of its marginals. Neighbouring tokens with a marginal of at least one
+half make a span, in code points.
 
 Cases: an empty or null text has no token; it is scored from the bias alone.
 A null id is in no training row and counts as not held out. Labels of a
 repeated id count once, toxic if any row says so; null labels are left out.
+Of the texts of a repeated id the least by hash is trained on.
 Without labelled rows of both classes every score is 0. An empty table gives
 an empty result. Language, source, ids and labels are not read when scoring.
 """
@@ -32,7 +38,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.common import ship_package, text_of, whole_row
@@ -40,6 +46,8 @@ from quayside.llm.words import U64, Words, grams, mix, words
 
 SAMPLE_ROWS = 1500
 SAMPLE_BYTES = 200_000
+SAMPLE_TOTAL = 2_000_000   # bytes per class
+PLAIN_CHAINS = 200         # stretches without a sign that training takes at least
 CHAIN = 64
 SIGN_PRECISION = 0.92
 MIN_SIGN_DOCUMENTS = 3
@@ -47,6 +55,7 @@ MIN_SIGN_SHARE = 0.015
 MOST_PER_DOCUMENT = 3
 MAX_SIGNS = 2000
 STEPS = 80
+SEED = 3
 FORMS = (("whole", None, None), ("first4", 4, None), ("first5", 5, None), ("first6", 6, None), ("last4", None, 4))
 
 
@@ -84,16 +93,20 @@ class Chain:
         return score, known
 
 
-def forward_backward(score: np.ndarray, length: np.ndarray, moves: np.ndarray):
+def forward_backward(score: np.ndarray, length: np.ndarray, moves: np.ndarray, ahead_in: np.ndarray | None = None,
+                     back_in: np.ndarray | None = None):
     """Marginals of the toxic tag and expected moves, for chains padded to the same width.
 
     ``score`` is (chains, width); ``length`` says how much of each is used.
+    ``ahead_in`` and ``back_in`` (chains, 2) are the messages from the tokens
+    before and after a chain; without them it stands alone.
     """
     n, width = score.shape
     toxic = np.exp(np.clip(score, -30, 30))
     step = np.exp(moves)
     ahead = np.zeros((width, n, 2))
-    state = np.stack([np.ones(n), toxic[:, 0]], axis=1)
+    state = np.ones((n, 2)) if ahead_in is None else ahead_in.copy()
+    state[:, 1] *= toxic[:, 0]
     state /= state.sum(axis=1, keepdims=True)
     ahead[0] = state
     for t in range(1, width):
@@ -104,7 +117,7 @@ def forward_backward(score: np.ndarray, length: np.ndarray, moves: np.ndarray):
         ahead[t] = state
     marginal = np.zeros((n, width))
     moved = np.zeros((2, 2))
-    back = np.full((n, 2), 0.5)
+    back = np.full((n, 2), 0.5) if back_in is None else back_in
     for t in range(width - 1, -1, -1):
         used = t < length
         both = ahead[t] * back
@@ -123,7 +136,7 @@ def forward_backward(score: np.ndarray, length: np.ndarray, moves: np.ndarray):
 
 
 def chains(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First token and length of each chain; no chain crosses a document."""
+    """First token and length of each stretch of at most CHAIN tokens; none crosses a document."""
     counts = -(-np.diff(first) // CHAIN)
     n = int(counts.sum())
     place = np.arange(n) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -137,19 +150,64 @@ def padded(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndar
     return np.where(inside, values[np.minimum(at, max(len(values) - 1, 0))], 0)
 
 
+def transfers(score: np.ndarray, length: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """Per chain the 2 x 2 product of its emissions and the moves between them, up to a factor."""
+    step, toxic = np.exp(moves), np.exp(np.clip(score, -30, 30))
+    out = np.zeros((len(score), 2, 2))
+    out[:, 0, 0], out[:, 1, 1] = 1, toxic[:, 0]
+    for t in range(1, score.shape[1]):
+        new = out @ step
+        new[:, :, 1] *= toxic[:, t, None]
+        new /= new.sum(axis=(1, 2), keepdims=True)
+        out = np.where((t < length)[:, None, None], new, out)
+    return out
+
+
+def carried(transfer: np.ndarray, counts: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The messages into each stretch from before and after it; ``counts`` says how many each document has."""
+    step = np.exp(moves)
+    ahead, back = np.ones((len(transfer), 2)), np.ones((len(transfer), 2))
+    head = np.cumsum(counts) - counts
+    order = np.argsort(-counts, kind="stable")
+    longer = np.searchsorted(-counts[order], -np.arange(1, int(counts.max(initial=0)) + 1), side="right")
+    for j in range(1, len(longer)):   # all documents with more than j stretches at once
+        of = order[:longer[j]]
+        at = head[of] + j
+        new = np.einsum("na,nab->nb", ahead[at - 1], transfer[at - 1]) @ step
+        ahead[at] = new / new.sum(axis=1, keepdims=True)
+        at = head[of] + counts[of] - 1 - j
+        new = np.einsum("nab,nb->na", transfer[at + 1], back[at + 1]) @ step.T
+        back[at] = new / new.sum(axis=1, keepdims=True)
+    return ahead, back
+
+
 def token_marginals(model: Chain, forms: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Marginal of the toxic tag per token. Chains without a known form depend on their length alone."""
+    """Marginal of the toxic tag per token; each document is one chain."""
     score, known = model.emissions(forms)
     start, length = chains(first)
     out = np.zeros(len(forms))
     if not len(start):
         return out
-    plain_m, _ = forward_backward(np.full((CHAIN, CHAIN), model.bias), np.arange(1, CHAIN + 1), model.moves)
     held = np.concatenate([[0], np.cumsum(known)])
     some = held[start + length] > held[start]
-    marginals = plain_m[length - 1]
+    # Powers of the move of a token without a known form: stretches of such tokens need no loop.
+    plain = transfers(np.full((CHAIN, CHAIN), model.bias), np.arange(1, CHAIN + 1), model.moves)
+    transfer = plain[length - 1]
+    if some.any():
+        marked = padded(score, start[some], length[some])
+        transfer[some] = transfers(marked, length[some], model.moves)
+    ahead, back = carried(transfer, -(-np.diff(first) // CHAIN), model.moves)
+    marginals = np.zeros((len(start), CHAIN))
     if some.any():
-        marginals[some], _ = forward_backward(padded(score, start[some], length[some]), length[some], model.moves)
+        marginals[some], _ = forward_backward(marked, length[some], model.moves, ahead[some], back[some])
+    rest = np.flatnonzero(~some)
+    for size in np.unique(length[rest]):
+        at = rest[length[rest] == size]
+        until = np.einsum("na,tab->ntb", ahead[at], plain[:size])
+        step = np.exp(model.moves)
+        tail = np.concatenate([np.einsum("ab,tbc->tac", step, plain[:size - 1])[::-1], np.eye(2)[None]])
+        both = until * np.einsum("tab,nb->nta", tail, back[at])
+        marginals[at, :size] = both[:, :, 1] / both.sum(axis=2)
     inside = np.arange(CHAIN)[None] < length[:, None]
     out[(start[:, None] + np.arange(CHAIN)[None])[inside]] = marginals[inside]
     return out
@@ -248,8 +306,8 @@ def fit_chain(keys, forms, first, tag, marked) -> Chain:
     held = np.concatenate([[0], np.cumsum(marked)])
     with_marks = held[start + length] > held[start]
     # Every chain with a marked token, and as many others for the bias.
-    others = np.flatnonzero(~with_marks)
-    take = np.sort(np.concatenate([np.flatnonzero(with_marks), others[:max(200, int(with_marks.sum()))]]))
+    others = np.random.default_rng(SEED).permutation(np.flatnonzero(~with_marks))
+    take = np.sort(np.concatenate([np.flatnonzero(with_marks), others[:max(PLAIN_CHAINS, int(with_marks.sum()))]]))
     start, length = start[take], length[take]
     tags = padded(tag, start, length)
     inside = np.arange(CHAIN)[None] < length[:, None]
@@ -336,9 +394,9 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
-                  max_bytes: int = SAMPLE_BYTES) -> list[tuple[str, int]]:
-    """At most ``rows`` labelled texts per class that are not held out, chosen by a hash of the id."""
+def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, max_bytes: int = SAMPLE_BYTES,
+                  total_bytes: int = SAMPLE_TOTAL) -> list[tuple[str, int]]:
+    """Per class at most ``rows`` labelled texts of ``total_bytes`` together that are not held out, by a hash of the id."""
     known = (labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     order = F.xxhash64("doc_id", F.lit("sample"))
@@ -346,14 +404,18 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
     # Two times ``rows`` ids at most, so the broadcast is bounded.
     chosen = F.broadcast(picked[0].unionByName(picked[1]))
     texts = docs.select("doc_id", text_of(docs).alias("text")).where(F.octet_length("text") <= max_bytes)
-    return [(r["text"], r["toxic"]) for r in texts.join(chosen, "doc_id").orderBy("doc_id", "text").collect()]
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), F.col("text").alias("text")))["text"]
+    one = texts.join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(least.alias("text"))
+    sizes = Window.partitionBy("toxic").orderBy(order, "doc_id")
+    kept = one.withColumn("until", F.sum(F.octet_length("text")).over(sizes)).where(F.col("until") <= total_bytes)
+    return [(r["text"], r["toxic"]) for r in kept.select("doc_id", "text", "toxic").orderBy("doc_id").collect()]
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, row: Column | None = None, rows: int = SAMPLE_ROWS,
-                   max_bytes: int = SAMPLE_BYTES) -> DataFrame:
+                   max_bytes: int = SAMPLE_BYTES, total_bytes: int = SAMPLE_TOTAL) -> DataFrame:
     """``row``, ``score`` and ``spans`` per document; ``row`` is the whole input row if not given."""
     ship_package(docs.sparkSession)
-    model = train(training_rows(docs, labels, rows, max_bytes))
+    model = train(training_rows(docs, labels, rows, max_bytes, total_bytes))
     table = docs.select(text_of(docs).alias("text"), (whole_row(docs) if row is None else row).alias("row"))
     kind = table.schema["row"].dataType.simpleString()
     return table.mapInArrow(_score(model), f"row {kind}, {SCORED}")

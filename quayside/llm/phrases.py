@@ -157,13 +157,14 @@ def collocations(docs: DataFrame, longest: int = 5, least: int = 100, drop_perce
     own = (candidates.join(inside.hint("merge"), ["lang", "phrase"], "left")
            .where(f"longer IS NULL OR 100 * longer < {int(drop_percent)} * f")
            .select("lang", "phrase", "k", F.col("f").alias("a")))
-    cuts = (own.withColumn("cut", F.explode(F.expr("sequence(1, k - 1)")))
+    # The language's total joins first: the joins and the sum that follow deal the rows by phrase again, so that only
+    # each task's first ``top`` rows of a language meet in the window.
+    cuts = (own.join(totals, "lang").withColumn("cut", F.explode(F.expr("sequence(1, k - 1)")))
             .withColumn("head", F.expr("substring_index(phrase, ' ', cut)"))
             .withColumn("tail", F.expr("substring_index(phrase, ' ', cut - k)")))
     heads = phrases.select("lang", F.col("phrase").alias("head"), F.col("f").alias("l"))
     tails = phrases.select("lang", F.col("phrase").alias("tail"), F.col("f").alias("r"))
     scored = (cuts.join(heads.hint("merge"), ["lang", "head"]).join(tails.hint("merge"), ["lang", "tail"])
-              .join(totals, "lang")
               .withColumn("score", F.expr("(cast(1000 as decimal(4, 0)) * cast(a as decimal(17, 0)) * cast(n as decimal(17, 0)))"
                                           " div (cast(l as decimal(19, 0)) * cast(r as decimal(19, 0)))"))
               .groupBy("lang", "phrase", "a", "n")

@@ -10,6 +10,7 @@ from quayside.plans.q_upsert import SALES_TARGET_SQL, UPSERT_SALES_SQL, sales_ta
 from quayside.plans.registry import query
 from quayside.schemas import USAGE_TABLE
 from quayside.session import ensure_checkpoint_dir
+from quayside.sinks import call_log
 from quayside.sinks.publish import Target, publish_one, read_live
 from quayside.sources import standin_docs as D
 from quayside.sources import standins as S
@@ -45,9 +46,12 @@ def q_stream_landed_sales(spark, sf):
     return read_live(spark, target, "sales").drop("action")
 
 
-@query("stream_usage_counts", with_views("""
+USAGE_COUNTS_SQL = with_views("""
 SELECT CAST(ts AS DATE) AS usage_date, endpoint, count(*) AS call_count, min(ts) AS created_at, max(ts) AS updated_at
-FROM v_calls WHERE status = 200 AND n_items > 0 GROUP BY 1, 2""", "v_calls"))
+FROM v_calls WHERE status = 200 AND n_items > 0 GROUP BY 1, 2""", "v_calls")
+
+
+@query("stream_usage_counts", USAGE_COUNTS_SQL)
 def q_stream_usage_counts(spark, sf):
     """The event table read as a file stream; daily counts per endpoint
     kept in the counter table with absolute values per window."""
@@ -59,3 +63,19 @@ def q_stream_usage_counts(spark, sf):
               .parquet(sf))
     sync_usage(spark, S.calls_from_events(events), target, "api_usage", f"{root}/_checkpoint")
     return read_live(spark, target, "api_usage", USAGE_TABLE)
+
+
+@query("stream_usage_replayed", USAGE_COUNTS_SQL)
+def q_stream_usage_replayed(spark, sf):
+    """The event table as two streams with checkpoints of their own, and once
+    more as a run's call log: every call counts once."""
+    root = _scratch(spark, "usage")
+    target = Target(root, "dev_")
+    publish_one(spark.createDataFrame([], USAGE_TABLE), target, "api_usage", "a000000000000")
+    schema = read_table(spark, sf, "events").schema
+    for k in (1, 2):
+        events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+        sync_usage(spark, S.calls_from_events(events), target, "api_usage", f"{root}/_checkpoint{k}")
+    log = f"{target.table('api_usage')}_log"
+    days = call_log.append_calls(spark, S.calls(spark, sf), log)
+    return call_log.counted_usage(spark, read_live(spark, target, "api_usage", USAGE_TABLE), log, days)

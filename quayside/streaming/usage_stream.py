@@ -1,9 +1,10 @@
 """Usage counting over a call-log stream (STR-2).
 
-Every micro-batch is kept in a call log, partitioned by day and batch, and the
-days it touches are counted again from that log. Counters are therefore
-absolute: a replayed batch replaces its own partitions and cannot count twice,
-and a call that arrives late, however late, is counted on its day.
+Every micro-batch adds the calls that the call log does not hold yet, by their
+event id, and the days it touches are counted again from the log
+(``sinks/call_log.py``). Counters are therefore absolute: a replayed batch, or
+the same calls under another checkpoint, change nothing, and a call that
+arrives late, however late, is counted on its day.
 
 ``usage_counts_stream`` is the stateful alternative for sinks that want the
 counts as a stream; there the caller states how late a call may be.
@@ -14,11 +15,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators.upsert import upsert
-from quayside.operators.usage import billable_calls, usage_daily
+from quayside.operators.usage import billable_calls
 from quayside.schemas import USAGE_TABLE
+from quayside.sinks import call_log
 from quayside.sinks.publish import Target, publish_one, read_live
 
+
 def usage_counts_stream(calls: DataFrame, watermark: str, policy: str = "code") -> DataFrame:
     """Streaming counter rows ``(usage_date, endpoint, call_count,
     created_at, updated_at)``, absolute per window. Calls later than
@@ -38,26 +40,13 @@ def sync_usage(spark: SparkSession, calls_stream: DataFrame, target: Target, nam
                policy: str = "code") -> None:
     """Maintain the counter table from a call-log stream and stop when the
     available input is consumed."""
-    if not read_live(spark, target, name, USAGE_TABLE).columns:
-        raise ValueError("usage table has no columns")
-
     log = f"{target.table(name)}_log"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        billable = billable_calls(batch, policy).withColumn("usage_date", F.to_date("ts")).withColumn(
-            "batch", F.lit(batch_id))
-        # Only this batch's partitions are replaced, so a replay changes nothing.
-        (billable.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("usage_date", "batch").parquet(log))
-        kept = spark.read.schema(billable.schema).parquet(log)
-        days = [r[0] for r in kept.filter(F.col("batch") == batch_id).select("usage_date").distinct().collect()]
-        if not days:
-            return
-        counted = usage_daily(kept.filter(F.col("usage_date").isin(days)), policy)
-        live = read_live(spark, target, name, USAGE_TABLE)
-        merged = upsert(live, counted, ["usage_date", "endpoint"], update_cols=["call_count", "created_at", "updated_at"],
-                        on_duplicate="unique").drop("action")
-        publish_one(merged, target, name, f"b{batch_id:012d}")
+        days = call_log.append_calls(spark, batch, log, policy)
+        if days:
+            merged = call_log.counted_usage(spark, read_live(spark, target, name, USAGE_TABLE), log, days)
+            publish_one(merged, target, name, f"b{batch_id:012d}")
 
     q = (calls_stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -239,8 +239,8 @@ def test_usage_counts_calls_however_late(spark):
     publish.publish_one(spark.createDataFrame([], USAGE_TABLE), target, "u", "a0")
     src, ck = os.path.join(root, "calls"), os.path.join(root, "ck")
     kind = "event_id long, ts timestamp_ntz, endpoint string, status int, n_items int"
-    for days in ((10, 10), (11,), (5, 10)):
-        spark.createDataFrame([(d, dt.datetime(2024, 1, d, 3), "e", 200, 1) for d in days], kind).write.mode("append").parquet(src)
+    for first, days in ((0, (10, 10)), (2, (11,)), (3, (5, 10))):
+        spark.createDataFrame([(first + k, dt.datetime(2024, 1, d, 3), "e", 200, 1) for k, d in enumerate(days)], kind).write.mode("append").parquet(src)
         sync_usage(spark, spark.readStream.schema(kind).parquet(src), target, "u", ck)
     got = {r.usage_date.day: r.call_count for r in publish.read_live(spark, target, "u", USAGE_TABLE).collect()}
     assert got == {5: 1, 10: 3, 11: 1}

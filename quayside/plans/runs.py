@@ -425,6 +425,9 @@ def _sync_products(spark: SparkSession, todo: DataFrame, pdocs: DataFrame, no_pr
     rejects = run_log.reject_log(spark, targets.staging)
     last = todo.agg(F.max("batch_no")).first()[0] or 0
     done = batches.read(version).agg(F.max("batch_no")).first()[0] or 0
+    stop = bat.stop_point(batches.read(version)).first()
+    if stop is not None and stop.stop_batch is not None:
+        done = last  # an earlier attempt has stopped; so has this one
     errors, stop_reason, unwritten = [], None, None
     no_batch = (no_product.join(todo, "asin").groupBy("batch_no").agg(F.max("error_text").alias("error_text"))
                 .checkpoint(eager=True))
@@ -456,7 +459,8 @@ def _sync_products(spark: SparkSession, todo: DataFrame, pdocs: DataFrame, no_pr
             stop_reason = f"{WRITE_FAILED}: products to {failed_at}: {why}"
             errors.append(_errors(spark.range(1), version, low, "db", stop_reason))
             break
-        batches.put(judged, version, f"{low:09d}")
+        # What lies behind the stop was never asked for.
+        batches.put(judged.join(upto.select("batch_no").distinct(), "batch_no", "left_semi"), version, f"{low:09d}")
         if stop.stop_batch is not None:
             break
     worked = batches.read(version)

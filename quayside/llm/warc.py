@@ -11,14 +11,18 @@ finished table count, so a lost executor leaves at most unused files.
 
 Reading: a task reads the end of an archive, its end record (the ZIP64 one
 where the fields say so) and its central directory, and yields the stored
-members. The index member gives record ranges, grouped into blocks of
-``BLOCK_BYTES``, so a large archive is read by many tasks. Each block is one
+members. Every index member gives record ranges in the data members it names,
+grouped into blocks of ``BLOCK_BYTES``; blocks are dealt to the tasks,
+``BLOCKS_PER_TASK`` each, so a large archive is read by many. Each block is one
 range read of the shared store, and each record is unpacked on its own.
 
 Cases: a null payload is empty. A null id orders above every id. Rows that
 repeat an id and a payload are records of their own with the same verdict. An
-empty table writes no archive. A member that is compressed by ZIP itself, or a
-damaged directory, raises ``BadArchive``. Other columns are not read.
+empty table writes no archive. A member that is compressed by ZIP itself, a
+damaged directory, a missing index or an index of a member that is not there
+raise ``BadArchive``. Records of other writers need no page id, length or
+SHA-256 digest: the id is then null and the others are taken from the payload.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -44,7 +48,9 @@ from quayside.llm.common import Stager, ship_package
 MIN_PAYLOAD = 100
 ARCHIVE_BYTES = 128 << 20
 BLOCK_BYTES = 8 << 20
-DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+BLOCKS_PER_TASK = 2
+ARCHIVES, INDEXES = "archive/", "indexes/"
+DATA, INDEX = f"{ARCHIVES}data.warc.gz", f"{INDEXES}index.cdxj"
 DATE = "2024-02-01T00:00:00Z"  # records carry the fixed as-of date, so reruns agree
 NO_ID = "null"
 
@@ -254,16 +260,40 @@ def zip64_fields(extra: bytes, packed: int, plain: int, local: int) -> tuple[int
     return packed, plain, local
 
 
-def record_ranges(index: str, data: Member) -> list[tuple[int, int]]:
-    """(offset in the archive, length) of each record that the index names."""
-    found = []
-    for line in index.split("\n"):
-        if line:
-            entry = json.loads(line.split(" ", 2)[2])
-            if entry["offset"] + entry["length"] > data.size:
-                raise BadArchive("the index points past its member")
-            found.append((data.offset + entry["offset"], entry["length"]))
-    return found
+def record_ranges(index: str, members: list[Member]) -> dict[str, list[tuple[int, int]]]:
+    """(offset in the archive, length) of each record that the index names, by the member that holds it."""
+    by_name = {m.name: m for m in members} | {m.name.rpartition("/")[2]: m for m in members if m.name.startswith(ARCHIVES)}
+    found: dict[str, list[tuple[int, int]]] = {}
+    for line in index.splitlines():
+        if not line.strip() or line.startswith("!"):   # a header line of the index format
+            continue
+        entry = json.loads(line.split(" ", 2)[2])
+        offset, length, name = int(entry["offset"]), int(entry["length"]), entry["filename"]
+        if (member := by_name.get(name)) is None:
+            raise BadArchive(f"the index names {name}, which the archive does not hold")
+        if offset + length > member.size:
+            raise BadArchive("the index points past its member")
+        found.setdefault(member.name, []).append((member.offset + offset, length))
+    return {name: sorted(ranges) for name, ranges in found.items()}
+
+
+def archive_blocks(read, size: int, block_bytes: int) -> list[list[tuple[int, int]]]:
+    """Neighbouring records of an archive, by about ``block_bytes``; all its indexes and data members."""
+    members = directory(read, size)
+    indexes = [m for m in members if m.name.startswith(INDEXES) and m.name.endswith((".cdxj", ".cdx"))]
+    if not indexes:
+        raise BadArchive("the archive holds no index")
+    blocks: list[list[tuple[int, int]]] = []
+    for index in indexes:
+        for ranges in record_ranges(read(index.offset, index.size).decode(), members).values():
+            block: list[tuple[int, int]] = []
+            for at, n in ranges:
+                if block and at + n - block[0][0] > block_bytes:
+                    blocks.append(block)
+                    block = []
+                block.append((at, n))
+            blocks.append(block)
+    return blocks
 
 
 def _locate(block_bytes: int):
@@ -272,15 +302,7 @@ def _locate(block_bytes: int):
             for uri in batch.column(0).to_pylist():
                 store, path = open_store(uri)
                 with store.open_input_file(path) as f:
-                    members = {m.name: m for m in directory(lambda at, n: f.read_at(n, at), f.size())}
-                    index = f.read_at(members[INDEX].size, members[INDEX].offset).decode()
-                blocks, block = [], []
-                for at, n in record_ranges(index, members[DATA]):
-                    block.append((at, n))
-                    if at + n - block[0][0] >= block_bytes:
-                        blocks.append(block)
-                        block = []
-                blocks += [block] if block else []
+                    blocks = archive_blocks(lambda at, n: f.read_at(n, at), f.size(), block_bytes)
                 yield pa.record_batch([pa.array([uri] * len(blocks), pa.string()),
                                        pa.array([[a for a, _ in b] for b in blocks], pa.list_(pa.int64())),
                                        pa.array([[n for _, n in b] for b in blocks], pa.list_(pa.int64()))],
@@ -308,12 +330,16 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = []
             for at, n in zip(offsets, lengths):
                 headers, body = parse_record(gzip.decompress(block[at - offsets[0]:at - offsets[0] + n]))
-                digest = headers["warc-payload-digest"].removeprefix("sha256:")
-                revisit = headers["warc-type"] == "revisit"
-                if not revisit and hashlib.sha256(body).hexdigest() != digest:
-                    raise BadArchive(f"the payload of page {headers['page-id']} does not match its digest")
-                rows.append((_number(headers["page-id"]), headers["warc-target-uri"], None if revisit else body,
-                             int(headers["payload-length"]), digest, headers["warc-type"],
+                if headers.get("content-type", "").startswith("application/http"):
+                    body = body.partition(b"\r\n\r\n")[2]   # what follows the HTTP headers
+                revisit = headers.get("warc-type") == "revisit"
+                # Archives of others may name no page, another kind of digest or no length.
+                kind, _, digest = headers.get("warc-payload-digest", "").partition(":")
+                own = None if revisit else hashlib.sha256(body).hexdigest()
+                if kind == "sha256" and len(digest) == 64 and own not in (None, digest.lower()):
+                    raise BadArchive(f"the payload of {headers.get('warc-target-uri')} does not match its digest")
+                rows.append((_number(headers.get("page-id")), headers.get("warc-target-uri"), None if revisit else body,
+                             int(headers.get("payload-length", len(body))), own or digest, headers.get("warc-type"),
                              _number(headers.get("warc-refers-to-page-id"))))
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), _PAGE)], schema=_PAGE)
 
@@ -324,5 +350,6 @@ def read_archives(archives: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFr
     ship_package(spark)
     blocks = Stager(spark)(archives.select("archive").mapInArrow(
         _locate(block_bytes), "archive string, offsets array<bigint>, lengths array<bigint>"), "blocks")
-    # Blocks, not archives, are dealt to the tasks.
-    return blocks.repartition(F.xxhash64("archive", F.element_at("offsets", 1))).mapInArrow(_read, PAGE)
+    # Blocks, not archives, are dealt to the tasks: the number keeps the few small rows from ending up in one.
+    tasks = -(-blocks.count() // BLOCKS_PER_TASK)
+    return blocks.repartition(max(1, tasks)).mapInArrow(_read, PAGE)

@@ -96,3 +96,47 @@ def test_write_and_read(spark):
 def test_no_pages(spark):
     archives = warc.write_archives(spark.createDataFrame([], PAGES))
     assert archives.collect() == [] and warc.read_archives(archives).collect() == []
+
+
+def test_archive_of_another_writer(spark, tmp_path):
+    """Two data members and two indexes with names and fields of their own, ZIP64 entries, HTTP headers."""
+    def rec(kind, url, body, more=""):
+        return gzip.compress((f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Target-URI: {url}\r\n{more}"
+                              f"Content-Length: {len(body)}\r\n\r\n").encode() + body + b"\r\n\r\n")
+
+    http = "Content-Type: application/http; msgtype=response\r\n"
+    one = [rec("warcinfo", "", b"software: x"), rec("response", "http://a/", b"HTTP/1.1 200 OK\r\nX: y\r\n\r\n<p>a</p>", http)]
+    two = [rec("response", "http://b/", b"plain", "WARC-Payload-Digest: sha1:ABC\r\n"), rec("request", "http://b/", b"GET /")]
+    lines = {"one.warc.gz": [], "archive/two.warc.gz": []}
+    for name, records in zip(lines, (one, two)):
+        at = 0
+        for r in records:
+            lines[name].append(f'com,x)/ 2024 {{"offset": "{at}", "length": "{len(r)}", "filename": "{name}"}}')
+            at += len(r)
+    data = zipped({"archive/one.warc.gz": b"".join(one), "archive/two.warc.gz": b"".join(two),
+                   "indexes/a.cdxj": "\n".join(['!meta {"format": "x"}', *lines["one.warc.gz"]]).encode(),
+                   "indexes/b.cdxj": "\n".join(lines["archive/two.warc.gz"]).encode(), "datapackage.json": b"{}"}, force=True)
+    path = tmp_path / "foreign.zip"
+    path.write_bytes(data)
+    archives = spark.createDataFrame([(str(path),)], "archive string")
+    for block_bytes in (1, 10**6):
+        got = warc.read_archives(archives, block_bytes=block_bytes).collect()
+        assert sorted((r.record_type, r.url, bytes(r.payload), r.page_id, r.payload_bytes) for r in got) == [
+            ("request", "http://b/", b"GET /", None, 5), ("response", "http://a/", b"<p>a</p>", None, 8),
+            ("response", "http://b/", b"plain", None, 5), ("warcinfo", "", b"software: x", None, 11)]
+
+
+@pytest.mark.parametrize("index", [None, 'x 1 {"offset": 0, "length": 1, "filename": "gone.warc.gz"}',
+                                   'x 1 {"offset": 0, "length": 99, "filename": "data.warc.gz"}'])
+def test_archives_with_bad_indexes(index):
+    members = {"archive/data.warc.gz": b"d" * 10} | ({} if index is None else {"indexes/i.cdxj": index.encode()})
+    with pytest.raises(warc.BadArchive):
+        warc.archive_blocks(*reader(zipped(members)), 1000)
+
+
+def test_blocks_are_dealt_to_tasks(spark):
+    """Small rows of blocks are not folded into one task."""
+    pages = spark.createDataFrame([(i, "u", f"page {i} " * 50, None) for i in range(400)], PAGES).repartition(2)
+    archives = warc.write_archives(pages)
+    held = warc.read_archives(archives, block_bytes=2_000)
+    assert held.rdd.getNumPartitions() >= 8 and held.count() == 400

@@ -102,6 +102,37 @@ def test_forward_backward_against_enumeration():
         assert np.allclose(got[0, :length], want) and np.allclose(moved.sum(), length - 1)
 
 
+def test_toxicity_marginals_do_not_depend_on_stretches():
+    """Documents of several stretches against one chain each; plain stretches too."""
+    rng = np.random.default_rng(6)
+    sizes = [0, 1, 63, 64, 65, 128, 400, 700, 0]
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    forms = rng.integers(1, 10**6, (first[-1], 5)).astype(np.uint64) * np.uint64(2)
+    keys = np.arange(1, 40, 2, dtype=np.uint64)
+    marked = rng.random(first[-1]) < np.where((np.arange(first[-1]) // 150) % 2, 0.2, 0.0)
+    forms[marked, 0] = rng.choice(keys, marked.sum())
+    moves = np.array([[0.5, -1.0], [-0.7, 0.9]])
+    model = toxicity.Chain(keys, rng.normal(2, 1, len(keys)), -2.0, moves)
+    got = toxicity.token_marginals(model, forms, first)
+    score, _ = model.emissions(forms)
+    for a, b in zip(first, first[1:]):
+        if b > a:
+            want, _ = toxicity.forward_backward(score[None, a:b], np.array([b - a]), moves)
+            assert np.allclose(got[a:b], want[0])
+
+
+def test_toxicity_training_rows_are_bounded(spark):
+    """One text an id, whatever often it comes; bytes a class."""
+    made = [(1, f"text {k}", None, None) for k in range(500)] + [(k, "x" * 100, None, None) for k in range(2, 40)]
+    docs = spark.createDataFrame(made, DOCS)
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(40)] * 2, "doc_id long, quality int, toxic int")
+    rows = toxicity.training_rows(docs, labels, total_bytes=500)
+    assert sum(t.startswith("text") for t, _ in rows) <= 1
+    for y in (0, 1):
+        assert 300 <= sum(len(t) for t, label in rows if label == y) <= 500
+    assert rows == toxicity.training_rows(docs, labels, total_bytes=500)
+
+
 # ---- operator 2
 
 
@@ -143,6 +174,34 @@ def test_quality_rare_language_is_not_its_own_reference(docs):
     assert not row["base_failed"] and not row["kept"]
 
 
+@pytest.mark.parametrize("copies", [1, 40])
+def test_quality_text_and_copies_are_left_out_of_the_reference(docs, copies):
+    """Long junk that is, with its copies, nearly all of its language is not judged by itself."""
+    broken = " ".join(f"#{k}% |{k * 7}$" for k in range(2000))
+    made = [(2 * 10**6 + k, broken, "qq", None) for k in range(copies)]
+    made += [(3 * 10**6 + k, f"kurz {k} und gut", "qq", None) for k in range(30)]
+    judged = quality.judge_quality(docs.drop("row").unionByName(docs.sparkSession.createDataFrame(made, DOCS)))
+    got = judged.where("doc_id BETWEEN 2000000 AND 2999999").collect()
+    assert len(got) == copies and not any(r["base_failed"] or r["kept"] for r in got)
+
+
+def test_quality_distances_match_brute_force(spark):
+    """Distances against Python loops: the language or the pooled counts, without the text and its copies."""
+    rng = np.random.default_rng(5)
+    made = []
+    for k in range(60):
+        vocabulary = [f"{'ab'[k % 2]}w{j}" for j in range(30)]
+        made.append((k, " ".join(rng.choice(vocabulary, 60 + k)), ["xx", "yy", None][k % 3], None))
+    made += [(100 + k, made[0][1], "xx", None) for k in range(3)]
+    got = {r["doc_id"]: r for r in quality.judge_quality(spark.createDataFrame(made, DOCS), min_reference_words=500,
+                                                         min_reference_texts=5).collect()}
+    for i, text, lang, _ in made:
+        for column, split in (("char_distance", brute.char_classes), ("word_distance", brute.words)):
+            want = brute.reference_distance(text, [t for _, t, x, _ in made if lang is None or x == lang], split,
+                                            None if column == "char_distance" else quality.COMMON_WORDS)
+            assert got[i][column] == pytest.approx(want, abs=1e-9), (i, column)
+
+
 # ---- operator 3
 
 
@@ -171,6 +230,21 @@ def test_packing_round_trip(spark, small_dir, docs, rows):
     assert len(short) <= docs.rdd.getNumPartitions()
 
 
+def test_packing_long_white_space(spark):
+    """Runs of white space that the fast library's pattern cannot take."""
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    contract = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = [" " * 2_000_000, "\n" * 2_000_000, "a" + "\t" * 60_000 + "b <|endoftext|> c"]
+    docs = spark.createDataFrame([(k, t, None, None) for k, t in enumerate(texts)], DOCS)
+    held = {}
+    for p in packing.pack_documents(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect():
+        held.setdefault(p["doc_id"], []).append((p["start"], bytes(p["ids"])))
+    for k, text in enumerate(texts):
+        ids = np.frombuffer(b"".join(b for _, b in sorted(held[k])), dtype="<u4")
+        assert ids.tolist() == contract.encode(text, add_special_tokens=False).ids + [packing.END_ID]
+
+
 def test_packing_finds_added_tokens(spark):
     import public_tokenizers as P
     from tokenizers import Tokenizer

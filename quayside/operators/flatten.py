@@ -174,10 +174,15 @@ def identifiers_long(products: DataFrame) -> DataFrame:
 def json_extract_cast(docs: DataFrame, text_col: str = "doc") -> DataFrame:
     """FLT-10: ad-hoc path extraction with casts, for text that is not
     parsed with a schema: ``->>`` is ``get_json_object``; casts are ANSI
-    (a bad value raises)."""
+    (a bad value raises). Text that is not JSON gives NULL in every field,
+    also where a path would match before the fault; a document without
+    items has NULL fields and zero items."""
+    whole = F.try_parse_json(F.col(text_col)).isNotNull()
+
+    def path(p: str):
+        return F.when(whole, F.get_json_object(text_col, p))
+
     return docs.select(*[c for c in docs.columns if c != text_col],
-                       F.get_json_object(text_col, "$.data[0].id").alias("first_id"),
-                       F.get_json_object(text_col, "$.data[0].attributes.title").alias("first_title"),
-                       F.get_json_object(text_col, "$.data[0].attributes.price").cast("decimal(12,2)")
-                       .alias("first_price"),
-                       F.json_array_length(F.get_json_object(text_col, "$.data")).alias("n_items"))
+                       path("$.data[0].id").alias("first_id"), path("$.data[0].attributes.title").alias("first_title"),
+                       path("$.data[0].attributes.price").cast("decimal(12,2)").alias("first_price"),
+                       F.json_array_length(path("$.data")).alias("n_items"))

@@ -99,6 +99,13 @@ def q_drift_rows(spark, sf):
     return drift.drift_rows(s, p, ["asin"])
 
 
+@query("drift_tree", with_views("SELECT * FROM d WHERE drift <> 'same'", "v_status", "v_events", extra=DRIFT_BASE))
+def q_drift_tree(spark, sf):
+    """The same rows, found by comparing digests of key buckets from the root down."""
+    s, p = _status_pair(spark, sf)
+    return drift.drift_tree(s, p, ["asin"])
+
+
 @query("drift_summary", with_views("""
 SELECT CAST(count_if(drift = 'only_staging') AS BIGINT) AS only_staging, CAST(count_if(drift = 'only_production') AS BIGINT) AS only_production,
        CAST(count_if(drift = 'differs') AS BIGINT) AS differs, CAST(count_if(drift = 'same') AS BIGINT) AS same FROM d""",

@@ -22,6 +22,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,7 +58,11 @@ def sync_landed_sales(spark: SparkSession, landing_dir: str, target: Target, nam
     if schema is None:
         try:
             schema = read_live(spark, target, name).schema
-        except Exception:  # no live version, or an empty one with no schema to infer
+        except FileNotFoundError:  # no live version
+            schema = SALES_TABLE
+        except AnalysisException as e:  # an empty one, with no schema to infer; anything else is a failure
+            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
             schema = SALES_TABLE
 
     def apply(batch: DataFrame, batch_id: int) -> None:

@@ -262,3 +262,34 @@ def test_digest_is_cut_at_500_bytes(spark):
         raw = t.encode()
         want = t if len(raw) <= 500 else raw[:500].decode(errors="ignore") + "..."
         assert got[i] == want, i
+
+
+def test_drift_tree_equals_the_join_and_reads_only_differing_leaves(spark):
+    at = dt.datetime(2024, 1, 1, 0, 0, 0, 5)
+    kind = "k string, d date, v int, t timestamp_ntz, x array<string>, b binary"
+    rows = [(f"k{i}", dt.date(2024, 1, 1 + i % 3), i if i % 5 else None, at, [f"a{i}", None], bytes([i % 256])) for i in range(300)]
+    changed = list(rows)
+    changed[7] = (*rows[7][:3], at + dt.timedelta(microseconds=1), *rows[7][4:])
+    changed[20] = (*rows[20][:4], ["a20, null"], rows[20][5])
+    changed[21] = (*rows[21][:5], b"\xff")
+    changed[25] = (*rows[25][:2], 25, *rows[25][3:])
+    changed[30] = ("new", *rows[30][1:])
+    s, p = spark.createDataFrame(rows, kind), spark.createDataFrame(changed, kind)
+    keys = ["k", "d"]
+    want = sorted(map(tuple, drift.drift_rows(s, p, keys).collect()))
+    assert len(want) == 6 and sorted(map(tuple, drift.drift_tree(s, p, keys).collect())) == want
+    assert len(drift.differing_leaves(s, p, keys)) == 6
+    # Order, partitions and a column of NULLs make no difference.
+    assert drift.differing_leaves(s, s.repartition(7).withColumn("extra", F.lit(None).cast("int")), keys) == []
+    assert drift.drift_tree(s, s, keys).collect() == []
+    # A row twice is a difference although it cancels in an exclusive or.
+    assert drift.differing_leaves(s, s.unionByName(s.limit(1)).unionByName(s.limit(1)), keys)
+    assert drift.drift_tree(s.limit(0), s.limit(0), keys).collect() == []
+
+
+def test_json_extract_of_odd_documents(spark):
+    from quayside.operators.flatten import json_extract_cast
+    texts = [None, "", "{broken", '{"data":[{"id":"a"}],}', "[]", '{"data":[]}', '{"data":[{"id":"us/a"}]}']
+    got = {r.i: tuple(r)[1:] for r in json_extract_cast(spark.createDataFrame(list(enumerate(texts)), "i int, doc string")).collect()}
+    none = (None, None, None, None)
+    assert got == {0: none, 1: none, 2: none, 3: none, 4: none, 5: (None, None, None, 0), 6: ("us/a", None, None, 1)}

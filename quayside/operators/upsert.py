@@ -17,7 +17,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quayside.functions.dates import ts_lit
@@ -165,6 +165,15 @@ def upsert_counts(merged: DataFrame, by: list[str] | None = None) -> DataFrame:
     return merged.groupBy(*(by or [])).agg(*aggs)
 
 
+def observed_counts(merged: DataFrame) -> tuple[DataFrame, Observation]:
+    """AGG-10 without a plan of its own: the merged rows, ready to write, and an observation that has their
+    ``inserted`` and ``updated`` counts once the first write of them is done."""
+    seen = Observation()
+    counted = merged.observe(seen, F.count_if(F.col("action") == INSERTED).alias("inserted"),
+                             F.count_if(F.col("action") == UPDATED).alias("updated"))
+    return counted.drop("action"), seen
+
+
 def key_hits(target: DataFrame, source: DataFrame, keys: list[str], partition_by: list[str] | None = None,
              ) -> DataFrame:
     """One row per distinct source key with ``hit`` = the key is already in

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions import keys, text
 from quayside.operators.grouped import grouped_report
+from quayside.operators.unique_keys import unique_keys
 from quayside.plans.q_flatten import _flat
 from quayside.plans.registry import query
 from quayside.sources import standin_docs as D
@@ -30,6 +31,17 @@ def q_surrogate_key_32(spark, sf):
     return p.select(a.alias("asin"), keys.surrogate_key_32(a).alias("row_key"))
 
 
+@query("surrogate_key_unique", f"""
+SELECT count(*) AS n_keys, count(*) AS n_values, count(DISTINCT {keys.encoded_sql(A, 3)}) AS n_first_draws FROM part""")
+def q_surrogate_key_unique(spark, sf):
+    """Three-character keys, which collide: every key gets a value of its own, and as many keep their first draw as
+    there are different first draws."""
+    a = read_table(spark, sf, "part").select(asin_of(F.col("p_partkey")).alias("asin"))
+    made = unique_keys(a, "asin", "row_key", lambda k: keys.encoded(k, 3))
+    return made.agg(F.count(F.lit(1)).alias("n_keys"), F.count_distinct("row_key").alias("n_values"),
+                    F.count_if(F.col("row_key") == keys.encoded(F.col("asin"), 3)).alias("n_first_draws"))
+
+
 AFF = "substr(concat('affiliate', CAST(l_suppkey AS VARCHAR)), 1, 10)"
 ASN = "concat('B', lpad(CAST(l_partkey AS VARCHAR), 9, '0'))"
 SRC = "CAST(l_linenumber AS VARCHAR)"

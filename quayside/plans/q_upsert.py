@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from quayside.functions.dates import ts_lit
 from quayside.operators import upsert as ups
 from quayside.plans.registry import query
+from quayside.session import ensure_checkpoint_dir
+from quayside.sinks.publish import Target, publish_one
 from quayside.sources import standins as S
 from quayside.sources.standins import AS_OF, with_views
 
@@ -55,6 +58,17 @@ def q_upsert_counts(spark, sf):
     return ups.upsert_counts(merged_sales(spark, sf))
 
 
+@query("publish_counts", with_views(
+    "SELECT CAST(count_if(action = 'inserted') AS BIGINT) AS inserted, CAST(count_if(action = 'updated') AS BIGINT) AS updated FROM m",
+    "v_sales", "v_sales_new", extra={"tgt": SALES_TARGET_SQL, "m": UPSERT_SALES_SQL}))
+def q_publish_counts(spark, sf):
+    """The same counts, observed while the merged table is published."""
+    staging = Target(f"{ensure_checkpoint_dir(spark).rstrip('/')}/counts-{uuid.uuid4().hex[:12]}", "dev_")
+    rows, seen = ups.observed_counts(merged_sales(spark, sf))
+    publish_one(rows, staging, "sales", "v1", partition_by="date")
+    return spark.createDataFrame([(seen.get["inserted"], seen.get["updated"])], "inserted long, updated long")
+
+
 KW = ["id", "country", "name", "monthly_search_volume_exact", "ease_of_ranking_score", "doc_id"]
 
 

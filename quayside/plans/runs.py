@@ -32,7 +32,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.dates import ts_lit
@@ -289,8 +289,8 @@ def incremental_run(spark: SparkSession, catalog: DataFrame, product_docs: DataF
     # Products: staging then production; the snapshot table is partitioned
     # by report_date, and only today's partition is rewritten.
     prod_live = read_live(spark, targets.staging, PRODUCT_TABLE, products.drop(flt.SEQ).schema)
-    merged = ups.upsert_products(prod_live, products, as_of, partition_by=["report_date"], seq=flt.SEQ,
-                                 touched_only=True).drop("action")
+    merged, product_counts = ups.observed_counts(
+        ups.upsert_products(prod_live, products, as_of, partition_by=["report_date"], seq=flt.SEQ, touched_only=True))
     failed_at, why = _failed_write(
         _publish_table(merged, PRODUCT_TABLE, version, targets, "incremental", partition_by="report_date",
                        merge_partitions=True, on_error="log"), targets)
@@ -319,9 +319,10 @@ def incremental_run(spark: SparkSession, catalog: DataFrame, product_docs: DataF
               .drop("start_date", "end_date", "is_empty_window")
               .checkpoint(eager=True))  # the run's keys only; reused three times
     sales_live = read_live(spark, targets.staging, SALES, SALES_TABLE)
-    sales_merged = ups.upsert_sales(sales_live, points, as_of, partition_by=["date"], seq=flt.SEQ, touched_only=True)
+    sales_merged, sales_counts = ups.observed_counts(
+        ups.upsert_sales(sales_live, points, as_of, partition_by=["date"], seq=flt.SEQ, touched_only=True))
     sales_failed_at, sales_why = _failed_write(
-        _publish_table(sales_merged.drop("action"), SALES, version, targets, "incremental", partition_by="date",
+        _publish_table(sales_merged, SALES, version, targets, "incremental", partition_by="date",
                        merge_partitions=True, on_error="log"), targets)
     stopped = sales_failed_at is not None
     with_sales = points.select("asin").distinct()
@@ -363,16 +364,23 @@ def incremental_run(spark: SparkSession, catalog: DataFrame, product_docs: DataF
     out = spark.createDataFrame([(version, processed, row["new_asins"], row["stale_asins"], row["product_ok"],
                                   failed, row["sales_ok"], row["calls"], row["cleaned_up"], row["added"],
                                   row["rejected_points"], row["rejected_documents"],
-                                  row["product_ok"] - row["sales_ok"], *digest, stopped)],
+                                  row["product_ok"] - row["sales_ok"], *digest, stopped,
+                                  *_written(product_counts, failed_at), *_written(sales_counts, sales_failed_at))],
                                 "version string, processed long, new_asins long, stale_asins long, product_ok long, "
                                 "failed long, sales_ok long, calls long, cleaned_up long, added long, "
                                 "rejected_points long, rejected_documents long, sales_failed long, db_errors long, "
-                                "api_errors long, parse_errors long, other_errors long, sample_text string, stopped boolean")
+                                "api_errors long, parse_errors long, other_errors long, sample_text string, stopped boolean, "
+                                "products_inserted long, products_updated long, sales_inserted long, sales_updated long")
     total = F.col("db_errors") + F.col("api_errors") + F.col("parse_errors") + F.col("other_errors")
     return out.select("*", report.run_class_hourly(F.col("stopped"), F.col("failed"), total).alias("run_class"),
                       report.run_verdict(F.col("stopped"), F.col("failed"), F.col("product_ok")).alias("verdict"))
 
 
+def _written(counts: Observation, failed_at: str | None) -> tuple[int, int]:
+    """Inserted and updated rows of a publish on staging, counted by its write; none if that failed."""
+    return (0, 0) if failed_at == "staging" else (counts.get["inserted"], counts.get["updated"])
+
+
 def _hourly_errors(errors: DataFrame, run: str) -> tuple:
     """Counts by kind and the digest of the first messages (AGG-12, RPT-4) of one run."""
     summary = report.error_summary(errors)

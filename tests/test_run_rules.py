@@ -73,6 +73,7 @@ def test_incremental_outcomes(spark):
     assert (s.processed, s.product_ok, s.failed, s.sales_ok, s.sales_failed) == (6, 5, 1, 1, 4)
     # One for the keys not found, two sales requests, one response without items.
     assert (s.db_errors, s.api_errors, s.parse_errors, s.run_class, s.stopped) == (0, 4, 0, "yellow", False)
+    assert (s.products_inserted, s.products_updated, s.sales_inserted, s.sales_updated) == (5, 0, 1, 0)
     assert s.sample_text.startswith("1 keys not found")
     assert publish.live_paths(spark, t.production, STATUS) == []
 

@@ -51,7 +51,6 @@ def break_table(monkeypatch, prefix, name):
             raise OSError(f"{prefix}{name} is read-only")
         return real(df, target, table, *args, **kwargs)
     monkeypatch.setattr(publish, "write_version", write)
-    monkeypatch.setattr(publish.time, "sleep", lambda s: None)
 
 
 def test_incremental_outcomes(spark):

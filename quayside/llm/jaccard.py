@@ -31,7 +31,7 @@ Cases: a null or empty text has no n-gram and links with nothing. A text with
 fewer words than an n-gram has its whole sequence as one. Rows that repeat an
 id are documents of their own. A component whose ids are all null has a null
 component id. An empty table gives an empty result. Other columns are not read.
-N-grams are compared by 64-bit hashes, and equal sets by 128 bits.
+N-grams are compared by 64-bit hashes, and so are whole sets: equal hashes count as equal sets.
 """
 
 from __future__ import annotations

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from quayside.plans.runs import RunTargets, full_run, incremental_run
 from quayside.session import prepare
+from quayside.sinks import sales_layout
 from quayside.sinks.publish import Target
 
 
@@ -46,6 +47,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--as-of", required=True, help="run time, ISO format")
     ap.add_argument("--version", required=True, help="id of this run; repeating it is safe")
     ap.add_argument("--marketplace", default="us")
+    ap.add_argument("--sales-buckets", type=int, default=sales_layout.BUCKETS, help="key buckets of the sales table")
     ap.add_argument("--sync-mode", default="fresh")
     ap.add_argument("--force-resync", action="store_true")
     ap.add_argument("--date-range", default="1month")
@@ -54,7 +56,7 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = prepare(SparkSession.builder.appName(f"quayside-{a.mode}").getOrCreate())
     as_of = dt.datetime.fromisoformat(a.as_of)
-    targets = RunTargets(Target(a.root, a.staging_prefix), Target(a.root, a.production_prefix))
+    targets = RunTargets(Target(a.root, a.staging_prefix), Target(a.root, a.production_prefix), a.sales_buckets)
     catalog = spark.read.parquet(a.catalog)
     pdocs, sdocs = landed_lines(spark, a.product_docs), landed_lines(spark, a.sales_docs)
     if a.mode == "incremental":

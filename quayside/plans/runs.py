@@ -41,9 +41,9 @@ from quayside.operators import flatten as flt
 from quayside.operators import report, select as sel, status as st, upsert as ups
 from quayside.operators.validate import split_valid_rows
 from quayside.plans import windows
-from quayside.schemas import SALES_REQUIRED, SALES_TABLE, STATUS_TABLE, USAGE_TABLE
+from quayside.schemas import SALES_REQUIRED, STATUS_TABLE, USAGE_TABLE
 from quayside.session import ensure_checkpoint_dir
-from quayside.sinks import call_log, run_log
+from quayside.sinks import call_log, run_log, sales_layout
 from quayside.sinks.publish import RUN_TARGETS, Target, live_pointer, publish, read_live
 from quayside.sources import ledger, payloads
 
@@ -87,6 +87,7 @@ OUTCOMES = {
 class RunTargets:
     staging: Target
     production: Target
+    sales_buckets: int = sales_layout.BUCKETS
 
 
 def _publish_table(df: DataFrame, name: str, version: str, targets: RunTargets, mode: str,
@@ -217,6 +218,21 @@ def _failed_write(report_rows: DataFrame, targets: RunTargets) -> tuple[str | No
     return None, None
 
 
+def _write_sales(points: DataFrame, targets: RunTargets, mode: str, version: str,
+                 as_of: dt.datetime) -> tuple[str | None, str | None, tuple[int, int]]:
+    """Merge the run's (checkpointed) points into both targets: (target that failed, its error, rows inserted and
+    updated). Only the folders of the run's keys and months are read and written; without points nothing is."""
+    if points.isEmpty():
+        return None, None, (0, 0)
+    live, dealt, by_folder = sales_layout.merge_input(points.sparkSession, [targets.staging, targets.production], SALES,
+                                                      points, targets.sales_buckets)
+    merged, counts = ups.observed_counts(ups.upsert_sales(live, dealt, as_of, seq=flt.SEQ))
+    failed_at, why = _failed_write(
+        _publish_table(merged, SALES, version, targets, mode, partition_by=sales_layout.PART, merge_partitions=by_folder,
+                       on_error="log"), targets)
+    return failed_at, why, _written(counts, failed_at)
+
+
 def _new_documents(docs: DataFrame, log: run_log.RunLog, source: str, version: str) -> DataFrame:
     """Parsed documents that no earlier run has handled; checkpointed, since every later step reads them."""
     read = payloads.read_product_payloads if source == "product" else payloads.read_sales_payloads
@@ -318,12 +334,7 @@ def incremental_run(spark: SparkSession, catalog: DataFrame, product_docs: DataF
               .filter(F.col("date").between(F.col("start_date"), F.col("end_date")))
               .drop("start_date", "end_date", "is_empty_window")
               .checkpoint(eager=True))  # the run's keys only; reused three times
-    sales_live = read_live(spark, targets.staging, SALES, SALES_TABLE)
-    sales_merged, sales_counts = ups.observed_counts(
-        ups.upsert_sales(sales_live, points, as_of, partition_by=["date"], seq=flt.SEQ, touched_only=True))
-    sales_failed_at, sales_why = _failed_write(
-        _publish_table(sales_merged, SALES, version, targets, "incremental", partition_by="date",
-                       merge_partitions=True, on_error="log"), targets)
+    sales_failed_at, sales_why, sales_counts = _write_sales(points, targets, "incremental", version, as_of)
     stopped = sales_failed_at is not None
     with_sales = points.select("asin").distinct()
     with_sales = with_sales.limit(0) if stopped else with_sales
@@ -365,7 +376,7 @@ def incremental_run(spark: SparkSession, catalog: DataFrame, product_docs: DataF
                                   failed, row["sales_ok"], row["calls"], row["cleaned_up"], row["added"],
                                   row["rejected_points"], row["rejected_documents"],
                                   row["product_ok"] - row["sales_ok"], *digest, stopped,
-                                  *_written(product_counts, failed_at), *_written(sales_counts, sales_failed_at))],
+                                  *_written(product_counts, failed_at), *sales_counts)],
                                 "version string, processed long, new_asins long, stale_asins long, product_ok long, "
                                 "failed long, sales_ok long, calls long, cleaned_up long, added long, "
                                 "rejected_points long, rejected_documents long, sales_failed long, db_errors long, "
@@ -530,11 +541,7 @@ def full_run(spark: SparkSession, catalog: DataFrame, product_docs: DataFrame, s
               .filter(F.col("date").between(F.col("start_date"), F.col("end_date")))
               .drop("start_date", "end_date", "date_range")
               .checkpoint(eager=True))
-    sales_live = read_live(spark, targets.staging, SALES, SALES_TABLE)
-    sales_merged = ups.upsert_sales(sales_live, points, as_of, partition_by=["date"], seq=flt.SEQ, touched_only=True)
-    failed_at, why = _failed_write(
-        _publish_table(sales_merged.drop("action"), SALES, version, targets, "full", partition_by="date",
-                       merge_partitions=True, on_error="log"), targets)
+    failed_at, why, _ = _write_sales(points, targets, "full", version, as_of)
     written = points.select("asin").distinct()
     with_sales = written.limit(0) if failed_at else written
     with_item, empty = _answered(sdocs, asked)

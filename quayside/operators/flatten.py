@@ -116,8 +116,8 @@ def flatten_sales(docs: DataFrame, marketplace: str | None = None, first_item_on
                        F.col("p.last_known_price").alias("last_known_price"), *seq)
 
 
-def flatten_keywords(docs: DataFrame) -> DataFrame:
-    """FLT-3: keyword items -> 30 columns (metrics as declared decimals)."""
+def flatten_keywords(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """FLT-3: keyword items -> 30 columns (metrics as declared decimals). ``order`` as in :func:`flatten_products`."""
     a = "item.attributes"
     cols = [F.col("item.id").alias("id"), F.col("item.type").alias("type")]
     for c in ("country", "name", "primary_asin"):
@@ -127,7 +127,9 @@ def flatten_keywords(docs: DataFrame) -> DataFrame:
     rest["updated_at"] = lenient_timestamp(F.col(f"{a}.updated_at"))
     from quayside.schemas import KEYWORD_COLUMNS
     cols += [rest[c].alias(c) for c in KEYWORD_COLUMNS[5:]]
-    return items(docs).select(*cols)
+    if order is not None:
+        cols.append(F.struct(*order, "pos").alias(SEQ))
+    return items(docs, order).select(*cols)
 
 
 def nested_to_json(df: DataFrame, columns=NESTED_ATTRIBUTES) -> DataFrame:

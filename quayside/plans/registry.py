@@ -45,4 +45,5 @@ def load_all() -> None:
         importlib.import_module(f"quayside.plans.{m}")
 
 
-MODULES = ["q_select", "q_aggregate", "q_upsert", "q_flatten", "q_status", "q_report", "q_runs", "q_publish", "q_stream", "q_keys"]
+MODULES = ["q_select", "q_aggregate", "q_upsert", "q_flatten", "q_status", "q_report", "q_runs", "q_publish", "q_stream", "q_keys",
+           "q_adhoc"]

@@ -260,6 +260,7 @@ RUN_TARGETS = {
     "full": {"product_data": ("staging", "production"), "sales_estimate_data": ("staging", "production"),
              "sync_status": ("staging", "production"), "api_usage": ("staging", "production"),
              "run_rejects": ("staging",)},
+    "adhoc": {"product_data": ("staging", "production"), "sales_estimate_data": ("staging", "production")},
 }
 
 

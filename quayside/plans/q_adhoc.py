@@ -93,11 +93,12 @@ FROM (SELECT k AS request_id, s.*, n, k % 50 = 7 AS empty, k % 23 = 0 AND k % 50
 def q_adhoc_sales(spark, sf):
     """A request per product over the days its items were returned; responses with a bad point are stored on no target."""
     root = _root(spark, "adhoc-sales")
-    targets = RunTargets(Target(root, "dev_"), Target(root, "prod_"))
+    targets = RunTargets(Target(root, "dev_"), Target(root, "prod_"), sales_buckets=2)
     docs = D.sales_documents(spark, sf)
     good = payloads.good_documents(payloads.read_sales_payloads(docs))
     rows = sales_layout.with_part(with_defaults(
-        flt.flatten_sales(good, marketplace="us", first_item_only=True).where("date IS NOT NULL"), SALES, AS_OF))
+        flt.flatten_sales(good, marketplace="us", first_item_only=True).where("date IS NOT NULL"), SALES, AS_OF),
+        targets.sales_buckets)
     for t, digits in ((targets.staging, ON_STAGING), (targets.production, ON_PRODUCTION)):
         publish_one(rows.where(_held(digits)), t, SALES, "0", partition_by=sales_layout.PART)
     text = [F.date_format(c, "yyyy-MM-dd").alias(c) for c in ("start_date", "end_date")]

@@ -4,7 +4,7 @@ A run brings some keys and some months. With folders by day, one new key
 rewrites a year of every key's rows; with folders by bucket and month it
 rewrites that key's bucket alone, and only the months it has points for. The
 folder's name is ``<buckets>.<bucket>.<month>``, for example
-``016.003.2024-01``, so a table says itself how it was dealt.
+``004.003.2024-01``, so a table says itself how it was dealt.
 
 The folders a merge touches are found by a join: the run's points give their
 folders (one row per folder at most), and dynamic partition pruning keeps the
@@ -23,7 +23,7 @@ from quayside.sinks.publish import Target, live_pointer, read_live
 PART = "part"
 # For small tables. Choose it so that a bucket's month is a file of good size (a million keys a bucket, say) and a run's
 # keys fall into few of the buckets; another number deals the table anew at its next write.
-BUCKETS = 16
+BUCKETS = 4
 SCHEMA = T.StructType(SALES_TABLE.fields + [T.StructField(PART, T.StringType())])
 
 

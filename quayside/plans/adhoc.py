@@ -37,26 +37,32 @@ def _blank(c: str) -> Column:
     return F.col(c).isNull() | (F.col(c) == "")
 
 
+def _shuffled(side: DataFrame) -> DataFrame:
+    """A side of a join that grows with the requests. Its size is guessed from compressed files, often far too low, and
+    without the hint it (or the documents' text on the other side) may be broadcast, through the driver's memory."""
+    return side.hint("merge")
+
+
 def _parsed(requests: DataFrame, responses: DataFrame, read, *carried: str) -> DataFrame:
     """The accepted requests' responses, parsed once, with the request's columns named."""
     accepted = requests.where("rejected IS NULL").select("request_id", *carried)
-    return read(responses.select("request_id", "doc").join(accepted, "request_id")).checkpoint(eager=True)
+    return read(responses.select("request_id", "doc").join(_shuffled(accepted), "request_id")).checkpoint(eager=True)
 
 
 def _write_counts(rows: DataFrame, stored: DataFrame, keys: list[str], target: str) -> DataFrame:
     """Inserted and updated rows per request: a row inserts if its key is not stored and no earlier row brings it."""
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(flt.SEQ))
     marked = (rows.withColumn("first", place == 1)
-              .join(stored.select(*keys).distinct().withColumn("there", F.lit(True)), keys, "left"))
+              .join(_shuffled(stored.select(*keys).distinct().withColumn("there", F.lit(True))), keys, "left"))
     new = F.col("first") & F.col("there").isNull()
     return marked.groupBy("request_id").agg(F.count_if(new).alias(f"{target}_{ups.INSERTED}"),
                                             F.count_if(~new).alias(f"{target}_{ups.UPDATED}"))
 
 
 def _answers(requests: DataFrame, documents: DataFrame, counts: list[DataFrame], failed_at: str | None) -> DataFrame:
-    out = requests.join(documents, "request_id", "left")
+    out = requests.join(_shuffled(documents), "request_id", "left")
     for c in counts:
-        out = out.join(c, "request_id", "left")
+        out = out.join(_shuffled(c), "request_id", "left")
     outcome = F.coalesce(F.col("rejected"), F.col("outcome"), F.lit("no_response"))
     if failed_at:
         outcome = F.when(outcome == "ok", F.lit(f"{failed_at}_failed")).otherwise(outcome)
@@ -116,14 +122,14 @@ def sync_sales(requests: DataFrame, responses: DataFrame, targets: RunTargets, a
     rows = (flt.flatten_sales(payloads.good_documents(parsed), marketplace="", first_item_only=True, order=order)
             .withColumns({c: F.col(f"{flt.SEQ}._doc.{c}") for c in order}).checkpoint(eager=True))
     bad = rows.where(F.col("date").isNull()).select("request_id").distinct().withColumn("bad", F.lit(True))
-    points = rows.join(bad, "request_id", "left_anti").where(F.col("asin").isNotNull()).checkpoint(eager=True)
+    points = rows.join(_shuffled(bad), "request_id", "left_anti").where(F.col("asin").isNotNull()).checkpoint(eager=True)
     counts = [_write_counts(points, read_live(points.sparkSession, target, SALES, SALES_TABLE), ups.SALES_KEYS, name)
               .checkpoint(eager=True) for name, target in _sides(targets)]
     failed_at, _, _ = _write_sales(points.drop("request_id"), targets, "adhoc", version, as_of)
     documents = payloads.document_summary(parsed).groupBy("request_id").agg(
         F.coalesce(F.max(F.when(F.col("outcome") != "ok", F.col("outcome"))), F.lit("ok")).alias("outcome"))
     total = rows.groupBy("request_id").agg(F.count(F.lit(1)).alias("total_records"))
-    documents = (documents.join(total, "request_id", "left").join(bad, "request_id", "left")
+    documents = (documents.join(_shuffled(total), "request_id", "left").join(_shuffled(bad), "request_id", "left")
                  .withColumn("outcome", F.when(F.col("bad"), "bad_point").otherwise(F.col("outcome"))).drop("bad"))
     return _answers(asked, documents, counts, failed_at).select(
         "request_id", "asin", "marketplace", "start_date", "end_date", "date_range_adjusted", "original_start_date", "outcome",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions import dates, ids, keys
 from quayside.functions.sql import register_sql_functions
+from quayside.operators import flatten as flt
 from quayside.plans import adhoc, keyword_load
 from quayside.plans.runs import PRODUCT_TABLE, SALES, RunTargets
 from quayside.schemas import SALES_TABLE
@@ -177,3 +178,16 @@ def test_sql_functions_equal_the_expressions(spark):
                      keys.surrogate_key(F.col("id"), "pp", 0), keys.surrogate_key(F.col("id"), "x", 45))
     assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
     assert "PythonUDF" not in got._jdf.queryExecution().toString()
+
+
+def test_joins_that_grow_with_the_requests_are_shuffled(spark):
+    """The documents' text or the keys of a target, broadcast, would go through the driver's memory whole."""
+    requests = spark.createDataFrame([(1, None)], "request_id long, rejected string")
+    responses = spark.createDataFrame([(1, "{}")], "request_id long, doc string")
+    seen = []
+    adhoc._parsed(requests, responses, lambda docs: seen.append(docs) or docs)
+    rows = spark.createDataFrame([(1, "B1", 1), (2, "B1", 2), (2, "B2", 3)], f"request_id long, asin string, {flt.SEQ} long")
+    counts = adhoc._write_counts(rows, rows.where("asin = 'B2'"), ["asin"], "staging")
+    assert {tuple(r) for r in counts.collect()} == {(1, 1, 0), (2, 0, 2)}
+    for df in (*seen, counts):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()

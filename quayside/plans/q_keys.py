@@ -35,9 +35,9 @@ def q_surrogate_key_32(spark, sf):
 SELECT count(*) AS n_keys, count(*) AS n_values, count(DISTINCT {keys.encoded_sql(A, 3)}) AS n_first_draws FROM part""")
 def q_surrogate_key_unique(spark, sf):
     """Three-character keys, which collide: every key gets a value of its own, and as many keep their first draw as
-    there are different first draws."""
+    there are different first draws. There are 62^3 such keys; where that is too few, the rest gets longer ones."""
     a = read_table(spark, sf, "part").select(asin_of(F.col("p_partkey")).alias("asin"))
-    made = unique_keys(a, "asin", "row_key", lambda k: keys.encoded(k, 3))
+    made = unique_keys(a, "asin", "row_key", lambda k: keys.encoded(k, 3), longer=lambda k, n: keys.encoded(k, 3 + n))
     return made.agg(F.count(F.lit(1)).alias("n_keys"), F.count_distinct("row_key").alias("n_values"),
                     F.count_if(F.col("row_key") == keys.encoded(F.col("asin"), 3)).alias("n_first_draws"))
 

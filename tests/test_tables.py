@@ -57,6 +57,22 @@ def test_unique_keys_full_space(spark, monkeypatch):
     assert unique_keys(natural(spark, ["a"]).limit(0), "k", "v", lambda k: F.lit("x")).collect() == []
 
 
+def test_unique_keys_more_keys_than_values(spark, monkeypatch):
+    """200 keys and 62 values of one character: those are all dealt first, the rest gets longer ones."""
+    from quayside.operators import unique_keys as module
+    monkeypatch.setattr(module, "CROWD", 10)
+    names = [f"n{i}" for i in range(200)]
+    first = {n: v for n, v in natural(spark, names).select("k", keys.encoded(F.col("k"), 1)).collect()}
+
+    def table(order):
+        return drawn(unique_keys(natural(spark, order), "k", "v", lambda k: keys.encoded(k, 1),
+                                 longer=lambda k, n: keys.encoded(k, 1 + n)))
+    got = table(names)
+    assert sorted(got) == sorted(names) and len(set(got.values())) == 200
+    assert sum(got[n] == first[n] for n in names) == len(set(first.values()))
+    assert table(names[::-1]) == got
+
+
 def test_defaults_are_those_of_an_insert(spark):
     at = dt.datetime(2024, 2, 1)
     rows = spark.createDataFrame([("B1", dt.date(2024, 1, 1), 5, 1.5), ("B2", None, None, None)],

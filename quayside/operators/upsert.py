@@ -64,6 +64,20 @@ def prepare_source(source: DataFrame, keys: list[str], seq: str | None = None,
     return src.drop(seq) if seq and seq in src.columns else src
 
 
+ROWS_PER_TASK = 250_000
+
+
+def dealt_by_key(staged: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``staged`` (checkpointed: it is counted here) by key, in as many tasks as its rows need.
+
+    Without this a task's share is set by compressed bytes, which say little
+    about the memory that sorting and grouping its rows takes: short keys that
+    follow one another compress very well. Rows of one key share a task; it
+    sorts them on disk if they are many."""
+    tasks = max(1, -(-staged.count() // rows_per_task))
+    return staged.repartition(tasks, *[F.col(k) for k in keys])
+
+
 def _all(conds: list[Column]) -> Column:
     out = conds[0]
     for c in conds[1:]:

@@ -91,13 +91,10 @@ def q_insert_ignore_keywords(spark, sf):
 def q_upsert_sales_last_wins(spark, sf):
     """Every key three times in one batch: two larger values first, the
     fresh row last. The last row of the sequence wins, not the greatest."""
-    fresh = S.sales_new(spark, sf)
-    batch = None
-    for seq in (1, 2, 3):
-        more = (3 - seq) * 1000
-        part = fresh.withColumns({"estimated_units_sold": F.col("estimated_units_sold") + more, "seq": F.lit(seq)})
-        batch = part if batch is None else batch.unionByName(part)
-    batch = batch.withColumn("estimated_units_sold", F.col("estimated_units_sold").cast("int"))
+    ensure_checkpoint_dir(spark)
+    fresh = ups.dealt_by_key(S.sales_new(spark, sf).checkpoint(eager=True), ups.SALES_KEYS)
+    batch = (fresh.withColumn("seq", F.explode(F.array(*[F.lit(seq) for seq in (1, 2, 3)])))
+             .withColumn("estimated_units_sold", (F.col("estimated_units_sold") + (3 - F.col("seq")) * 1000).cast("int")))
     return ups.upsert_sales(sales_target(spark, sf), batch, AS_OF, partition_by=["date"], seq="seq")
 
 

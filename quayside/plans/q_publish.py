@@ -47,9 +47,10 @@ def _publish_twice(spark, sf, versions):
     staging, production = _targets(spark)
     stored = sales_target(spark, sf)
     publish.publish(stored, "sales", "v0001", staging, production, partition_by="date")
+    fresh = S.sales_new(spark, sf).checkpoint(eager=True)  # every merge reads it twice
     for version in versions:
         live = publish.read_live(spark, staging, "sales").select(*stored.columns)
-        touched = ups.upsert_sales(live, S.sales_new(spark, sf), AS_OF, partition_by=["date"], touched_only=True,
+        touched = ups.upsert_sales(live, fresh, AS_OF, partition_by=["date"], touched_only=True,
                                    on_duplicate="unique").drop("action")
         publish.publish(touched, "sales", version, staging, production, partition_by="date", merge_partitions=True)
     return publish.read_live(spark, production, "sales").select(*stored.columns)

@@ -37,7 +37,7 @@ def q_stream_landed_sales(spark, sf):
     root = _scratch(spark, "landed")
     target = Target(root, "dev_")
     publish_one(sales_target(spark, sf), target, "sales", "a000000000000", partition_by="date")
-    docs = D.sales_documents(spark, sf)
+    docs = D.sales_documents(spark, sf).checkpoint(eager=True)  # written in two parts
     landing = f"{root}/landing"
     for parity in (0, 1):
         (docs.filter(F.col("doc_id") % 2 == parity).select("doc")

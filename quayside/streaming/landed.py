@@ -66,9 +66,10 @@ def sync_landed_sales(spark: SparkSession, landing_dir: str, target: Target, nam
             schema = SALES_TABLE
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        # Parsed once: the checkpoint is read by the upsert and by the rejects.
+        # Parsed and flattened once: the checkpoints are read by the upsert (its folders, its rows) and by the rejects.
         docs = batch.withColumn("line", F.monotonically_increasing_id()).checkpoint(eager=True)
         rows = flatten_sales(payloads.good_documents(docs), marketplace=marketplace, first_item_only=True, order=ORDER)
+        rows = rows.checkpoint(eager=True)
         rows, rejected = split_valid_rows(rows, NOT_NULL)
         live = read_live(spark, target, name, schema)
         merged = upsert_sales(live, rows, as_of, partition_by=[partition_by], seq=SEQ, touched_only=True)

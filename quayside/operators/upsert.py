@@ -189,15 +189,20 @@ def observed_counts(merged: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def key_hits(target: DataFrame, source: DataFrame, keys: list[str], partition_by: list[str] | None = None,
-             ) -> DataFrame:
+             hits: dict[str, Column] | None = None) -> DataFrame:
     """One row per distinct source key with ``hit`` = the key is already in
     the target: what an upsert would count as updated (hit) or inserted (no
     hit), without computing the merged table. Only key columns are read, and
-    only the touched partitions of the target."""
+    only the touched partitions of the target.
+
+    ``hits`` (name -> condition on target rows) asks for several targets that
+    are parts of one table in one pass over it: one flag per name, true where
+    a row of that part has the key."""
+    hits = hits or {"hit": F.lit(True)}
     src = prepare_source(source.select(*keys), keys, on_duplicate="unique").distinct()
     t = split_touched(target, src, partition_by)[0] if partition_by else target
-    return src.join(t.select(*keys).distinct().withColumn("hit", F.lit(True)), keys, "left") \
-        .select(*keys, F.coalesce(F.col("hit"), F.lit(False)).alias("hit"))
+    found = t.groupBy(*keys).agg(*[F.bool_or(F.coalesce(c, F.lit(False))).alias(n) for n, c in hits.items()])
+    return src.join(found, keys, "left").select(*keys, *[F.coalesce(F.col(n), F.lit(False)).alias(n) for n in hits])
 
 
 def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str], seq: str | None = None,

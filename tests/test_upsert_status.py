@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators import batches, status as st, upsert as ups
 from quayside.schemas import STATUS_TABLE
+from quayside.sources import standins
 from quayside.testing import assert_unique
 
 AS_OF = dt.datetime(2024, 2, 1)
@@ -215,6 +216,29 @@ def test_key_hits_agree_with_merge_counts(spark):
     assert (sum(not r.hit for r in hits), sum(r.hit for r in hits)) == (c.inserted, c.updated) == (3, 1)
 
 
+def test_key_hits_of_parts_of_one_table(spark):
+    """One pass gives a flag per part, and rows that repeat a key or lack the condition's value count once."""
+    target = spark.createDataFrame([("a", "m", 1), ("b", "m", 0), ("c", "m", None), ("a", "m", 0)], "k string, m string, v int")
+    src = spark.createDataFrame([("a", "m"), ("a", "m"), ("b", "m"), ("c", "m"), ("d", "m"), (None, "m")], "k string, m string")
+    hits = ups.key_hits(target, src, ["k", "m"], partition_by=["m"], hits={"all": F.lit(True), "sold": F.col("v") > 0})
+    assert sorted(map(tuple, hits.collect())) == [
+        ("a", "m", True, True), ("b", "m", True, False), ("c", "m", True, False), ("d", "m", False, False)]
+
+
+def test_stand_in_sales_are_dealt_by_their_rows(spark, tmp_path, monkeypatch):
+    """The tasks that group lines grow with the lines, and nothing is grouped before they are dealt."""
+    lines = [(i % 40, dt.datetime(2000, 1 + i % 3, 5), "R", 1.0) for i in range(400)]
+    spark.createDataFrame(lines, "l_partkey long, l_shipdate timestamp_ntz, l_returnflag string, l_quantity double").write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    spark.range(40).selectExpr("id p_partkey", "2.5D p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(standins, "SALES_ROWS_PER_TASK", 20)
+    got = standins.sales_new(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    above, _, below = plan.partition(", 20), REPARTITION_BY_NUM")
+    assert "Aggregate" in above and "Join" in below and "Aggregate" not in below
+    assert (got.count(), got.agg(F.sum("estimated_units_sold")).first()[0]) == (120, 400)
+
+
 def test_fold_broadcast_key_path_equals_join_path(spark):
     t0 = dt.datetime(2024, 1, 1)
     s = _status(spark, [(f"K{i}", i % 2 == 0, None, None, None, None, None, t0, None) for i in range(20)])

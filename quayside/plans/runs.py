@@ -34,6 +34,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.functions.dates import ts_lit
 from quayside.operators import batches as bat
@@ -44,7 +45,7 @@ from quayside.plans import windows
 from quayside.schemas import SALES_REQUIRED, STATUS_TABLE, USAGE_TABLE
 from quayside.session import ensure_checkpoint_dir
 from quayside.sinks import call_log, run_log, sales_layout
-from quayside.sinks.publish import RUN_TARGETS, Target, live_pointer, publish, read_live
+from quayside.sinks.publish import RUN_TARGETS, Target, drop_folder, live_pointer, publish, read_live
 from quayside.sources import ledger, payloads
 
 PRODUCT_TABLE, SALES, STATUS, USAGE = "product_data", "sales_estimate_data", "sync_status", "api_usage"
@@ -92,11 +93,13 @@ class RunTargets:
 
 def _publish_table(df: DataFrame, name: str, version: str, targets: RunTargets, mode: str,
                    partition_by: str | None = None, merge_partitions: bool = False,
-                   on_error: str = "raise", replaced: set[str] | None = None, once: bool = False) -> DataFrame:
+                   on_error: str = "raise", replaced: set[str] | None = None, once: bool = False,
+                   added: bool = False) -> DataFrame:
     where = RUN_TARGETS[mode][name]
     prod = targets.production if "production" in where else None
     return publish(df, name, version, targets.staging, prod, partition_by=partition_by,
-                   merge_partitions=merge_partitions, on_error=on_error, replaced=replaced, once=once)
+                   merge_partitions=merge_partitions, on_error=on_error, replaced=replaced, once=once,
+                   added=added)
 
 
 REJECTS = "run_rejects"
@@ -431,6 +434,33 @@ class _ProductStep:
     stop_reason: str | None
 
 
+def _rows_by_wave(todo: DataFrame, pdocs: DataFrame, no_batch: DataFrame, as_of: dt.datetime, done: int,
+                  wave_batches: int) -> tuple[str, T.StructType]:
+    """The product rows of the batches behind ``done``, staged in one pass over the documents, one folder
+    (``_wave=<number>``) per wave, so that a wave reads its own rows only. Returns the folder and its schema."""
+    wave = F.floor((F.col("batch_no") - (done + 1)) / wave_batches).cast("int").alias("_wave")
+    asked = todo.where(F.col("batch_no") > done).join(no_batch, "batch_no", "left_anti")
+    rows = flt.flatten_products(payloads.good_documents(pdocs), as_of.date(), as_of, defaults="zero", asin_rule="code",
+                                order=_ordered(pdocs))
+    path = f"{ensure_checkpoint_dir(todo.sparkSession).rstrip('/')}/products-{uuid.uuid4().hex[:12]}"
+    rows.join(asked.select("asin", wave).distinct(), "asin").write.partitionBy("_wave").parquet(path)
+    return path, T.StructType([*rows.schema.fields, T.StructField("_wave", T.IntegerType())])
+
+
+def _new_keys_only(rows: DataFrame, lives: list[DataFrame], as_of: dt.datetime) -> bool:
+    """Whether none of the targets holds a key of ``rows`` for the run's day, and they hold equally many rows of that
+    day: then adding the rows gives what merging them would. Only keys within the range of the rows' keys are read."""
+    lives = [live.where(F.col("report_date") == F.lit(as_of.date())) for live in lives]
+    if len({live.count() for live in lives}) > 1:
+        return False
+    ends = rows.agg(F.min("asin").alias("low"), F.max("asin").alias("high")).first()
+    if ends.low is None:
+        return True
+    keys = rows.select("asin").distinct()
+    return all(live.where(F.col("asin").between(ends.low, ends.high)).select("asin").join(keys, "asin", "left_semi").isEmpty()
+               for live in lives)
+
+
 def _sync_products(spark: SparkSession, todo: DataFrame, pdocs: DataFrame, no_product: DataFrame, targets: RunTargets,
                    as_of: dt.datetime, version: str, wave_batches: int, required: list[str]) -> _ProductStep:
     """The batches of ``todo`` (asin, batch_no), ``wave_batches`` at a time.
@@ -450,21 +480,26 @@ def _sync_products(spark: SparkSession, todo: DataFrame, pdocs: DataFrame, no_pr
     errors, stop_reason, unwritten = [], None, None
     no_batch = (no_product.join(todo, "asin").groupBy("batch_no").agg(F.max("error_text").alias("error_text"))
                 .checkpoint(eager=True))
-    for low in range(done + 1, last + 1, wave_batches):
+    if done < last:
+        staged, schema = _rows_by_wave(todo, pdocs, no_batch, as_of, done, wave_batches)
+    for number, low in enumerate(range(done + 1, last + 1, wave_batches)):
         wave = todo.where(F.col("batch_no").between(low, low + wave_batches - 1)).checkpoint(eager=True)
         failed = wave.join(no_batch, "batch_no")
-        asked = wave.join(no_batch, "batch_no", "left_anti")
-        rows = _stored_products(pdocs, asked, as_of).checkpoint(eager=True)
+        rows = spark.read.schema(schema).parquet(staged).where(F.col("_wave") == number).drop("_wave")
         good, rejected = split_valid_rows(rows, required)
         judged = batch_outcomes(version, wave, rows, good, failed).checkpoint(eager=True)
         stop = bat.stop_point(batches.read(version).unionByName(judged)).first()  # one row: this run
         upto = wave if stop.stop_batch is None else wave.where(F.col("batch_no") <= stop.stop_batch)
         stored = good.join(upto.select("asin"), "asin", "left_semi")
-        live = read_live(spark, targets.staging, PRODUCT_TABLE, rows.drop(flt.SEQ).schema)
-        merged = ups.upsert_products(live, stored, as_of, partition_by=["report_date"], seq=flt.SEQ, touched_only=True)
+        table = rows.drop(flt.SEQ).schema
+        lives = [read_live(spark, t, PRODUCT_TABLE, table) for t in (targets.staging, targets.production)]
+        # A wave of new keys is a folder of its own: the day's rows of the waves before are not written again.
+        added = _new_keys_only(stored, lives, as_of)
+        merged = (ups.upsert_products(spark.createDataFrame([], table), stored, as_of, seq=flt.SEQ) if added else
+                  ups.upsert_products(lives[0], stored, as_of, partition_by=["report_date"], seq=flt.SEQ, touched_only=True))
         failed_at, why = _failed_write(
             _publish_table(merged.drop("action"), PRODUCT_TABLE, version, targets, "full", partition_by="report_date",
-                           merge_partitions=True, on_error="log"), targets)
+                           merge_partitions=True, on_error="log", added=added), targets)
         outcome = f"product_{failed_at}_failed" if failed_at else "product_ok"
         failed = failed.join(upto.select("asin"), "asin", "left_semi")
         events = _union(outcome_events("full", outcome, stored.select("asin").distinct(), as_of, 1, why)
@@ -482,6 +517,8 @@ def _sync_products(spark: SparkSession, todo: DataFrame, pdocs: DataFrame, no_pr
         batches.put(judged.join(upto.select("batch_no").distinct(), "batch_no", "left_semi"), version, f"{low:09d}")
         if stop.stop_batch is not None:
             break
+    if done < last:
+        drop_folder(spark, staged)
     worked = batches.read(version)
     stop = bat.stop_point(worked).first()
     if stop is not None and stop.stop_batch is not None:
@@ -520,8 +557,10 @@ def full_run(spark: SparkSession, catalog: DataFrame, product_docs: DataFrame, s
         table = read_live(spark, known, STATUS, STATUS_TABLE)
         return st.fold_status(table, st.fresh_reset_events(visible, as_of)) if sync_mode == "fresh" else table
 
-    bases = {"staging": base(targets.staging), "production": base(targets.production)}
-    status1 = bases["staging"]
+    # Checkpointed: the batches, the sales step and the status tables written last all start from them.
+    status1 = base(targets.staging).checkpoint(eager=True)
+    apart = live_pointer(spark, targets.production, STATUS) is not None
+    bases = {"staging": status1, "production": base(targets.production).checkpoint(eager=True) if apart else status1}
     # The same batches for a repeated run: the status is published at its end.
     todo = bat.plan_batches(sel.needs_product(status1), batch_size=batch_size).select("asin", "batch_no").checkpoint(eager=True)
     step = _sync_products(spark, todo, pdocs, no_product, targets, as_of, version, wave_batches,

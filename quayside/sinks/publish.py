@@ -14,8 +14,9 @@ succeeded, and it is copied from the staging files (the upstream plan is not
 computed twice). Production gets up to three attempts, pausing 1 s, then 2 s.
 
 Partitioned tables can publish only the partitions a change touched: the
-pointer then lists one folder per partition value, keeps the old folders of
-the others, and drops a replaced partition that ended up empty.
+pointer then lists the folders of each partition value, keeps the old folders of
+the others, and drops a replaced partition that ended up empty. Rows of new keys
+can be added to a partition as one more folder, without a rewrite of the others.
 
 After a commit, pointers older than the newest ``KEEP_POINTERS`` and folders
 that no kept pointer names are removed. One writer per table at a time (the
@@ -61,6 +62,11 @@ def _folder(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _folder(spark, path)
+    fs.delete(p, True)
+
+
 def _names(spark: SparkSession, path: str, prefix: str) -> list[str]:
     fs, p = _folder(spark, path)
     if not fs.exists(p):
@@ -155,28 +161,37 @@ def write_version(df: DataFrame, target: Target, name: str, version: str,
 
 
 def _pointer_rows(spark: SparkSession, target: Target, name: str, path: str, partition_by: str | None,
-                  merge_partitions: bool, replaced: set[str] | None) -> list[tuple[str, str | None]]:
+                  merge_partitions: bool, replaced: set[str] | None,
+                  beside: list[tuple[str, str]] | None = None) -> list[tuple[str, str | None]]:
     if not partition_by:
         return [(path, None)]
-    rows = {n.split("=", 1)[1]: f"{path}/{n}" for n in _names(spark, path, f"{partition_by}=")}
-    if merge_partitions:
-        gone = set(rows) | (replaced or set())
-        old = live_pointer(spark, target, name)
-        for r in old.collect() if old is not None else []:  # one row per partition
-            if r.part_value is not None and r.part_value not in gone:
-                rows[r.part_value] = r.table_name
+    rows = [(f"{path}/{n}", n.split("=", 1)[1]) for n in _names(spark, path, f"{partition_by}=")]
+    if beside is not None:
+        rows += beside
+    elif merge_partitions:
+        gone = {v for _, v in rows} | (replaced or set())
+        rows += [r for r in live_folders(spark, target, name) if r[1] not in gone]
     if not rows:  # an empty table: the (empty) version folder itself
         return [(path, None)]
-    return [(p_, v) for v, p_ in sorted(rows.items())]
+    return sorted(rows, key=lambda r: (r[1], r[0]))
+
+
+def live_folders(spark: SparkSession, target: Target, name: str) -> list[tuple[str, str]]:
+    """(folder, partition value) of a partitioned table's pointer; a value that was added to has several folders."""
+    live = live_pointer(spark, target, name)
+    return [(r.table_name, r.part_value) for r in (live.collect() if live is not None else []) if r.part_value is not None]
 
 
 def publish_one(df: DataFrame, target: Target, name: str, version: str, partition_by: str | None = None,
-                merge_partitions: bool = False, replaced: set[str] | None = None) -> str:
+                merge_partitions: bool = False, replaced: set[str] | None = None,
+                beside: list[tuple[str, str]] | None = None) -> str:
     """Write a version and switch the pointer to it. ``replaced`` names the
-    partition values this write replaces, also where it has no row for them."""
+    partition values this write replaces, also where it has no row for them.
+    ``beside`` (folder, partition value) are the folders that stay live beside
+    what is written, also those of the same values."""
     spark = df.sparkSession
     path = write_version(df, target, name, version, partition_by)
-    rows = _pointer_rows(spark, target, name, path, partition_by, merge_partitions, replaced)
+    rows = _pointer_rows(spark, target, name, path, partition_by, merge_partitions, replaced, beside)
     _write_pointer(spark, target, name, version, rows)
     prune(spark, target, name, protect=path)
     return path
@@ -195,19 +210,20 @@ def prune(spark: SparkSession, target: Target, name: str, keep: int = KEEP_POINT
     used = {part for path in [*named, protect] for part in path.split("/") if part.startswith(f"{LEVEL}=")}
     for old in [_pointer_path(target, name, n) for n in numbers if n < min(kept)] + \
             [f"{table}/{v}" for v in _names(spark, table, f"{LEVEL}=") if v not in used]:
-        fs, p = _folder(spark, old)
-        fs.delete(p, True)
+        drop_folder(spark, old)
 
 
 def publish(df: DataFrame, name: str, version: str, staging: Target, production: Target | None = None,
             attempts: int = PRODUCTION_ATTEMPTS, partition_by: str | None = None,
             merge_partitions: bool = False, on_error: str = "raise", pause_s: float = 1.0,
-            replaced: set[str] | None = None, once: bool = False) -> DataFrame:
+            replaced: set[str] | None = None, once: bool = False, added: bool = False) -> DataFrame:
     """SNK-1: staging first; production only after staging succeeded,
     copied from the staging files, with retries. ``on_error='log'``
     (SNK-3) records failures in the report instead of raising. ``once``
     (unpartitioned tables) skips a target that has this version already, for
-    changes that must not be applied twice when a run is repeated.
+    changes that must not be applied twice when a run is repeated. ``added``
+    (partitioned tables) writes rows whose keys no target holds: every live
+    folder stays, also those of the partitions written to, and none is read.
     Returns a report ``(table, target, version, status, attempts, error)``."""
     spark = df.sparkSession
     report = []
@@ -217,7 +233,8 @@ def publish(df: DataFrame, name: str, version: str, staging: Target, production:
                 return _report(spark, [(name, staging.prefix, version, "skipped", 0, None)])
             (spath,) = live_paths(spark, staging, name)
         else:
-            spath = publish_one(df, staging, name, version, partition_by, merge_partitions, replaced)
+            beside = live_folders(spark, staging, name) if added else None
+            spath = publish_one(df, staging, name, version, partition_by, merge_partitions, replaced, beside)
         report.append((name, staging.prefix, version, "ok", 1, None))
     except Exception as e:  # staging failed: production is not attempted
         if on_error != "log":
@@ -230,9 +247,11 @@ def publish(df: DataFrame, name: str, version: str, staging: Target, production:
         # version needs no inference); partition columns go back in place.
         copy = spark.read.schema(df.schema).parquet(spath).select(*df.columns)
         last = None
+        # Listed once: a retry after an attempt that did commit must not keep that attempt's folder too.
+        beside = live_folders(spark, production, name) if added else None
         for attempt in range(1, attempts + 1):
             try:
-                publish_one(copy, production, name, version, partition_by, merge_partitions, replaced)
+                publish_one(copy, production, name, version, partition_by, merge_partitions, replaced, beside)
                 report.append((name, production.prefix, version, "ok", attempt, None))
                 last = None
                 break

@@ -103,11 +103,17 @@ def _break(doc: Column, doc_id: Column) -> Column:
             .otherwise(doc))
 
 
+PRODUCTS_PER_TASK = 25_000  # a product is some 50 bytes in the table and a kilobyte in its document
+
+
 def product_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, doc)``: product documents as landed JSON text."""
+    """``(doc_id, doc)``: product documents as landed JSON text. The products are dealt by document before their
+    items are built: the table is a small file that few tasks read."""
     p = read_table(spark, sf_dir, "part")
     k = F.col("p_partkey")
-    docs = (p.groupBy((k / ITEMS_PER_PRODUCT_DOC).cast("bigint").alias("doc_id"))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-p.count() // PRODUCTS_PER_TASK))
+    dealt = p.withColumn("doc_id", (k / ITEMS_PER_PRODUCT_DOC).cast("bigint")).repartition(tasks, "doc_id")
+    docs = (dealt.groupBy("doc_id")
             .agg(F.array_sort(F.collect_list(product_item(k))).alias("data"))
             .select("doc_id", F.to_json(F.struct("data")).alias("doc")))
     empty = p.filter(k % EMPTY_EVERY == 0).select((-k - 1).alias("doc_id"), F.lit('{"data":[]}').alias("doc"))

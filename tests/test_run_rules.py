@@ -206,6 +206,39 @@ def test_run_goes_on_behind_the_last_logged_wave(spark, monkeypatch):
     assert publish.read_live(spark, t.production, PRODUCT_TABLE).count() == 6
 
 
+def test_waves_of_new_keys_are_added_beside_the_others(spark):
+    """A wave writes its own rows, not those of the waves before; keys that are there already are merged."""
+    t = _targets(spark)
+    keys = [f"B{k}" for k in range(6)]
+    for run, title, folders in (("r1", "one", 3), ("r2", "two", 1)):
+        full_run(spark, catalog(spark, keys), docs(spark, run, [product_doc(*keys, title=title)]), docs(spark, "s", []), t,
+                 AS_OF, run, batch_size=2, wave_batches=1)
+        for target in (t.staging, t.production):
+            assert len(publish.live_folders(spark, target, PRODUCT_TABLE)) == folders
+            rows = publish.read_live(spark, target, PRODUCT_TABLE).select("asin", "title").collect()
+            assert sorted(map(tuple, rows)) == [(k, title) for k in keys]
+
+
+def test_added_rows_are_live_once_when_an_attempt_fails_late(spark, monkeypatch):
+    """An attempt on production that fails behind its commit is tried again: its folder does not stay beside the next."""
+    t = _targets(spark)
+    real, calls_ = publish.prune, []
+
+    def fails_once(spark, target, name, **k):
+        calls_.append(target.prefix)
+        if calls_.count(t.production.prefix) == 1 and target == t.production:
+            raise OSError("listing failed")
+        return real(spark, target, name, **k)
+    for version, asin in (("1", "a"), ("2", "b")):
+        if version == "2":
+            monkeypatch.setattr(publish, "prune", fails_once)
+        publish.publish(spark.createDataFrame([(asin, "x")], "asin string, p string"), "t", version, t.staging, t.production,
+                        partition_by="p", merge_partitions=True, pause_s=0, added=True)
+    assert calls_.count(t.production.prefix) == 2
+    for target in (t.staging, t.production):
+        assert sorted(r.asin for r in publish.read_live(spark, target, "t").collect()) == ["a", "b"]
+
+
 def test_documents_are_handled_once(spark, monkeypatch):
     """A second run over the same landing folder parses no old document and is green."""
     t = _targets(spark)
